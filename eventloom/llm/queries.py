@@ -56,6 +56,19 @@ def op7_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventloom.llm.toxicity import fit, scored
+
+    docs = _table(spark, sf_dir, "documents")
+    return scored(docs, fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventloom.llm.decontamination import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventloom.llm.sharding import assign
 
@@ -69,7 +82,7 @@ def _tokenizer() -> str:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_chat, op4_embeddings, op5_packing, op6_substring, op7_store, op10_sharding)}
+    return {f.__name__: f for f in (op1_simhash, op2_chat, op4_embeddings, op5_packing, op6_substring, op7_store, op8_toxicity, op9_decontamination, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
