@@ -29,6 +29,12 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(formatted(threads(turns))).withColumnRenamed("tree", "conv_id")
 
 
+def op3_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventloom.llm.scoring import scored
+
+    return scored(_table(spark, sf_dir, "documents"))
+
+
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventloom.llm.embeddings import near_duplicates
 
@@ -82,7 +88,7 @@ def _tokenizer() -> str:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_chat, op4_embeddings, op5_packing, op6_substring, op7_store, op8_toxicity, op9_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_simhash, op2_chat, op3_scoring, op4_embeddings, op5_packing, op6_substring, op7_store, op8_toxicity, op9_decontamination, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
