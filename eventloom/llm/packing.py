@@ -64,7 +64,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
 
     def rows(b):
         for doc_id, ids in zip(b.column(0).to_pylist(), encoded(b.column(1), tokenizer), strict=True):
-            ids += end
+            ids = ids.tobytes() + end
             for k, at in enumerate(range(0, len(ids), step)):
                 own = ids[at : at + step]
                 yield (doc_id, k, at // 4, len(own) // 4, zlib.crc32(own)) + (own,) * keep_ids

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import parts
 from eventloom.llm.tokens import encoded
 
-LEAST, MOST, MEAN_BITS = 64, 2048, 8
+LEAST, MOST, MEAN_BITS = 128, 4096, 9
 
 
 @cache
@@ -110,7 +110,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, wid
     ref = pa.struct([("doc_id", pa.int64()), ("row", pa.int64()), ("seq", pa.int32())])
     schema = pa.schema([("hash", pa.binary()), ("ids", pa.int32()), ("payload", pa.binary()), ("refs", pa.list_(ref))])
     spec = "hash binary, ids int, payload binary, refs array<struct<doc_id: long, row: long, seq: int>>"
-    end, kind = end_id.to_bytes(4, "little"), f"<u{width}"
+    end, kind = np.uint32(end_id), f"<u{width}"
 
     def flush(found):
         return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array([len(p) // width for p, _ in found.values()], pa.int32()), pa.array([p for p, _ in found.values()], pa.binary()), pa.array([r for _, r in found.values()], schema.field("refs").type)], schema=schema)
@@ -120,7 +120,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, wid
             found: dict[bytes, tuple[bytes, list]] = {}
             held = 0
             for doc_id, row, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), encoded(b.column(2), tokenizer), strict=True):
-                wide = np.frombuffer(ids + end, "<u4")
+                wide = np.append(ids, end)
                 if width == 2 and wide.max() > 0xFFFF:
                     raise ValueError("an id needs more than 2 bytes; give width=4")
                 payload, s = wide.astype(kind).tobytes(), 0

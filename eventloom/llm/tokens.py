@@ -1,63 +1,83 @@
 """Token ids of whole texts, with a worker's memory of the words it has met.
 
 The tokenizer splits at white space before it merges, so a text's ids are those of its words in a row. Corpora repeat their words: each
-Python worker passes a word to the tokenizers library once and looks it up afterwards.
+Python worker passes a word to the tokenizers library once and looks it up afterwards; texts are cut into words, and ids gathered, by Arrow
+and numpy for some megabytes at a time.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from eventloom.llm.common import CACHE_WORDS, words
-
-#: Letters and the marks after them; between the two the tokenizer always splits.
-_ENDS_IN_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?]+)")
+#: Entries that a worker remembers; beyond them it forgets all and begins anew. About 0.3 GB at most for words of usual length.
+KNOWN_WORDS, KNOWN_STEMS = 800_000, 700_000
+#: Marks that the tokenizer always splits off the letters before them.
+_MARKS = ".,;:!?"
 
 
 class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit integers. Only for tokenizers that split at white space."""
+    """Ids of texts as unsigned 32-bit integers. Only for tokenizers that split at white space and between letters and marks."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {"": b""}
 
     @staticmethod
-    def _parts(word: bytes) -> tuple[str, ...]:
-        text = word.decode("utf-8", "replace")
-        if m := _ENDS_IN_MARKS.fullmatch(text):
-            stem, marks = m.groups()
-        else:
-            stem, marks = text, ""
+    def _parts(word: str) -> tuple[str, str]:
+        stem = word.rstrip(_MARKS)
+        if not stem.isalpha():
+            stem = word
+        marks = word[len(stem) :]
         if stem.isascii() or max(stem) < "ɐ":  # here lower-casing is the tokenizer's own, so that fewer stems differ
             stem = stem.lower()
-        return (stem, marks) if marks else (stem,)
-
-    def _learn(self, new: set[bytes]) -> None:
-        parts = {w: self._parts(w) for w in new}
-        stems = list({s for p in parts.values() for s in p} - self.stems.keys())
-        if len(self.stems) + len(stems) > CACHE_WORDS:
-            self.stems = {}
-            stems = list({s for p in parts.values() for s in p})
+        return stem, marks
+
+    def _learn(self, new: list[str]) -> None:
+        parts = [self._parts(w) for w in new]
+        wanted = {s for p in parts for s in p}
+        if len(self.stems) + len(wanted) > KNOWN_STEMS:
+            self.stems = {"": b""}
+        stems = [s for s in wanted if s not in self.stems]
         for s, found in zip(stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False), strict=True):
             self.stems[s] = np.array(found.ids, "<u4").tobytes()
-        for w, p in parts.items():
-            self.words[w] = b"".join(map(self.stems.__getitem__, p))
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [words(t) for t in texts]
-        if len(self.words) > CACHE_WORDS // 2:
-            self.words = {}
-        if new := set().union(*split).difference(self.words):
-            self._learn(new)
-        return [b"".join(map(self.words.__getitem__, w)) for w in split]
+        known, of = self.stems, self.words
+        for w, (stem, marks) in zip(new, parts, strict=True):
+            of[w] = known[stem] + known[marks] if marks else known[stem]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, where each text's begin, and the end)."""
+        texts = texts.fill_null("")
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens are matched before lower-casing
+            texts = pc.ascii_lower(texts)
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.words) > KNOWN_WORDS:
+            self.words = {"": b""}
+        found = list(map(self.words.get, distinct))
+        if None in found:
+            self._learn([w for w, f in zip(distinct, found, strict=True) if f is None])
+            found = list(map(self.words.__getitem__, distinct))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), "<u4")
+        codes = coded.indices.to_numpy()
+        n = sizes[codes]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        shift = (np.cumsum(sizes) - sizes)[codes] - (ends - n)
+        ids = pool[np.repeat(shift, n) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return ids, bounds
 
 
 @cache
@@ -66,15 +86,15 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def encoded(column, path: str, at_once: int = 1 << 20):
-    """The ids of each text of an Arrow column, in order; about ``at_once`` bytes are split at a time."""
-    from eventloom.llm.common import texts
-
-    tokenizer, held, size = word_ids(path), [], 0
-    for t in texts(column):
-        held.append(t)
-        size += len(t or b"")
-        if size >= at_once:
-            yield from tokenizer.encode(held)
-            held, size = [], 0
-    yield from tokenizer.encode(held)
+def encoded(column: pa.Array, path: str, at_once: int = 1 << 23) -> Iterator[np.ndarray]:
+    """The ids of each text of a string column, in order; null: none. About ``at_once`` bytes of text are taken at a time."""
+    tokenizer = word_ids(path)
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        done = int(size[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(size, done + at_once)))
+        ids, bounds = tokenizer.encode(column.slice(at, to - at))
+        for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            yield ids[s:e]
+        at = to
