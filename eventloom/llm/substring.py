@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -179,55 +180,63 @@ def _own_passages(c: Chunk):
 
 class _Numbers(dict):
     def __missing__(self, word):
-        v = self[word] = len(self)
+        v = self[word] = len(self) + 1
         return v
 
 
+def _spelled(numbers: np.ndarray, digits: int) -> str:
+    """Each number as ``digits`` letters out of 64. A node of an automaton looks through its edges one by one, so they must be few."""
+    out = np.empty((len(numbers), digits), np.uint8)
+    for k in range(digits):
+        out[:, k] = (numbers >> (6 * (digits - 1 - k))) & 63
+    return (out + 48).tobytes().decode("ascii")
+
+
 def covered(docs: list[np.ndarray], ids: np.ndarray, passages: list[tuple[int, np.ndarray]]) -> list[np.ndarray | None]:
-    """For each document, as numbers of words, which words a window of a passage with a smaller id covers; None: none.
+    """For each document, which of its words a window of a passage with a smaller id covers; None: none. Words are numbers, equal if the words are.
 
     The automaton holds each passage in parts of about half a window, at multiples of their length: every window has a whole part in it. A
     part's hit fixes how document and passage lie against each other, and the two are compared once for each such position.
     """
     part = (WINDOW + 1) // 2
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    most = max((int(p.max()) for _, p in passages if len(p)), default=0)
+    digits = max(1, -(-most.bit_length() // 6))
+    parts_of: dict[str, list[tuple[int, int]]] = {}
     for k, (_, p) in enumerate(passages):
-        p = p.tolist()
+        spelled = _spelled(p, digits)
         for o in range(0, len(p) - part + 1, part):
-            own = tuple(p[o : o + part])
-            held = automaton.get(own, None)
-            if held is None:
-                automaton.add_word(own, [(k, o)])
-            else:
-                held.append((k, o))
+            parts_of.setdefault(spelled[o * digits : (o + part) * digits], []).append((k, o))
     found: list[np.ndarray | None] = [None] * len(docs)
-    if not len(automaton):
+    if not parts_of:
         return found
+    automaton = ahocorasick.Automaton()
+    for own, places in parts_of.items():
+        automaton.add_word(own, places)
     automaton.make_automaton()
     owners = [int(o) for o, _ in passages]
     for i, doc in enumerate(docs):
         if len(doc) < WINDOW:
             continue
         seen, mark, me = set(), None, int(ids[i])
-        for end, held in automaton.iter(tuple(doc.tolist())):
-            for k, o in held:
-                if owners[k] >= me:
-                    continue
-                shift = end - part + 1 - o
-                if (k, shift) in seen:
+        for end, places in automaton.iter(_spelled(doc, digits)):
+            if (end + 1) % digits:
+                continue  # letters of two words
+            last = (end + 1) // digits - part
+            for k, o in places:
+                shift = last - o
+                if owners[k] >= me or (k, shift) in seen:
                     continue
                 seen.add((k, shift))
                 p = passages[k][1]
                 s, e = max(shift, 0), min(shift + len(p), len(doc))
                 if e - s < WINDOW:
                     continue
-                same = doc[s:e] == p[s - shift : e - shift]
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]])))
-                for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-                    if b - a >= WINDOW:
+                differ = np.flatnonzero(doc[s:e] != p[s - shift : e - shift]).tolist()
+                for x, y in zip([-1, *differ], [*differ, e - s], strict=True):
+                    if y - x > WINDOW:
                         if mark is None:
                             mark = np.zeros(len(doc), bool)
-                        mark[s + a : s + b] = True
+                        mark[s + x + 1 : s + y] = True
         found[i] = mark
     return found
 
@@ -267,11 +276,11 @@ def deduplicated(docs: DataFrame, mb: float = 2.0) -> DataFrame:
 
     def remove(key, table, sent):
         c = Chunk(table, _HASHES)
-        numbers = _Numbers()
-        rows = [np.fromiter(map(numbers.__getitem__, w), np.int64, len(w)) for w in c.words]
+        numbers = _Numbers()  # of the passages' words; all other words of documents are 0
         known = [(int(c.ids[k]), np.array([numbers[x] for x in w], np.int64)) for k, w in _own_passages(c)]
         for owner, passage in zip(sent.column("owner").to_pylist(), sent.column("passage").to_pylist(), strict=True):
             known.append((owner, np.array([numbers[x] for x in passage.split()], np.int64)))
+        rows = [np.fromiter(map(numbers.get, w, repeat(0)), np.int64, len(w)) for w in c.words]
         marks = covered([r if not n else r[:0] for r, n in zip(rows, c.null.tolist(), strict=True)], c.ids, known)
         text, removed, digests = texts(table.column("text")), [], []
         for i, mark in enumerate(marks):
