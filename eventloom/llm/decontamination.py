@@ -206,4 +206,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that hold a benchmark item."""
     gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(F.col("_gone")), "left_anti").select(docs.columns)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti").select(docs.columns)

@@ -78,8 +78,13 @@ def _links(left: pa.Table, right: pa.Table | None, threshold: float):
     table = left if right is None else pa.concat_tables([left, right])
     n, split = table.num_rows, 0 if right is None else left.num_rows
     vec = table.column("vec").to_pylist()
-    if len({len(v) for v in vec}) > 1:
-        return None  # another length's key fell together; vectors of other lengths have no cosine, and their own bucket has them too
+    lengths = np.array([len(v) for v in vec])
+    if (lengths != lengths[0]).any():  # keys of other lengths fell together; these vectors have no cosine
+        side = np.arange(n) < split
+        own = [(table.filter(pa.array((lengths == k) & side)), table.filter(pa.array((lengths == k) & ~side))) for k in np.unique(lengths)]
+        found = [_links(b, None, threshold) if right is None else _links(a, b, threshold) for a, b in own if b.num_rows and (right is None or a.num_rows)]
+        found = [f for f in found if f is not None]
+        return pa.Table.from_batches(found).combine_chunks().to_batches()[0] if found else None
     x = np.frombuffer(b"".join(vec), "<f8").reshape(n, -1)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     norm = np.sqrt((x * x).sum(axis=1))

@@ -103,10 +103,10 @@ def assign(docs: DataFrame, shards: int = 24, law: str = "bytes", id_col: str =
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24, files: int = 1) -> None:
-    """Writes the whole rows of docs, in one exchange, below path/shard=N, in ``files`` files each."""
+    """Writes the whole rows of docs, in one exchange, below path/shard=N, in ``files`` files each; a column named shard gives way."""
     keys = keyed(docs).select("k1", "k2", "size")
     ends = splitters(cut(keys), shards)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumn("k1", F.xxhash64(text)).withColumn("k2", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "shard"]).alias("row"), F.xxhash64(text).alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k2"))
     dealt = with_shard(rows, ends).repartition(shards * files, "shard", F.pmod(F.xxhash64("k2"), F.lit(files)))
-    dealt.sortWithinPartitions("shard", "k1", "k2").drop("k1", "k2").write.partitionBy("shard").parquet(path)
+    dealt.sortWithinPartitions("shard", "k1", "k2").select("row.*", "shard").write.partitionBy("shard").parquet(path)
