@@ -52,9 +52,12 @@ def same(a, b):
 @pytest.mark.parametrize("name, build", [("metrics", rollups.minute_metrics), ("topn", rollups.topn_pages), ("sessions", lambda d: rollups.sessionize(d, "5 minutes"))])
 def test_stream_equals_batch(spark, replay, tmp_path, name, build):
     events = sorted(EVENTS, key=lambda e: e[0])
-    # What one aggregation emits reaches the next in the batch after it, so chained ones need one more.
-    later = [[(11 * 86_400, "click")]] if name == "topn" else []
-    got = drained(spark, build(replay(events[:90], events[90:], [LAST], *later)), f"s_{name}", tmp_path)
+    # Spark filters page views before it takes their times as the watermark, so these must come to close windows of theirs; and what one
+    # aggregation emits reaches the next in the batch after.
+    ends = [[(d * 86_400, "page_view", "/end")] for d in (10, 11)] if name == "topn" else [[LAST]]
+    got = drained(spark, build(replay(events[:90], events[90:], *ends)), f"s_{name}", tmp_path)
+    if name == "topn":
+        got = got.where(F.col("window_start") < F.lit(at(W, 86_400)))
     want = build(frame(spark, W, *events))
     same(got, want.select(got.columns))
 
