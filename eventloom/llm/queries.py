@@ -91,6 +91,31 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_simhash, op2_chat, op3_scoring, op4_embeddings, op5_packing, op6_substring, op7_store, op8_toxicity, op9_decontamination, op10_sharding)}
 
 
+_CHAT_SQL = r"""
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(text) + length(regexp_replace(text, '[^\\<\[]', '', 'g')) + CASE role WHEN 'user' THEN 16 ELSE 15 END) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+_EMBEDDINGS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS x, vec_id AS c FROM v UNION SELECT l.x, r.c FROM r JOIN l ON l.y = r.x),
+m AS (SELECT x, min(c) AS c FROM r GROUP BY x), n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, m.c AS component_id, v.vec_id = m.c AS kept FROM v JOIN m ON m.x = v.vec_id LEFT JOIN n ON n.x = v.vec_id"""
+
+_SUBSTRING_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13),
+g AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS k FROM p),
+m AS (SELECT k, min(doc_id) AS d FROM g GROUP BY k),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g JOIN m USING (k) WHERE m.d < g.doc_id),
+u AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+k AS (SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.i) FILTER (c.i IS NULL) AS kept, count(c.i) AS n FROM u LEFT JOIN c ON c.doc_id = u.doc_id AND c.i = u.i GROUP BY u.doc_id)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256 FROM w LEFT JOIN k ON k.doc_id = w.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Where SQL over whole tables is fast enough; the other queries are held against brute force in tests/llm."""
-    return {}
+    """Where SQL can say it and is fast enough over whole tables; the other queries are held against brute force in tests/llm."""
+    return {"op2_chat": _CHAT_SQL, "op4_embeddings": _EMBEDDINGS_SQL, "op6_substring": _SUBSTRING_SQL}
