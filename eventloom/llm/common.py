@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,25 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+_FORGET: dict[str, Callable[[], object]] = {}
+_busy = ""
+
+
+def remembers(operator: str, forget: Callable[[], object]) -> None:
+    """Says how a Python worker gives up what it remembers for an operator."""
+    _FORGET[operator] = forget
+
+
+def begins(operator: str) -> None:
+    """Python workers outlive stages: when one begins another operator's task, it gives up what it remembers for others."""
+    global _busy
+    if _busy != operator:
+        _busy = operator
+        for name, forget in _FORGET.items():
+            if name != operator:
+                forget()
+
+
 class WordHashes(dict):
     """XXH64 by word; ``array`` gives those of a list of words."""
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import CACHE_WORDS, stored, texts, words
+from eventloom.llm.common import begins, stored, texts, words
 
 #: Insults and slurs-free abuse that any English lexicon has. Fixed values.
 INSULTS = frozenset(
@@ -26,6 +26,14 @@ INSULTS = frozenset(
 _LEET = str.maketrans("013457@$!", "oieastasi")
 _LETTERS = re.compile(r"^[\W_]+|[\W_]+$")
 PREFIXES = (4, 5, 6, 7, 8)
+#: A task hands on its counts of words and beginnings when it has met so many words, which bounds its memory.
+MINED_WORDS = 30_000
+#: A mined entry's likelihood ratio, as a logarithm: chance reaches about ln(entries looked at), which is 11.5 for 100,000.
+LEAST_GAIN = 12.0
+#: The annotators' labels are taken to be right at least so often, for toxic and for clean texts: else small samples let the classes drift.
+RIGHT_TOXIC, RIGHT_CLEAN = 0.7, 0.9
+#: Words that a task remembers while it scores; beyond them it begins anew.
+LOOKED_UP = 150_000
 PATTERNS = ("insult", "disguised", "shouting", "exclaiming", "masked", "addressed", "once", "sparse", "medium", "dense", "none")
 
 
@@ -69,12 +77,13 @@ class Voters:
     """The voters that fire on a text, as numbers: the lexicon's entries, then the patterns."""
 
     def __init__(self, entries: list[str]):
+        begins("toxicity")
         self.look = _Look({e: i for i, e in enumerate(entries)})
         self.n = len(entries)
 
     def __call__(self, text: bytes | None) -> list[int]:
         found = words(text)
-        if len(self.look) > CACHE_WORDS:
+        if len(self.look) > LOOKED_UP:
             self.look = _Look(self.look.entries)
         codes = np.fromiter(map(self.look.__getitem__, found), np.int64, len(found))
         at = np.flatnonzero(codes)
@@ -119,11 +128,12 @@ def label_model(fires: np.ndarray, rounds: int = 20, prior_rows: float = 2.0) ->
         w1, w0 = post.sum() + 2 * prior_rows, (1 - post).sum() + 2 * prior_rows
         a1, a0 = (post @ x + prior_rows * x.mean(0)) / w1 + 1e-6, ((1 - post) @ x + prior_rows * x.mean(0)) / w0 + 1e-6
         a1, a0 = np.clip(a1, 1e-5, 1 - 1e-5), np.clip(a0, 1e-5, 1 - 1e-5)
-        if step in (0, 1, 5):
+        a1[-1], a0[-1] = max(a1[-1], RIGHT_TOXIC), min(a0[-1], 1 - RIGHT_CLEAN)
+        if step in (2, 6, 12):
             rest = x - post[:, None] * a1 - (1 - post)[:, None] * a0
             scale = np.sqrt((rest * rest).sum(0)) + 1e-6
             corr = np.abs((rest / scale).T @ (rest / scale))
-            corr[corr < 0.1] = 0
+            corr[corr < 0.5] = 0  # weaker ones also come from what the posteriors don't know yet
             share = (1 / np.maximum(corr.sum(0), 1)).astype(np.float32)
             share[-1] = 1
         on, off = np.log(a1 / a0) * share, np.log((1 - a1) / (1 - a0)) * share
@@ -170,10 +180,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries:
     rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
     sample = stored(rows, "toxicity-sample")
 
+    def counted_in(by: tuple[Counter, Counter]) -> pa.RecordBatch:
+        names = list(by[0].keys() | by[1].keys())
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([by[1][x] for x in names], pa.int64()), pa.array([by[0][x] for x in names], pa.int64())], names=["entry", "t", "c"])
+
     def mine(batches):
+        begins("toxicity")
+        known, by = {}, (Counter(), Counter())
         for b in batches:
-            known: dict[bytes, list[str]] = {}
-            by = (Counter(), Counter())
             for t, y in zip(texts(b.column(1)), b.column(2).to_pylist(), strict=True):
                 own: set[str] = set()
                 for w in set(words(t)):
@@ -182,8 +196,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries:
                         known[w] = features_of(x) if x else []
                     own.update(known[w])
                 by[y > 0].update(own)
-            names = list(by[0].keys() | by[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([by[1][x] for x in names], pa.int64()), pa.array([by[0][x] for x in names], pa.int64())], names=["entry", "t", "c"])
+                if len(known) > MINED_WORDS:
+                    yield counted_in(by)
+                    known, by = {}, (Counter(), Counter())
+        yield counted_in(by)
 
     totals = sample.agg(F.sum("toxic"), F.count("*")).first()
     toxic, clean = float(totals[0] or 0), float(totals[1] - (totals[0] or 0))
@@ -199,6 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries:
         return yes + F.when(hits < size, (size - hits) * F.ln((1 - rate) / (1 - mean))).otherwise(0.0)
 
     told = counted.where((F.col("t") >= least_docs) & (t > 3 * c)).withColumn("gain", gain(F.col("t"), t, toxic) + gain(F.col("c"), c, clean))
+    told = told.where(F.col("gain") >= LEAST_GAIN)
     entries = [r[0] for r in told.orderBy(F.desc("gain"), "entry").limit(max_entries).collect()]
 
     def fire(batches):
