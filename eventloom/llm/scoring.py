@@ -14,30 +14,85 @@ the pair, and their statistics are added up by the chunks that use them.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.cells import bucket_of, chunked, pack, unpack
-from eventloom.llm.common import ODD, WordHashes, mixed, parts, texts, words
+from eventloom.llm.cells import bucket_of, slices
+from eventloom.llm.common import ODD, WordHashes, begins, mixed, parts, remembers, texts, total, words
 
 DISCOUNT, HOT = 0.75, 0.005
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _HASHES = WordHashes(seed=5)
+remembers("scoring", _HASHES.clear)
+
+
+_PRESS, _PULL = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def pressed(data: bytes) -> bytes:
+    return _PRESS.compress(data)
 
 
 def tight(a: np.ndarray) -> bytes:
-    """Whole numbers from 0 on in as few bytes each as the largest needs."""
+    """Whole numbers from 0 on in as few bytes each as the largest needs, compressed: most are small or equal."""
     most = int(a.max()) if len(a) else 0
     width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
-    return bytes([width]) + a.astype(f"<u{width}").tobytes()
+    return bytes([width]) + pressed(a.astype(f"<u{width}").tobytes())
 
 
 def loose(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", -1, 1).astype(np.int64)
+    return np.frombuffer(_PULL.decompress(data[1:]), f"<u{data[0]}").astype(np.int64)
+
+
+def pack(a: np.ndarray) -> bytes:
+    """Sorted hashes as their differences, in as many bytes each as the largest needs."""
+    if not len(a):
+        return b""
+    d = np.diff(a).astype("<u8")
+    width = max(1, -(-int(d.max()).bit_length() // 8)) if len(d) else 1
+    return bytes([width]) + a[:1].astype("<u8").tobytes() + d.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    if not data:
+        return np.empty(0, np.uint64)
+    width = data[0]
+    d = np.zeros(((len(data) - 9) // width, 8), np.uint8)
+    d[:, :width] = np.frombuffer(data, np.uint8, -1, 9).reshape(-1, width)
+    return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1, 1), d.view("<u8").ravel()]), dtype=np.uint64)
+
+
+_DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+
+
+def _dealt(docs: DataFrame, mb: float) -> DataFrame:
+    """(chunk, docs): documents dealt by a hash into chunks of about ``mb`` MB of text; those that a task has for a chunk are one compressed blob."""
+    size, = total(docs, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)))
+    n = max(1, math.ceil(size / (mb * 1e6)))
+    schema = pa.schema([("chunk", pa.int32()), ("docs", pa.binary())])
+
+    def blob(rows: pa.RecordBatch) -> bytes:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _DOCS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(rows)
+        return sink.getvalue().to_pybytes()
+
+    def run(batches):
+        for b in batches:
+            chunk = b.column(0).to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            rows = pa.RecordBatch.from_arrays([b.column(1), b.column(2).cast(pa.string())], schema=_DOCS).take(pa.array(order))
+            found = [(k, blob(rows.slice(s, e - s))) for k, s, e in slices(chunk[order])]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())], schema=schema)
+
+    rows = docs.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "chunk int, docs binary").repartition(parts(docs.sparkSession), "chunk")
 
 
 def _joined(table: pa.Table, column: str, of) -> np.ndarray:
@@ -47,7 +102,9 @@ def _joined(table: pa.Table, column: str, of) -> np.ndarray:
 class _Tokens:
     """A chunk's tokens in a row: ``kind`` of each among the chunk's distinct ones, sorted by hash, and its document."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, blobs: pa.Table):
+        begins("scoring")
+        table = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in blobs.column("docs").to_pylist()])
         split = [words(t.lower() if t else t) for t in texts(table.column("text"))]
         self.ids = table.column("doc_id").to_pylist()
         lengths = np.fromiter(map(len, split), np.int64, len(split)) + 1
@@ -97,6 +154,8 @@ class _Tokens:
         at, hashes, counts = self.contexts(depth)
         self.used = (at >= 0) & (counts[at] >= least)
         wanted = self.used & (self.count[self.kind] >= 2)
+        if depth > 1:  # what stands twice after a context stands twice after its suffix
+            wanted[wanted] = self.pair_count[self.pair[wanted]] >= 2
         size = len(self.hashes)
         pairs, inverse = np.unique(at[wanted] * size + self.kind[wanted], return_inverse=True)
         context, word = pairs // size, pairs % size
@@ -126,7 +185,7 @@ class _Tokens:
         replies = replies.sort_by("bucket")
         count = np.concatenate([_joined(replies, "pairs", loose), _joined(replies, "hot_pairs", loose)])
         rest = np.zeros(len(self.context_hash))  # mass left to the suffix; 0: no state
-        rest[self.cold_contexts] = _joined(replies, "rest", lambda x: np.frombuffer(x, "<f8"))
+        rest[self.cold_contexts] = _joined(replies, "rest", lambda x: np.frombuffer(_PULL.decompress(x), "<f8"))
         total: dict[int, list[float]] = {}
         for data in replies.column("hot").to_pylist():
             for h, n, m, e, g in np.frombuffer(data, _HOT_PART).tolist():
@@ -285,7 +344,7 @@ def _count_pairs(bits: float):
 
         def rest_of(x):
             at = np.searchsorted(known, x)
-            return np.where(known[at] == x, rest[at], 0.0).astype("<f8").tobytes()
+            return pressed(np.where(known[at] == x, rest[at], 0.0).astype("<f8").tobytes())
 
         rests = [rest_of(x) for x in contexts]
 
@@ -303,7 +362,7 @@ def _count_pairs(bits: float):
 _RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0, mb: float = 4.0) -> DataFrame:
+def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0, mb: float = 8.0) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs(doc_id, text).
 
     Texts are lower-cased (A-Z); tokens are their words and one end. held_out: crc32 of the id as text is 0 modulo 10; all other rows train. A
@@ -313,15 +372,15 @@ def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0,
     All is one plan, in which the exchange of texts by chunk is made once and used by each round.
     """
     buckets = parts(docs.sparkSession)
-    chunks = chunked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), mb)
-    by_chunk = chunks.groupBy("chunk")
-    words_known = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket").applyInArrow(_count_words, _spec(_WORD_REPLY))
+    by_chunk = _dealt(docs, mb).groupBy("chunk")
+    # Answers go to the chunks once, dealt as the texts are; a union of such parts needs no further exchange.
+    words_known = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket").applyInArrow(_count_words, _spec(_WORD_REPLY)).repartition(buckets, "chunk")
     empty = F.lit(None).cast("binary")
     none = F.lit(None).cast("long")
     replies = words_known.select("chunk", "bucket", F.lit(0).alias("round"), "counts", "n", "v", *[empty.alias(c) for c in ("pairs", "rest", "hot_pairs", "hot")])
     for k in range(1, depth + 1):
         cells = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_ask_pairs(buckets, k, least, bits), _spec(_PAIR_CELL))
-        found = cells.groupBy("bucket").applyInArrow(_count_pairs(bits), _spec(_PAIR_REPLY))
+        found = cells.groupBy("bucket").applyInArrow(_count_pairs(bits), _spec(_PAIR_REPLY)).repartition(buckets, "chunk")
         replies = replies.union(found.select("chunk", "bucket", F.lit(k).alias("round"), empty.alias("counts"), none.alias("n"), none.alias("v"), "pairs", "rest", "hot_pairs", "hot"))
 
     def finish(key, table, known):
