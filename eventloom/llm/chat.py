@@ -89,18 +89,22 @@ def paths(messages: DataFrame) -> DataFrame:
     known = own.select("tree", F.col("id").alias("parent")).distinct()
     links = cut(own.where("parent IS NOT NULL").join(known, ["tree", "parent"], "left_semi").select("tree", "id", "parent"))
     levels = [links]
-    while True:
+    # No path is longer than its tree's links; only cycles have ancestors further up.
+    longest = links.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    while 1 << len(levels) <= longest:
         last = levels[-1]
         up = last.select("tree", F.col("id").alias("parent"), F.col("parent").alias("above"))
         further = cut(last.join(up, ["tree", "parent"]).select("tree", "id", F.col("above").alias("parent")))
-        if further.isEmpty() or len(levels) > 40:
+        if further.isEmpty():
             break
         levels.append(further)
     leaves = own.join(links.select("tree", F.col("parent").alias("id")).distinct(), ["tree", "id"], "left_anti")
     found = leaves.select("tree", F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("up"))
     for k in reversed(range(len(levels))):
         step = levels[k].select("tree", "id", F.col("parent").alias("_to"))
-        found = found.union(found.join(step, ["tree", "id"]).select("tree", "leaf", F.col("_to").alias("id"), F.col("up") + F.lit(1 << k)))
+        both = F.array(F.struct("id", "up"), F.when(F.col("_to").isNotNull(), F.struct(F.col("_to").alias("id"), (F.col("up") + F.lit(1 << k)).alias("up"))))
+        # One branch of the plan a level: a union of the two would double it each time.
+        found = found.join(step, ["tree", "id"], "left").select("tree", "leaf", F.explode(both).alias("x")).where("x IS NOT NULL").select("tree", "leaf", "x.id", "x.up")
     length = Window.partitionBy("tree", "leaf")
     depth = F.max("up").over(length) - F.col("up")
     return found.withColumn("depth", depth).join(messages.select("tree", "id", "score"), ["tree", "id"]).select("tree", "leaf", "depth", "id", "score")
@@ -138,11 +142,13 @@ def formatted(messages: DataFrame, keep: int | None = None) -> DataFrame:
 
 
 def threads(turns: DataFrame, tree: str = "conv_id", order: str = "turn") -> DataFrame:
-    """Linear conversations as messages: each row replies to the one before it by ``order``; ties are broken by role and text."""
+    """Linear conversations as messages: each row replies to the one before it by ``order``; ties are broken by role and text.
+
+    Repeated rows are turns of their own, a null ``order`` comes first, and rows whose ``tree`` is null belong to no conversation.
+    """
+    turns = turns.where(F.col(tree).isNotNull())
     at = Window.partitionBy(tree).orderBy(order, "role", "text")
-    place = F.row_number().over(at).cast("long")
-    rows = turns.select(F.col(tree).cast("long").alias("tree"), order, "role", "text", *([] if tree == "tree" else [F.col(tree)]))
-    rows = rows.withColumn("id", place)
+    rows = turns.select(F.col(tree).cast("long").alias("tree"), F.row_number().over(at).cast("long").alias("id"), "role", "text")
     return rows.select("tree", "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"), F.lit(0.0).alias("score"), "role", "text")
 
 
