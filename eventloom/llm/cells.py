@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import ODD, WordHashes, mixed, parts, texts, total, words
+from eventloom.llm.common import ODD, WordHashes, begins, mixed, parts, texts, total, words
 
 
 def chunked(docs: DataFrame, mb: float = 2.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,6 +65,7 @@ class Chunk:
     """The words of a chunk's documents in a row: their hashes, and for each the document's place in the chunk."""
 
     def __init__(self, table: pa.Table, hashes: WordHashes, lower: bool = False, id_col: str = "doc_id", text_col: str = "text"):
+        begins("chunks")
         self.ids = np.array([(-1 << 63) if x is None else x for x in table.column(id_col).to_pylist()], np.int64)
         self.null = np.array(table.column(id_col).is_null())
         self.words = [words(t.lower() if lower and t else t) for t in texts(table.column(text_col))]

@@ -15,8 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.cells import slices
-from eventloom.llm.common import CACHE_WORDS, shingle_hashes, texts, words
+from eventloom.llm.common import begins, shingle_hashes, texts, words
 
 #: Units that count as such after a number. Fixed values.
 UNITS = frozenset(
@@ -30,6 +29,8 @@ UNITS = frozenset(
 NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split())
 
 NUMBER, UNIT, NAME = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\0number", b"\0unit", b"\0name"))
+#: Words that a task remembers; beyond them it begins anew.
+KNOWN_WORDS = 200_000
 _WITH_UNIT = re.compile(r"([+-]?[\d.,/]*\d)([^\W\d_]+|%)")
 _FIGURE = re.compile(r"[+-]?\d[\d.,/]*")
 _EDGES = re.compile(r"^[^\w%+-]+|[^\w%]+$")
@@ -137,6 +138,7 @@ def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=Non
                     yield (*row[:4], int(shingle_hashes(other, k).view(np.int64)[0]), [t.kinds.value[t.at[s]][0], *row[5]], row[6])
 
     def run(batches):
+        begins("decontamination")
         kinds = _Kinds()
         for b in batches:
             held, out, weight = [], [], 0
@@ -147,7 +149,7 @@ def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=Non
                 if weight > 1 << 20 or i == len(rows) - 1:
                     out.extend(emit(kinds, held))
                     held, weight = [], 0
-                    if len(kinds) > CACHE_WORDS // 2:
+                    if len(kinds) > KNOWN_WORDS:
                         kinds = _Kinds()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_SCHEMA)], schema=_SCHEMA)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.buckets import compare_buckets
-from eventloom.llm.common import cut
+from eventloom.llm.common import begins, cut
 from eventloom.llm.graph import components
 
 
@@ -52,6 +52,7 @@ def _signed_rows(classes: DataFrame, signs: int, tables: int, seed: int) -> Data
     powers = (1 << np.arange(signs, dtype=np.uint64)).astype(np.uint64)
 
     def run(batches):
+        begins("embeddings")
         planes: dict[int, np.ndarray] = {}
         for whole in batches:
             for b in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):

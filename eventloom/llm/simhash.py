@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.buckets import compare_buckets
-from eventloom.llm.common import cut, texts, words
+from eventloom.llm.common import begins, cut, texts, words
 from eventloom.llm.graph import components
 
 BITS = 64
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
+        begins("simhash")
         for b in batches:
             fp = np.fromiter((simhash(t, shingle) for t in texts(b.column(1))), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fp.view(np.int64))], schema=schema)

@@ -21,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from eventloom.llm.cells import Chunk, bucket_of, chunked, pack, raw, slices, unpack, unraw
-from eventloom.llm.common import WordHashes, parts, texts
+from eventloom.llm.common import WordHashes, parts, remembers, texts
 
 WINDOW, ANCHOR = 13, 6
 
 _HASHES = WordHashes(seed=3)  # of a Python worker; words keep their hashes from chunk to chunk
+remembers("chunks", _HASHES.clear)
 
 
 def _anchors(c: Chunk, starts: np.ndarray) -> np.ndarray:

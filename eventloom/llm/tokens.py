@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from eventloom.llm.common import begins, remembers
+
 #: Entries that a worker remembers; beyond them it forgets all and begins anew. About 0.3 GB at most for words of usual length.
 KNOWN_WORDS, KNOWN_STEMS = 800_000, 700_000
 #: Marks that the tokenizer always splits off the letters before them.
@@ -86,8 +88,12 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+remembers("tokens", word_ids.cache_clear)
+
+
 def encoded(column: pa.Array, path: str, at_once: int = 1 << 23) -> Iterator[np.ndarray]:
     """The ids of each text of a string column, in order; null: none. About ``at_once`` bytes of text are taken at a time."""
+    begins("tokens")
     tokenizer = word_ids(path)
     size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
