@@ -1,8 +1,9 @@
 """Benchmark decontamination by templates.
 
 Numbers, units after a number and capitalised words inside a sentence become typed placeholders, so that a question with other figures and
-names has the template of the original. Windows of the templates are hash-joined. Matches lie on alignments of one document and one item; an
-alignment counts only if its slots agree: what is one value in the item is one value in the document.
+names has the template of the original; where a window is mostly placeholders, its literal words stand. Windows of the templates are
+hash-joined. Matches lie on alignments of one document and one item; an alignment counts only if its slots agree: what is one value in the
+item is one value in the document.
 """
 
 from __future__ import annotations
@@ -37,12 +38,12 @@ _EDGES = re.compile(r"^[^\w%+-]+|[^\w%]+$")
 
 
 class _Kinds(dict):
-    """For each raw word a row of four tables: literal hash, kind (0 word, 1 number, 2 number with unit, 3 nothing left), whether it is a unit
-    word, is capitalised, or ends a sentence."""
+    """For each raw word a row of five tables: literal hash (of a number with a unit, the number's), the unit's, kind (0 word, 1 number, 2 number
+    with unit, 3 nothing left), whether it is a unit word, is capitalised, or ends a sentence, and its values."""
 
     def __init__(self):
         super().__init__()
-        self.hash, self.kind, self.flags, self.value = [], [], [], []
+        self.hash, self.last, self.kind, self.flags, self.value = [], [], [], [], []
 
     def __missing__(self, raw: bytes) -> int:
         text = raw.decode("utf-8", "replace")
@@ -50,11 +51,13 @@ class _Kinds(dict):
         low = own.lower()
         m = _WITH_UNIT.fullmatch(low)
         kind = 3 if not own or not re.search(r"\w|%", own) else 1 if _FIGURE.fullmatch(low) or low in NUMBERS else 2 if m and m[2] in UNITS else 0
-        self.hash.append(xxhash.xxh64_intdigest(low.encode()))
+        value = m.groups() if kind == 2 else (low,)
+        self.hash.append(xxhash.xxh64_intdigest(value[0].encode()))
+        self.last.append(xxhash.xxh64_intdigest(value[1].encode()) if kind == 2 else 0)
         self.kind.append(kind)
         ends = text.rstrip("\"')]}»”’")[-1:] in (".", "!", "?")
         self.flags.append((low in UNITS) | (own[:1].isupper() and (own[1:].islower() or len(own) == 1)) << 1 | ends << 2)
-        self.value.append(m.groups() if kind == 2 else (low,))
+        self.value.append(value)
         v = self[raw] = len(self.hash) - 1
         return v
 
@@ -88,7 +91,7 @@ class _Templates:
         unit[1:] |= (flags[1:] & 1 > 0) & (kind[1:] == 0) & number[:-1] & (self.doc[1:] == self.doc[:-1])
         self.capital = flags & 2 > 0
         name = self.capital & ~start & (kind == 0) & ~unit
-        self.literal = np.array(kinds.hash, np.uint64)[self.at]
+        self.literal = np.where(second, np.array(kinds.last, np.uint64)[self.at], np.array(kinds.hash, np.uint64)[self.at])
         self.h = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, self.literal)))
         self.slot, self.second = number | unit | name, second
         self.kinds = kinds
@@ -96,13 +99,14 @@ class _Templates:
     def values(self, s: int, size: int) -> list[str]:
         return [self.kinds.value[self.at[i]][-1 if self.second[i] else 0] for i in range(s, s + size) if self.slot[i]]
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(start, hash) of the windows within a text that hold more words than placeholders."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, hash, whether placeholders stand) of the windows within a text; literal words stand where placeholders aren't outnumbered."""
         h = shingle_hashes(self.h, size)
         n = len(h)
         slots = np.concatenate([[0], np.cumsum(self.slot)])
-        ok = (self.doc[:n] == self.doc[size - 1 : size - 1 + n]) & (2 * (slots[size : size + n] - slots[:n]) < size)
-        return np.flatnonzero(ok), h[ok]
+        typed = 2 * (slots[size : size + n] - slots[:n]) < size
+        at = np.flatnonzero(self.doc[:n] == self.doc[size - 1 : size - 1 + n])
+        return at, np.where(typed, h, shingle_hashes(self.literal, size))[at], typed[at]
 
 
 _SCHEMA = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("size", pa.int32()), ("pos", pa.int64()), ("h", pa.int64()), ("slots", pa.list_(pa.string())), ("n", pa.int64())])
@@ -118,21 +122,21 @@ def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=Non
         firsts = np.searchsorted(t.doc, np.arange(len(held)))
         lengths = np.diff(np.concatenate([firsts, [len(t.doc)]]))
         for k in sizes or sorted({min(size, int(n)) for n in lengths if n}):
-            starts, h = t.windows(k)
+            starts, h, typed = t.windows(k)
             if sizes is None:
                 fit = np.minimum(lengths[t.doc[starts]], size) == k
-                starts, h = starts[fit], h[fit]
+                starts, h, typed = starts[fit], h[fit], typed[fit]
             counts = np.bincount(t.doc[starts], minlength=len(held))
             if wanted is not None and len(starts):
                 known, coarse = wanted.value
                 maybe = np.flatnonzero(coarse[(h >> np.uint64(44)).astype(np.int64)])
                 maybe = maybe[known[np.minimum(np.searchsorted(known, h[maybe]), len(known) - 1)] == h[maybe]]
-                starts, h = starts[maybe], h[maybe]
-            for s, x in zip(starts.tolist(), h.view(np.int64).tolist(), strict=True):
+                starts, h, typed = starts[maybe], h[maybe], typed[maybe]
+            for s, x, template in zip(starts.tolist(), h.view(np.int64).tolist(), typed.tolist(), strict=True):
                 d = int(t.doc[s])
-                row = (held[d][0], held[d][1], k, s - int(firsts[d]), x, t.values(s, k), int(counts[d]))
+                row = (held[d][0], held[d][1], k, s - int(firsts[d]), x, t.values(s, k) if template else [], int(counts[d]))
                 yield row
-                if both and s == firsts[d] and t.capital[s] and not t.slot[s]:
+                if both and template and s == firsts[d] and t.capital[s] and not t.slot[s]:
                     other = t.h[s : s + k].copy()
                     other[0] = NAME
                     yield (*row[:4], int(shingle_hashes(other, k).view(np.int64)[0]), [t.kinds.value[t.at[s]][0], *row[5]], row[6])
@@ -171,9 +175,9 @@ def _agree(pairs):
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, coverage): the documents that hold an item of ``benchmark``(item_id, text), with that item.
 
-    n_windows: the item's windows of ``size`` template tokens (one, of all its tokens, if it has fewer) with more words than placeholders;
-    n_matched: those found in the document on alignments whose slots agree; coverage, their ratio, is ``share`` or more. White space, case
-    and marks at the ends of words don't matter. Null and empty texts and texts without such windows match nothing; repeated rows of a
+    n_windows: the item's windows of ``size`` template tokens (one, of all its tokens, if it has fewer); one without more words than placeholders
+    must be met word by word. n_matched: those found in the document on alignments whose slots agree; coverage, their ratio, is ``share`` or more.
+    White space, case and marks at the ends of words don't matter. Null and empty texts and texts without words match nothing; repeated rows of a
     doc_id give one row for an item; items with the same template each give rows; null ids come back null. No rows, no result.
 
     Items' windows are few against documents' ones: while they number at most BROADCAST_WINDOWS, tasks drop other windows before the join,

@@ -278,6 +278,14 @@ def test_decontamination_without_broadcast(spark, monkeypatch):
     assert by_id(decontamination.contaminated(docs, items)) == a and len(a) == 1
 
 
+def test_decontamination_of_items_that_are_mostly_placeholders(spark):
+    texts = ["Compute 12 * 7 + 3 = ?", "Heights 120cm 130cm 140 cm 150cm", "with Anna Bob Carl Dora Emil Franz"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    others = ["Compute 13 * 8 + 4 = ?", "Heights 120cm 131cm 140 cm 150cm", "with Bob Anna Dora Carl Franz Emil"]
+    docs = spark.createDataFrame([(i, f"so then {t} and on") for i, t in enumerate(texts + others)], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()} == {(0, 0), (1, 1), (2, 2)}
+
+
 def test_sharding(spark, odd, none, tmp_path):
     got = sharding.assign(odd, 3)
     assert got.count() == 11 and {r.shard for r in got.collect()} <= {0, 1, 2}
