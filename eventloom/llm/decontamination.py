@@ -1,9 +1,9 @@
 """Benchmark decontamination by templates.
 
 Numbers, units after a number and capitalised words inside a sentence become typed placeholders, so that a question with other figures and
-names has the template of the original; where a window is mostly placeholders, its literal words stand. Windows of the templates are
-hash-joined. Matches lie on alignments of one document and one item; an alignment counts only if its slots agree: what is one value in the
-item is one value in the document.
+names has the template of the original. Capitals decide what is a name, and copies may lose or gain them, so each window also stands with its
+names, and with all its placeholders, as case-folded words. Windows are hash-joined in any of the three forms. Matches lie on alignments of one
+document and one item; an alignment counts only if its slots agree: what is one value in the item is one value in the document.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleve
 NUMBER, UNIT, NAME = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\0number", b"\0unit", b"\0name"))
 #: Words that a task remembers; beyond them it begins anew.
 KNOWN_WORDS = 200_000
+#: A window's forms: with all placeholders, with those of numbers and units, with none.
+TEMPLATE, FIGURES, WORDS = range(3)
 _WITH_UNIT = re.compile(r"([+-]?[\d.,/]*\d)([^\W\d_]+|%)")
 _FIGURE = re.compile(r"[+-]?\d[\d.,/]*")
 _EDGES = re.compile(r"^[^\w%+-]+|[^\w%]+$")
@@ -48,7 +50,7 @@ class _Kinds(dict):
     def __missing__(self, raw: bytes) -> int:
         text = raw.decode("utf-8", "replace")
         own = _EDGES.sub("", text).strip("_")
-        low = own.lower()
+        low = own.casefold()
         m = _WITH_UNIT.fullmatch(low)
         kind = 3 if not own or not re.search(r"\w|%", own) else 1 if _FIGURE.fullmatch(low) or low in NUMBERS else 2 if m and m[2] in UNITS else 0
         value = m.groups() if kind == 2 else (low,)
@@ -93,20 +95,30 @@ class _Templates:
         name = self.capital & ~start & (kind == 0) & ~unit
         self.literal = np.where(second, np.array(kinds.last, np.uint64)[self.at], np.array(kinds.hash, np.uint64)[self.at])
         self.h = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, self.literal)))
-        self.slot, self.second = number | unit | name, second
+        self.slots = (number | unit | name, number | unit, np.zeros(len(self.at), bool))  # of each form
+        self.slot, self.second = self.slots[TEMPLATE], second
         self.kinds = kinds
 
-    def values(self, s: int, size: int) -> list[str]:
-        return [self.kinds.value[self.at[i]][-1 if self.second[i] else 0] for i in range(s, s + size) if self.slot[i]]
+    def values(self, s: int, size: int, form: int) -> list[str]:
+        slot = self.slots[form]
+        return [self.kinds.value[self.at[i]][-1 if self.second[i] else 0] for i in range(s, s + size) if slot[i]]
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, hash, whether placeholders stand) of the windows within a text; literal words stand where placeholders aren't outnumbered."""
-        h = shingle_hashes(self.h, size)
-        n = len(h)
-        slots = np.concatenate([[0], np.cumsum(self.slot)])
-        typed = 2 * (slots[size : size + n] - slots[:n]) < size
-        at = np.flatnonzero(self.doc[:n] == self.doc[size - 1 : size - 1 + n])
-        return at, np.where(typed, h, shingle_hashes(self.literal, size))[at], typed[at]
+        """(start, hash, form) of the windows within a text: each as words, and in the other forms that hold more words than placeholders."""
+        n = max(len(self.h) - size + 1, 0)
+        inside = self.doc[:n] == self.doc[size - 1 : size - 1 + n]
+        sums = [np.concatenate([[0], np.cumsum(x)]) for x in self.slots]
+        all_slots, figures = (x[size : size + n] - x[:n] for x in sums[:2])
+        chosen = {WORDS: inside, TEMPLATE: inside & (all_slots > 0) & (2 * all_slots < size), FIGURES: inside & (figures > 0) & (figures < all_slots) & (2 * figures < size)}
+        starts, hashes = {}, {}
+        for form, ok in chosen.items():
+            starts[form] = np.flatnonzero(ok)
+            if form == WORDS or len(starts[form]):
+                h = {WORDS: self.literal, TEMPLATE: self.h}.get(form)
+                hashes[form] = shingle_hashes(np.where(self.slots[FIGURES], self.h, self.literal) if h is None else h, size)[starts[form]]
+            else:
+                hashes[form] = np.empty(0, np.uint64)
+        return np.concatenate(list(starts.values())), np.concatenate(list(hashes.values())), np.concatenate([np.full(len(x), form, np.int8) for form, x in starts.items()])
 
 
 _SCHEMA = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("size", pa.int32()), ("pos", pa.int64()), ("h", pa.int64()), ("slots", pa.list_(pa.string())), ("n", pa.int64())])
@@ -122,24 +134,24 @@ def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=Non
         firsts = np.searchsorted(t.doc, np.arange(len(held)))
         lengths = np.diff(np.concatenate([firsts, [len(t.doc)]]))
         for k in sizes or sorted({min(size, int(n)) for n in lengths if n}):
-            starts, h, typed = t.windows(k)
+            starts, h, form = t.windows(k)
             if sizes is None:
                 fit = np.minimum(lengths[t.doc[starts]], size) == k
-                starts, h, typed = starts[fit], h[fit], typed[fit]
-            counts = np.bincount(t.doc[starts], minlength=len(held))
+                starts, h, form = starts[fit], h[fit], form[fit]
+            counts = np.bincount(t.doc[starts[form == WORDS]], minlength=len(held))
             if wanted is not None and len(starts):
                 known, coarse = wanted.value
                 maybe = np.flatnonzero(coarse[(h >> np.uint64(44)).astype(np.int64)])
                 maybe = maybe[known[np.minimum(np.searchsorted(known, h[maybe]), len(known) - 1)] == h[maybe]]
-                starts, h, typed = starts[maybe], h[maybe], typed[maybe]
-            for s, x, template in zip(starts.tolist(), h.view(np.int64).tolist(), typed.tolist(), strict=True):
+                starts, h, form = starts[maybe], h[maybe], form[maybe]
+            for s, x, f in zip(starts.tolist(), h.view(np.int64).tolist(), form.tolist(), strict=True):
                 d = int(t.doc[s])
-                row = (held[d][0], held[d][1], k, s - int(firsts[d]), x, t.values(s, k) if template else [], int(counts[d]))
+                row = (held[d][0], held[d][1], k, s - int(firsts[d]), x, t.values(s, k, f), int(counts[d]))
                 yield row
-                if both and template and s == firsts[d] and t.capital[s] and not t.slot[s]:
+                if both and f == WORDS and s == firsts[d] and t.capital[s] and not t.slot[s] and 2 * (1 + int(t.slot[s : s + k].sum())) < k:
                     other = t.h[s : s + k].copy()
                     other[0] = NAME
-                    yield (*row[:4], int(shingle_hashes(other, k).view(np.int64)[0]), [t.kinds.value[t.at[s]][0], *row[5]], row[6])
+                    yield (*row[:4], int(shingle_hashes(other, k).view(np.int64)[0]), [t.kinds.value[t.at[s]][0], *t.values(s, k, TEMPLATE)], row[6])
 
     def run(batches):
         begins("decontamination")
@@ -176,8 +188,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
     """(doc_id, item_id, n_windows, n_matched, coverage): the documents that hold an item of ``benchmark``(item_id, text), with that item.
 
     n_windows: the item's windows of ``size`` template tokens (one, of all its tokens, if it has fewer); one without more words than placeholders
-    must be met word by word. n_matched: those found in the document on alignments whose slots agree; coverage, their ratio, is ``share`` or more.
-    White space, case and marks at the ends of words don't matter. Null and empty texts and texts without words match nothing; repeated rows of a
+    must be met word by word. n_matched: those found in the document, in any form, on alignments whose slots agree; coverage, their ratio, is
+    ``share`` or more. White space, case and marks at the ends of words don't matter. Null and empty texts and texts without words match nothing; repeated rows of a
     doc_id give one row for an item; items with the same template each give rows; null ids come back null. No rows, no result.
 
     Items' windows are few against documents' ones: while they number at most BROADCAST_WINDOWS, tasks drop other windows before the join,

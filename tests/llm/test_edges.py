@@ -286,6 +286,15 @@ def test_decontamination_of_items_that_are_mostly_placeholders(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()} == {(0, 0), (1, 1), (2, 2)}
 
 
+def test_decontamination_of_copies_with_other_case_and_marks(spark):
+    item = "Early on a Monday Anna took 4 of the boats over to the mill. Then she met Bob near the old bridge. Why did he not bring any of his 9 ropes?"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    bare = item.replace(".", "").replace("?", "")
+    forms = [item, bare, item.title(), item.upper(), item.lower(), bare.lower().replace("4", "6").replace("9", "2")]
+    docs = spark.createDataFrame([(i, f"he said {t} and went on") for i, t in enumerate(forms)], "doc_id long, text string")
+    assert {r.doc_id for r in decontamination.contaminated(docs, items).collect()} == set(range(len(forms)))
+
+
 def test_sharding(spark, odd, none, tmp_path):
     got = sharding.assign(odd, 3)
     assert got.count() == 11 and {r.shard for r in got.collect()} <= {0, 1, 2}
