@@ -184,12 +184,25 @@ def _agree(pairs):
     return F.size(flat) == F.size(F.array_distinct(F.transform(flat, lambda x: x["of"])))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
+def _longest_run(tokens):
+    """The most consecutive numbers in a sorted array of distinct ones."""
+    begun = F.struct(F.lit(-2).cast("long").alias("last"), F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(s, x):
+        now = F.when(x == s["last"] + 1, s["now"] + 1).otherwise(1)
+        return F.struct(x.cast("long").alias("last"), now.alias("now"), F.greatest(s["most"], now).alias("most"))
+
+    return F.aggregate(tokens, begun, step, lambda s: s["most"])
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8, run: int = 13) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, coverage): the documents that hold an item of ``benchmark``(item_id, text), with that item.
 
     n_windows: the item's windows of ``size`` template tokens (one, of all its tokens, if it has fewer); one without more words than placeholders
-    must be met word by word. n_matched: those found in the document, in any form, on alignments whose slots agree; coverage, their ratio, is
-    ``share`` or more. White space, case and marks at the ends of words don't matter. Null and empty texts and texts without words match nothing; repeated rows of a
+    must be met word by word. n_matched: those found in the document, in any form, on alignments whose slots agree; where they don't, windows met
+    word by word still count. coverage: the share of the item's tokens that lie in such windows, so that an edited word costs one token and not
+    all windows over it. A document holds an item if coverage is ``share`` or more, or if ``run`` tokens in a row lie in such windows of one
+    alignment. White space, case and marks at the ends of words don't matter. Null and empty texts and texts without words match nothing; repeated rows of a
     doc_id give one row for an item; items with the same template each give rows; null ids come back null. No rows, no result.
 
     Items' windows are few against documents' ones: while they number at most BROADCAST_WINDOWS, tasks drop other windows before the join,
@@ -213,11 +226,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
     else:
         found = _windows(docs, "doc_id", "text", size, wanted, sizes)
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("of"), b.alias("to")))
-    met = found.drop("n").join(right, ["h", "size"]).select("id", "text_key", "item_id", "item_key", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), pairs.alias("pairs"))
+    met = found.drop("n").join(right, ["h", "size"]).select("id", "text_key", "item_id", "item_key", "n_windows", "size", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), pairs.alias("pairs"))
     # An alignment has at most the item's windows, however often it stands in a document.
-    aligned = met.groupBy("id", "text_key", "item_id", "item_key", "n_windows", "shift").agg(F.collect_set("item_pos").alias("at"), F.collect_set("pairs").alias("pairs")).where(_agree(F.col("pairs")))
-    matched = aligned.groupBy("id", "text_key", "item_id", "item_key", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("n_matched"))
-    best = matched.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= share)
+    item = ["id", "text_key", "item_id", "item_key", "n_windows", "size"]
+    aligned = met.groupBy(*item, "shift").agg(F.collect_set("item_pos").alias("all"), F.collect_set(F.when(F.size("pairs") == 0, F.col("item_pos"))).alias("exact"), F.collect_set("pairs").alias("pairs"))
+    aligned = aligned.select(*item, F.when(_agree(F.col("pairs")), F.col("all")).otherwise(F.col("exact")).alias("at")).where(F.size("at") > 0)
+
+    def tokens(at):
+        return F.array_sort(F.array_distinct(F.flatten(F.transform(at, lambda x: F.sequence(x, x + F.col("size") - 1)))))
+
+    # Alignments with the same windows are one.
+    matched = aligned.withColumn("at", F.array_sort("at")).groupBy(*item).agg(F.collect_set("at").alias("each"))
+    at = F.array_distinct(F.flatten("each"))
+    best = matched.select(*item, F.size(at).cast("long").alias("n_matched"), (F.size(tokens(at)) / (F.col("n_windows") + F.col("size") - 1)).alias("coverage"), F.array_max(F.transform("each", lambda x: _longest_run(tokens(x)))).alias("run"))
+    best = best.where((F.col("coverage") >= share) | (F.col("run") >= run))
     return best.groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.max(F.struct("coverage", "n_windows", "n_matched")).alias("b")).select("doc_id", "item_id", "b.n_windows", "b.n_matched", "b.coverage")
 
 

@@ -295,6 +295,24 @@ def test_decontamination_of_copies_with_other_case_and_marks(spark):
     assert {r.doc_id for r in decontamination.contaminated(docs, items).collect()} == set(range(len(forms)))
 
 
+def test_decontamination_of_edited_and_partial_items(spark):
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:20]) + " tail")], "item_id long, text string")
+
+    def edited(*at):
+        return " ".join("other" if k in at else w for k, w in enumerate(words))
+
+    texts = [edited(7), edited(7, 21), edited(7, 21, 30), " ".join(words[:30]), " ".join(words[22:35]), " ".join(words[22:34]), edited(*range(3, 40, 4)), " ".join(words[:26]).upper()]
+    docs = spark.createDataFrame([(i, f"so {t} then") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontamination.contaminated(docs, items).collect()}
+    assert {d for d, i in got if i == 1} == {0, 1, 2, 3, 4, 7} and {d for d, i in got if i == 2} == {0, 1, 2, 3, 7}
+    assert abs(got[0, 1] - 39 / 40) < 1e-9 and abs(got[4, 1] - 13 / 40) < 1e-9
+    # One name out of step with the others: what is met word by word still counts.
+    item = "Then Anna said that the old boat was on the far side of the mill and that nobody but Anna could row it"
+    docs = spark.createDataFrame([(1, "x. " + item.replace("but Anna", "but Mary"))], "doc_id long, text string")
+    assert decontamination.contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).count() == 1
+
+
 def test_sharding(spark, odd, none, tmp_path):
     got = sharding.assign(odd, 3)
     assert got.count() == 11 and {r.shard for r in got.collect()} <= {0, 1, 2}
