@@ -168,7 +168,8 @@ def fold(doc_id: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries: int = 256, least_docs: int = 4) -> Model:
-    """Fits on at most about ``max_rows`` labelled rows outside the held-out fold, chosen by a hash of their id.
+    """Fits on at most about ``max_rows`` labelled documents outside the held-out fold, chosen by a hash of their id; of repeated rows of an id on
+    that of the least text.
 
     The bound is on the fit alone; scoring takes all rows. Of the mined lexicon, the ``max_entries`` most telling entries by a likelihood ratio
     are kept. Rows with a null id, label or text don't train; without both classes the model gives every text the training rate.
@@ -177,7 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries:
     n = usable.count()
     part = min(1.0, max_rows / max(n, 1))
     chosen = usable.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000)) < F.lit(int(part * 1_000_000)))
-    rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    # One row a document, however often its id is repeated: the bound holds for rows.
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
     sample = stored(rows, "toxicity-sample")
 
     def counted_in(by: tuple[Counter, Counter]) -> pa.RecordBatch:

@@ -247,6 +247,16 @@ def test_toxicity(spark, odd, none):
     assert toxicity.scored(none, model).count() == 0 and toxicity.drop_toxic(odd, known).count() == 11
 
 
+def test_toxicity_fits_on_one_row_a_document(spark):
+    texts = [("you utter moron and scum " if i % 3 == 0 else "a calm and kind remark ") + f"number {i}" for i in range(90)]
+    docs = table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    known = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    hot = next(i for i in range(1, 90, 3) if zlib.crc32(str(i).encode()) % 5)
+    more = docs.union(table(spark, [(hot, "you utter moron and scum " + texts[hot], None, None, None)] * 500))
+    a, b = toxicity.fit(docs, known), toxicity.fit(more, known)
+    assert a.entries == b.entries and a.bias == b.bias and (a.weights == b.weights).all()
+
+
 def test_label_model_shares_the_weight_of_copies():
     rng = np.random.default_rng(5)
     y = rng.random(4000) < 0.3
