@@ -125,8 +125,10 @@ def formatted(messages: DataFrame, keep: int | None = None) -> DataFrame:
 
     Null texts and roles count as empty. A path's text is one row by its nature; tasks hold one path at a time.
     """
+    # Null trees are one tree: in structs, nulls are equal in joins too.
+    messages = messages.withColumn("tree", F.struct("tree"))
     turns = best_paths(messages.select("tree", "id", "parent", "score"), keep).join(messages.select("tree", "id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")), ["tree", "id"])
-    gathered = turns.groupBy("tree", "leaf", "rank").agg(F.array_sort(F.collect_list(F.struct("depth", "id", "role", "text"))).alias("turns"))
+    gathered = turns.groupBy("tree", "leaf", "rank").agg(F.array_sort(F.collect_list(F.struct("depth", "id", "role", "text"))).alias("turns")).select("tree.tree", "leaf", "rank", "turns")
     spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def run(batches):
@@ -141,12 +143,14 @@ def formatted(messages: DataFrame, keep: int | None = None) -> DataFrame:
     return gathered.mapInArrow(run, "tree long, leaf long, rank int, text string, loss_spans array<struct<start: long, stop: long>>")
 
 
-def threads(turns: DataFrame, tree: str = "conv_id", order: str = "turn") -> DataFrame:
+def threads(turns: DataFrame, tree: str = "conv_id", order: str = "turn", nulls: bool = False) -> DataFrame:
     """Linear conversations as messages: each row replies to the one before it by ``order``; ties are broken by role and text.
 
-    Repeated rows are turns of their own, a null ``order`` comes first, and rows whose ``tree`` is null belong to no conversation.
+    Repeated rows are turns of their own, a null ``order`` comes first, and rows whose ``tree`` is null belong to no conversation
+    or, with ``nulls``, are one.
     """
-    turns = turns.where(F.col(tree).isNotNull())
+    if not nulls:
+        turns = turns.where(F.col(tree).isNotNull())
     at = Window.partitionBy(tree).orderBy(order, "role", "text")
     rows = turns.select(F.col(tree).cast("long").alias("tree"), F.row_number().over(at).cast("long").alias("id"), "role", "text")
     return rows.select("tree", "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"), F.lit(0.0).alias("score"), "role", "text")

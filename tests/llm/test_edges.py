@@ -90,6 +90,14 @@ def test_chat(spark):
     assert chat.read_back(chat.formatted(chat.threads(turns.limit(0)))).count() == 0
 
 
+def test_chat_query_keeps_the_conversation_without_an_id(spark, tmp_path):
+    from eventloom.llm.queries import op2_chat
+
+    rows = [(None, 0, "user", "hi"), (None, 1, "assistant", "yes"), (None, 2, "user", "so"), (1, 0, "user", "a")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    assert {(r.conv_id, r.n_turns, r.loss_chars) for r in op2_chat(spark, str(tmp_path)).collect()} == {(None, 3, 3), (1, 1, 0), (-1, 2, 21)}
+
+
 def test_reply_tree(spark):
     links = [(1, None, 0.0), (2, 1, 1.0), (3, 1, 5.0), (4, 2, 9.0), (5, 4, 9.0), (6, 3, 0.0), (7, 99, 1.0), (8, 9, 1.0), (9, 8, 1.0)]
     m = spark.createDataFrame([(0, i, p, s, "user", f"m{i}") for i, p, s in links], "tree long, id long, parent long, score double, role string, text string")
