@@ -3,7 +3,8 @@
 1. Candidates. A window is ``window`` consecutive words. Its anchor is the least hash of the runs of ``anchor`` words in it, so equal windows
    have equal anchors, and neighbours mostly share theirs: few anchors stand for all windows. Anchors found in two documents or more recur.
 2. Confirmation. Only windows with a recurring anchor are hashed whole and exchanged; the smallest document of each is its owner.
-3. Owners cut the passages, runs of windows that others need, out of their texts and send them to the chunks that need them.
+3. The passages, runs of windows with one owner, are cut out of a text that has them and sent to the chunks that need them. A chunk sends a
+   window to SERVED others at most, which send it on, so that a passage in a third of all chunks is no one chunk's load.
 4. A shard of the automata holds the passages of one chunk of documents: every chunk compiles those sent to it and its own documents', and
    streams all its documents through. A hit is compared word for word in both directions, so no hash decides a removal.
 """
@@ -11,57 +12,62 @@
 from __future__ import annotations
 
 import hashlib
-import re
-from itertools import repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from eventloom.llm.cells import Chunk, bucket_of, chunked, pack, raw, slices, unpack, unraw
-from eventloom.llm.common import WordHashes, parts, remembers, texts
+from eventloom.llm.cells import Chunk, Split, among, bucket_of, buckets_for, chunked, pack, raw, sized, slices, unpack, unraw
+from eventloom.llm.common import mixed
 
 WINDOW, ANCHOR = 13, 6
-
-_HASHES = WordHashes(seed=3)  # of a Python worker; words keep their hashes from chunk to chunk
-remembers("chunks", _HASHES.clear)
+#: Chunks to which one chunk sends a window.
+SERVED = 64
 
 
 def _anchors(c: Chunk, starts: np.ndarray) -> np.ndarray:
-    """The 48-bit anchor of the window at each start."""
-    h = c.hashes(ANCHOR)
+    """The 48-bit anchor of the window at each start, in the upper bits."""
+    low = c.hashes(ANCHOR)
     width, have = WINDOW - ANCHOR + 1, 1
-    low = h
     while have < width:
         step = min(have, width - have)
         low = np.minimum(low[:-step], low[step:])
         have += step
-    return mixed48(low[starts])
-
+    return mixed(low[starts]) & ~np.uint64(0xFFFF)
 
-def mixed48(h: np.ndarray) -> np.ndarray:
-    from eventloom.llm.common import mixed
 
-    return mixed(h) & ~np.uint64(0xFFFF)
+def _edges(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
 
 
 def _send_anchors(buckets: int):
     schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("one", pa.binary()), ("many", pa.binary())])
 
     def run(key, table):
-        c = Chunk(table, _HASHES)
+        c = Chunk(table)
         starts = c.windows(WINDOW)
+        if not len(starts):
+            return schema.empty_table()
         v, d = _anchors(c, starts), c.doc[starts]
-        new = np.ones(len(v), bool)
-        new[1:] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
-        v, d = v[new], c.ids[d[new]]
-        order = np.argsort(v, kind="stable")
-        v, d = v[order], d[order]
-        first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.empty(0, np.int64)
-        many = np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first) if len(v) else np.empty(0, bool)
-        v = v[first] >> np.uint64(16)
+        new = _edges(v, d)
+        rank = np.unique(c.ids, return_inverse=True)[1]
+        v, d = v[new], rank[d[new]].astype(np.uint64)
+        if len(c.ids) <= 1 << 16:  # the document's number stands in the free bits
+            v = np.sort(v | d)
+            d, v = v & np.uint64(0xFFFF), v >> np.uint64(16)
+        else:
+            order = np.lexsort((d, v))
+            d, v = d[order], v[order] >> np.uint64(16)
+        first = _edges(v)
+        many = d[first] != d[np.append(first[1:], len(d)) - 1]
+        v = v[first]
         rows = [(b, pack(v[s:e][~many[s:e]]), pack(v[s:e][many[s:e]])) for b, s, e in slices(bucket_of(v << np.uint64(16), buckets))]
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], schema=schema)
 
@@ -79,8 +85,8 @@ def _recurring(table: pa.Table) -> pa.Table:
     v, c, m = np.concatenate(v), np.concatenate(c), np.concatenate(m)
     order = np.argsort(v, kind="stable")
     v, c, m = v[order], c[order], m[order]
-    edges = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-    sizes = np.diff(np.concatenate([edges, [len(v)]]))
+    edges = _edges(v)
+    sizes = np.diff(np.append(edges, len(v)))
     recur = np.repeat((sizes > 1) | (np.maximum.reduceat(m, edges) > 1), sizes) if len(v) else np.empty(0, bool)
     v, c = v[recur], c[recur]
     order = np.argsort(c, kind="stable")
@@ -96,17 +102,17 @@ def _send_windows(buckets: int):
     def run(key, table, answers):
         if not table.num_rows or not answers.num_rows:
             return schema.empty_table()
-        c = Chunk(table, _HASHES)
+        c = Chunk(table)
         starts = c.windows(WINDOW)
         wanted = np.sort(np.concatenate([unpack(x) for x in answers.column("anchors").to_pylist()]))
-        v = _anchors(c, starts) >> np.uint64(16)
-        at = np.minimum(np.searchsorted(wanted, v), len(wanted) - 1)
-        starts = starts[wanted[at] == v]
+        v = _anchors(c, starts)
+        runs = _edges(v)
+        starts = starts[np.repeat(among(v[runs], wanted << np.uint64(16)), np.diff(np.append(runs, len(v))))]
         h, d = c.hashes(WINDOW)[starts], c.ids[c.doc[starts]]
-        order = np.lexsort((d, h))
+        order = np.argsort(h)
         h, d = h[order], d[order]
-        first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
-        h, d = h[first], d[first]
+        first = _edges(h)
+        h, d = h[first], np.minimum.reduceat(d, first) if len(d) else d
         rows = [(b, h[s:e].astype("<u8").tobytes(), raw(d[s:e])) for b, s, e in slices(bucket_of(h, buckets))]
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([key[0].as_py()] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], schema=schema)
 
@@ -114,7 +120,10 @@ def _send_windows(buckets: int):
 
 
 def _requests(table: pa.Table) -> pa.Table:
-    """Of a bucket: for each owner's chunk the windows that other chunks need, and which chunks those are."""
+    """Of a bucket: for each chunk the windows that it has to send, to which chunks, and their owners.
+
+    A window's chunks, ordered by their smallest document with it, are a tree: each but the first, the owner's, gets it from one before it.
+    """
     h, d, c = [], [], []
     for chunk, windows, docs in zip(*(table.column(x).to_pylist() for x in ("chunk", "windows", "docs")), strict=True):
         h.append(np.frombuffer(windows, "<u8"))
@@ -123,66 +132,68 @@ def _requests(table: pa.Table) -> pa.Table:
     h, d, c = np.concatenate(h), np.concatenate(d), np.concatenate(c)
     order = np.lexsort((c, d, h))
     h, d, c = h[order], d[order], c[order]
-    edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    sizes = np.diff(np.concatenate([edges, [len(h)]]))
-    owner, owner_doc = np.repeat(c[edges], sizes), np.repeat(d[edges], sizes)
-    need = (d != owner_doc) & (c != owner)
-    h, c, owner = h[need], c[need], owner[need]
-    order = np.lexsort((h, c, owner))
-    h, c, owner = h[order], c[order], owner[order]
-    rows = [(k, h[s:e].tobytes(), raw(c[s:e])) for k, s, e in slices(owner)]
-    return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int32()), "windows": pa.array([r[1] for r in rows], pa.binary()), "targets": pa.array([r[2] for r in rows], pa.binary())})
-
-
-def _passages(c: Chunk, starts: np.ndarray):
-    """(document's place, text) of the runs of windows at sorted starts."""
+    edges = _edges(h)
+    sizes = np.diff(np.append(edges, len(h)))
+    first = np.repeat(edges, sizes)
+    place = np.arange(len(h)) - first
+    need = np.flatnonzero(d != d[first])
+    sender = c[first[need] + (place[need] - 1) // SERVED]
+    h, c, owner = h[need], c[need], d[first[need]]
+    order = np.lexsort((h, c, sender))
+    h, c, owner, sender = h[order], c[order], owner[order], sender[order]
+    rows = [(k, h[s:e].tobytes(), raw(c[s:e]), raw(owner[s:e])) for k, s, e in slices(sender)]
+    names = ("windows", "targets", "owners")
+    return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int32()), **{n: pa.array([r[i] for r in rows], pa.binary()) for i, n in enumerate(names, 1)}})
+
+
+def _runs(c: Chunk, starts: np.ndarray):
+    """(first word, number of words) of the runs of windows at sorted starts, each within a document."""
     if not len(starts):
         return
     breaks = np.flatnonzero((np.diff(starts) != 1) | (np.diff(c.doc[starts]) != 0)) + 1
-    for s, e in zip(np.concatenate([[0], breaks]).tolist(), np.concatenate([breaks, [len(starts)]]).tolist(), strict=True):
-        k = int(c.doc[starts[s]])
-        at = int(starts[s] - c.starts[k])
-        yield k, c.words[k][at : at + (e - s) + WINDOW - 1]
+    first, last = np.concatenate([[0], breaks]), np.append(breaks, len(starts)) - 1
+    yield from zip(starts[first].tolist(), (starts[last] - starts[first] + WINDOW).tolist(), strict=True)
+
+
+def _places(c: Chunk, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of sorted hashes in a chunk, sorted by hash, then by document and place: (hashes, documents' ids, starts)."""
+    starts = c.windows(WINDOW)
+    h = c.hashes(WINDOW)[starts]
+    met = among(h, wanted)
+    h, starts = h[met], starts[met]
+    d = c.ids[c.doc[starts]]
+    order = np.lexsort((starts, d, h))
+    return h[order], d[order], starts[order]
 
 
 def _send_passages(key, table: pa.Table, answers: pa.Table) -> pa.Table:
-    """Of an owner's chunk: the passages that other chunks need, in the owners' words."""
+    """Of a chunk: the passages that it has to send, in its own words."""
     schema = pa.schema([("chunk", pa.int32()), ("owner", pa.int64()), ("passage", pa.binary())])
     if not table.num_rows or not answers.num_rows:
         return schema.empty_table()
-    c = Chunk(table, _HASHES)
-    starts = c.windows(WINDOW)
-    h, d = c.hashes(WINDOW)[starts], c.ids[c.doc[starts]]
-    order = np.lexsort((starts, d, h))  # the smallest document's first place of each window
-    h, starts = h[order], starts[order]
-    first = np.concatenate([[True], h[1:] != h[:-1]])
-    h, starts = h[first], starts[first]
+    c = Chunk(table)
     wanted = np.concatenate([np.frombuffer(x, "<u8") for x in answers.column("windows").to_pylist()])
-    target = np.concatenate([unraw(x) for x in answers.column("targets").to_pylist()])
-    at = starts[np.searchsorted(h, wanted)]
-    order = np.lexsort((at, target))
-    at, target = at[order], target[order]
-    rows = [(t, int(c.ids[k]), b" ".join(w)) for t, s, e in slices(target) for k, w in _passages(c, at[s:e])]
+    target, owner = (np.concatenate([unraw(x) for x in answers.column(n).to_pylist()]) for n in ("targets", "owners"))
+    h, _, starts = _places(c, np.unique(wanted))
+    first = _edges(h)
+    at = starts[first][np.searchsorted(h[first], wanted)]
+    order = np.lexsort((at, owner, target))
+    at, target, owner = at[order], target[order], owner[order]
+    edges = np.append(_edges(target, owner), len(at)).tolist()
+    rows = [(int(target[s]), int(owner[s]), c.said(w, n)) for s, e in zip(edges, edges[1:]) for w, n in _runs(c, at[s:e])]
     return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
 def _own_passages(c: Chunk):
-    """(document's place, words) of the passages that a document of this chunk owns and a later one here has."""
-    starts = c.windows(WINDOW)
-    h, d = c.hashes(WINDOW)[starts], c.ids[c.doc[starts]]
-    order = np.lexsort((starts, d, h))
-    h, d, starts = h[order], d[order], starts[order]
+    """(owner, first word, number of words) of the passages that a document of this chunk has first and a later one here has too."""
+    h = np.sort(c.hashes(WINDOW)[c.windows(WINDOW)])
+    h, d, starts = _places(c, np.unique(h[1:][h[1:] == h[:-1]]))
     if not len(h):
         return
-    edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    last = np.concatenate([edges[1:], [len(h)]]) - 1
-    yield from _passages(c, np.sort(starts[edges[d[edges] != d[last]]]))
-
-
-class _Numbers(dict):
-    def __missing__(self, word):
-        v = self[word] = len(self) + 1
-        return v
+    first = _edges(h)
+    twice = d[first] != d[np.append(first[1:], len(d)) - 1]
+    for w, n in _runs(c, np.sort(starts[first[twice]])):
+        yield int(c.ids[c.doc[w]]), w, n
 
 
 def _spelled(numbers: np.ndarray, digits: int) -> str:
@@ -193,8 +204,9 @@ def _spelled(numbers: np.ndarray, digits: int) -> str:
     return (out + 48).tobytes().decode("ascii")
 
 
-def covered(docs: list[np.ndarray], ids: np.ndarray, passages: list[tuple[int, np.ndarray]]) -> list[np.ndarray | None]:
-    """For each document, which of its words a window of a passage with a smaller id covers; None: none. Words are numbers, equal if the words are.
+def covered(docs: list[np.ndarray], ids: np.ndarray, passages: list[tuple[int, np.ndarray]], said=None) -> list[np.ndarray | None]:
+    """For each document, which of its words a window of a passage with a smaller id covers; None: none. Words are numbers, equal if the words are,
+    or, with ``said``, at least likely so: said(i, s, k, o, n) is then the words themselves, of document i from s and of passage k from o.
 
     The automaton holds each passage in parts of about half a window, at multiples of their length: every window has a whole part in it. A
     part's hit fixes how document and passage lie against each other, and the two are compared once for each such position.
@@ -233,6 +245,10 @@ def covered(docs: list[np.ndarray], ids: np.ndarray, passages: list[tuple[int, n
                 if e - s < WINDOW:
                     continue
                 differ = np.flatnonzero(doc[s:e] != p[s - shift : e - shift]).tolist()
+                if said is not None and len(differ) < e - s:
+                    ours, theirs = said(i, s, k, s - shift, e - s)
+                    if ours != theirs:
+                        differ = [x for x, (a, b) in enumerate(zip(ours, theirs, strict=True)) if a != b]
                 for x, y in zip([-1, *differ], [*differ, e - s], strict=True):
                     if y - x > WINDOW:
                         if mark is None:
@@ -242,12 +258,46 @@ def covered(docs: list[np.ndarray], ids: np.ndarray, passages: list[tuple[int, n
     return found
 
 
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
-
-
-def _without(text: bytes, mark: np.ndarray) -> bytes:
-    """The text without the marked words and the white space after each."""
-    return b"".join(m[0] for m, gone in zip(_WORD.finditer(text), mark.tolist(), strict=True) if not gone)
+def _marks(c: Chunk, sent: pa.Table) -> list[np.ndarray | None]:
+    """Which words of each document go."""
+    own = list(_own_passages(c))
+    others = Split(sent.column("passage"))
+    places = [(c, w, n) for _, w, n in own] + [(others, int(s), int(e - s)) for s, e in zip(others.starts, others.ends, strict=True)]
+    if not places:
+        return [None] * len(c.ids)
+    # Words of passages are numbered from 1; all other words of documents are 0.
+    known = np.unique(np.concatenate([others.h, *(c.h[w : w + n] for _, w, n in own)]))
+    met = np.flatnonzero(among(c.h, known))
+    numbers = np.zeros(len(c.h), np.int64)
+    numbers[met] = np.searchsorted(known, c.h[met]) + 1
+    passages = [(owner, numbers[w : w + n]) for owner, w, n in own]
+    theirs = np.searchsorted(known, others.h) + 1
+    passages += [(owner, theirs[s:e]) for owner, s, e in zip(sent.column("owner").to_pylist(), others.starts, others.ends, strict=True)]
+    docs = [numbers[s:s] if n else numbers[s:e] for s, e, n in zip(c.starts.tolist(), c.ends.tolist(), c.null.tolist(), strict=True)]
+
+    def said(i, s, k, o, n):
+        source, first, _ = places[k]
+        return c.said(int(c.starts[i]) + s, n).split(), source.said(first + o, n).split()
+
+    return covered(docs, c.ids, passages, said)
+
+
+def _kept(c: Chunk, i: int, mark: np.ndarray | None) -> bytes:
+    """The kept words of a document, joined by single spaces."""
+    s, e = int(c.starts[i]), int(c.ends[i])
+    if s == e or (mark is not None and mark.all()):
+        return b""
+    text = c.said(s, e - s)
+    if mark is None:
+        return text if text.count(b" ") == e - s - 1 == int(c.space[c.start[s] : c.end[e - 1]].sum()) else b" ".join(text.split())
+    return b" ".join([w for w, gone in zip(text.split(), mark.tolist(), strict=True) if not gone])
+
+
+def _without(c: Chunk, i: int, mark: np.ndarray) -> bytes:
+    """The text of a document without the marked words and the white space after each."""
+    own, stop = c.start[c.starts[i] : c.ends[i]], c.bounds[i + 1]
+    keep = np.concatenate([np.ones(own[0] - c.bounds[i], bool), np.repeat(~mark, np.diff(np.append(own, stop)))])
+    return c.data[c.bounds[i] : stop][keep].tobytes()
 
 
 def deduplicated(docs: DataFrame, mb: float = 2.0) -> DataFrame:
@@ -256,19 +306,19 @@ def deduplicated(docs: DataFrame, mb: float = 2.0) -> DataFrame:
     A word goes if a window of ``WINDOW`` words over it has the same words as one that starts in a document with a smaller doc_id, judged on
     the input. A text loses its removed words and the white space after each; others stay byte for byte. kept_sha256: of the kept words,
     joined by single spaces. Null and empty texts stay and have no words; rows with a null doc_id lose nothing and are no one's earlier
-    document; repeated rows of a doc_id are one document and lose the same. No rows, no result. Columns named as the added ones give way.
+    document; repeated rows of a doc_id are one document and lose the same. No rows, no result. Columns of docs named as the added ones, or
+    ``chunk``, give way.
 
     All is one plan, in which the exchange of texts by chunk is made once and used by each of its four readers.
     """
-    spark = docs.sparkSession
     docs = docs.drop("n_words", "n_removed", "kept_sha256", "chunk")
-    buckets = parts(spark)
-    chunks = chunked(docs, mb)
-    by_chunk = chunks.groupBy("chunk")
+    size = sized(docs)
+    buckets = buckets_for(size, docs.sparkSession)
+    by_chunk = chunked(docs, size, mb).groupBy("chunk")
     anchors = by_chunk.applyInArrow(_send_anchors(buckets), "bucket int, chunk int, one binary, many binary")
     recurring = anchors.groupBy("bucket").applyInArrow(_recurring, "chunk int, anchors binary")
     windows = by_chunk.cogroup(recurring.groupBy("chunk")).applyInArrow(_send_windows(buckets), "bucket int, chunk int, windows binary, docs binary")
-    requests = windows.groupBy("bucket").applyInArrow(_requests, "chunk int, windows binary, targets binary")
+    requests = windows.groupBy("bucket").applyInArrow(_requests, "chunk int, windows binary, targets binary, owners binary")
     passages = by_chunk.cogroup(requests.groupBy("chunk")).applyInArrow(_send_passages, "chunk int, owner long, passage binary")
 
     names = docs.columns
@@ -276,23 +326,18 @@ def deduplicated(docs: DataFrame, mb: float = 2.0) -> DataFrame:
     out = T.StructType([*docs.schema.fields, *added.fields])
 
     def remove(key, table, sent):
-        c = Chunk(table, _HASHES)
-        numbers = _Numbers()  # of the passages' words; all other words of documents are 0
-        known = [(int(c.ids[k]), np.array([numbers[x] for x in w], np.int64)) for k, w in _own_passages(c)]
-        for owner, passage in zip(sent.column("owner").to_pylist(), sent.column("passage").to_pylist(), strict=True):
-            known.append((owner, np.array([numbers[x] for x in passage.split()], np.int64)))
-        rows = [np.fromiter(map(numbers.get, w, repeat(0)), np.int64, len(w)) for w in c.words]
-        marks = covered([r if not n else r[:0] for r, n in zip(rows, c.null.tolist(), strict=True)], c.ids, known)
-        text, removed, digests = texts(table.column("text")), [], []
-        for i, mark in enumerate(marks):
-            kept = c.words[i]
-            removed.append(0)
-            if mark is not None and mark.any():
-                removed[-1] = int(mark.sum())
-                kept = [w for w, gone in zip(kept, mark.tolist(), strict=True) if not gone]
-                text[i] = _without(text[i], mark)
-            digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-        columns = [pa.array(text, pa.binary()).cast(pa.string()) if n == "text" else table.column(n) for n in names]
-        return pa.table([*columns, pa.array([len(w) for w in c.words], pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())], names=[*names, *added.names])
+        c = Chunk(table)
+        marks = [m if m is not None and m.any() else None for m in _marks(c, sent)]
+        removed = [0 if m is None else int(m.sum()) for m in marks]
+        digests = [hashlib.sha256(_kept(c, i, m)).hexdigest() for i, m in enumerate(marks)]
+        changed = [i for i, m in enumerate(marks) if m is not None]
+        text = table.column("text").combine_chunks()
+        if changed:
+            at = np.full(len(text), -1)
+            at[changed] = np.arange(len(changed))
+            new = pa.array([_without(c, i, marks[i]) for i in changed], pa.binary()).cast(text.type).take(pa.array(at, mask=at < 0))
+            text = pc.if_else(pa.array(at >= 0), new, text)
+        columns = [text if n == "text" else table.column(n) for n in names]
+        return pa.table([*columns, pa.array(c.ends - c.starts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())], names=[*names, *added.names])
 
     return by_chunk.cogroup(passages.groupBy("chunk")).applyInArrow(remove, out)
