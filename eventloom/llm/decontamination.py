@@ -1,22 +1,26 @@
 """Benchmark decontamination by templates.
 
-Numbers, units after a number and capitalised words inside a sentence become typed placeholders, so that a question with other figures and
-names has the template of the original. Capitals decide what is a name, and copies may lose or gain them, so each window also stands with its
-names, and with all its placeholders, as case-folded words. Windows are hash-joined in any of the three forms. Matches lie on alignments of one
-document and one item; an alignment counts only if its slots agree: what is one value in the item is one value in the document.
+Numbers, units after a number and capitalised words become typed placeholders, words capitalised in a row being one name, so that a question with
+other figures and names has the template of the original. Capitals decide what is a name, and copies may lose or gain them, so each window also
+stands with its names, and with all its placeholders, as case-folded words. Windows are hash-joined in any of the three forms. Those of one document
+and one item that lie about the same way against each other are put together, and count only if their slots agree: what is one value in the item
+is one value in the document.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import begins, shingle_hashes, texts, words
+from eventloom.llm.common import begins, cut, shingle_hashes
 
 #: Units that count as such after a number. Fixed values.
 UNITS = frozenset(
@@ -31,142 +35,173 @@ NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleve
 
 NUMBER, UNIT, NAME = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\0number", b"\0unit", b"\0name"))
 #: Words that a task remembers; beyond them it begins anew.
-KNOWN_WORDS = 200_000
-#: A window's forms: with all placeholders, with those of numbers and units, with none.
+KNOWN_WORDS = 400_000
+#: Forms of a window: with all placeholders, with those of numbers and units, with none.
 TEMPLATE, FIGURES, WORDS = range(3)
-_WITH_UNIT = re.compile(r"([+-]?[\d.,/]*\d)([^\W\d_]+|%)")
+#: What a word is: any word, a number, a number with a unit, nothing but marks.
+WORD, PLAIN_NUMBER, WITH_UNIT, NOTHING = range(4)
+#: Flags of a word: it is a unit's name, it is capitalised, it ends a sentence.
+IS_UNIT, CAPITAL, ENDS = 1, 2, 4
+_NUMBER_WITH_UNIT = re.compile(r"([+-]?[\d.,/]*\d)([^\W\d_]+|%)")
 _FIGURE = re.compile(r"[+-]?\d[\d.,/]*")
 _EDGES = re.compile(r"^[^\w%+-]+|[^\w%]+$")
+_TAIL = "".join(x for x in punctuation if x not in "%_")
+_CLOSING = "\"')]}»”’"
 
 
 class _Kinds(dict):
-    """For each raw word a row of five tables: literal hash (of a number with a unit, the number's), the unit's, kind (0 word, 1 number, 2 number
-    with unit, 3 nothing left), whether it is a unit word, is capitalised, or ends a sentence, and its values."""
+    """For each raw word its number in the tables: literal hash (of a number with a unit, the number's), the unit's, kind, flags and values."""
 
     def __init__(self):
         super().__init__()
-        self.hash, self.last, self.kind, self.flags, self.value = [], [], [], [], []
-
-    def __missing__(self, raw: bytes) -> int:
-        text = raw.decode("utf-8", "replace")
-        own = _EDGES.sub("", text).strip("_")
+        self.hash, self.last = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
+        self.kind, self.flags = np.zeros(1 << 12, np.int8), np.zeros(1 << 12, np.int8)
+        self.value: list[tuple[str, ...]] = []
+
+    def __missing__(self, raw: str) -> int:
+        own = raw.rstrip(_TAIL)
+        plain = own.isalpha()  # most words are letters with marks after them
+        if not plain:
+            own = _EDGES.sub("", raw).strip("_")
         low = own.casefold()
-        m = _WITH_UNIT.fullmatch(low)
-        kind = 3 if not own or not re.search(r"\w|%", own) else 1 if _FIGURE.fullmatch(low) or low in NUMBERS else 2 if m and m[2] in UNITS else 0
-        value = m.groups() if kind == 2 else (low,)
-        self.hash.append(xxhash.xxh64_intdigest(value[0].encode()))
-        self.last.append(xxhash.xxh64_intdigest(value[1].encode()) if kind == 2 else 0)
-        self.kind.append(kind)
-        ends = text.rstrip("\"')]}»”’")[-1:] in (".", "!", "?")
-        self.flags.append((low in UNITS) | (own[:1].isupper() and (own[1:].islower() or len(own) == 1)) << 1 | ends << 2)
+        kind, value = WORD, (low,)
+        if not plain:
+            m = _NUMBER_WITH_UNIT.fullmatch(low)
+            if not re.search(r"\w|%", own):
+                kind = NOTHING
+            elif _FIGURE.fullmatch(low):
+                kind = PLAIN_NUMBER
+            elif m and m[2] in UNITS:
+                kind, value = WITH_UNIT, m.groups()
+        elif low in NUMBERS:
+            kind = PLAIN_NUMBER
+        v = len(self.value)
+        if v == len(self.hash):
+            self.hash, self.last, self.kind, self.flags = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hash, self.last, self.kind, self.flags))
+        self.hash[v] = xxhash.xxh64_intdigest(value[0])
+        self.last[v] = xxhash.xxh64_intdigest(value[1]) if kind == WITH_UNIT else 0
+        self.kind[v] = kind
+        ends = raw.rstrip(_CLOSING)[-1:] in (".", "!", "?")
+        self.flags[v] = IS_UNIT * (low in UNITS) | CAPITAL * (own[:1].isupper() and (own[1:].islower() or len(own) == 1)) | ENDS * ends
         self.value.append(value)
-        v = self[raw] = len(self.hash) - 1
+        self[raw] = v
         return v
 
 
+class _Stream:
+    """Template tokens of texts in a row, in one of the forms: hashes, which are placeholders, texts' numbers, and the words that each stands for."""
+
+    def __init__(self, h, slot, doc, first, last):
+        self.h, self.slot, self.doc, self.first, self.last = h, slot, doc, first, last
+
+
 class _Templates:
-    """The template tokens of several texts in a row: their hashes, whether each is a placeholder, the value under it, and its text."""
-
-    def __init__(self, kinds: _Kinds, column: list[bytes | None]):
-        split = [words(t) for t in column]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter((kinds[w] for ws in split for w in ws), np.int64, int(sizes.sum()))
-        doc = np.repeat(np.arange(len(split)), sizes)
-        kind, flags = np.array(kinds.kind, np.int8)[at], np.array(kinds.flags, np.int8)[at]
-        start = np.ones(len(at), bool)  # of a sentence
-        start[1:] = (flags[:-1] & 4 > 0) | (doc[1:] != doc[:-1])
-        begins = np.ones(len(at), bool)
-        begins[1:] = doc[1:] != doc[:-1]
-        keep = kind != 3
-        carried = np.maximum.accumulate(np.where(start & ~keep, np.arange(len(at)), -1)) if len(at) else start
-        # A word after marks that stood alone at a sentence's start begins the sentence.
-        solid = np.maximum.accumulate(np.where(keep, np.arange(len(at)), -1)) if len(at) else start
-        before = np.concatenate([[-1], solid[:-1]]) if len(at) else solid
-        start |= carried > before if len(at) else False
-        twice = np.where(kind[keep] == 2, 2, 1)
-        self.at, self.doc = np.repeat(at[keep], twice), np.repeat(doc[keep], twice)
-        second = np.zeros(len(self.at), bool)
-        second[1:] = (self.at[1:] == self.at[:-1]) & (np.repeat(np.arange(len(twice)), twice)[1:] == np.repeat(np.arange(len(twice)), twice)[:-1])
-        kind, flags, start = np.repeat(kind[keep], twice), np.repeat(flags[keep], twice), np.repeat(start[keep], twice)
-        number = (kind == 1) | (kind == 2) & ~second
+    """The words of several texts in a row, and their template tokens in each form."""
+
+    def __init__(self, kinds: _Kinds, column: pa.Array):
+        lists = pc.ascii_split_whitespace(column)
+        coded = lists.flatten().dictionary_encode()
+        own = np.fromiter(map(kinds.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int64, len(coded.dictionary))
+        at = own[coded.indices.to_numpy()]
+        offsets = lists.offsets.to_numpy()
+        doc = np.repeat(np.arange(len(column), dtype=np.int32), np.diff(offsets))
+        keep = kinds.kind[at] != NOTHING
+        at, doc = at[keep], doc[keep]
+        ends = kinds.flags[at] & ENDS > 0
+        # A number with a unit is two tokens.
+        if (kinds.kind[at] == WITH_UNIT).any():
+            twice = np.where(kinds.kind[at] == WITH_UNIT, 2, 1)
+            second = np.zeros(int(twice.sum()), bool)
+            second[np.cumsum(twice)[twice == 2] - 1] = True
+            at, doc, ends = (np.repeat(x, twice) for x in (at, doc, ends))
+        else:
+            second = np.zeros(len(at), bool)
+        kind, flags = kinds.kind[at], kinds.flags[at]
+        number = (kind == PLAIN_NUMBER) | (kind == WITH_UNIT) & ~second
         unit = second.copy()
-        unit[1:] |= (flags[1:] & 1 > 0) & (kind[1:] == 0) & number[:-1] & (self.doc[1:] == self.doc[:-1])
-        self.capital = flags & 2 > 0
-        name = self.capital & ~start & (kind == 0) & ~unit
-        self.literal = np.where(second, np.array(kinds.last, np.uint64)[self.at], np.array(kinds.hash, np.uint64)[self.at])
-        self.h = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, self.literal)))
-        self.slots = (number | unit | name, number | unit, np.zeros(len(self.at), bool))  # of each form
-        self.slot, self.second = self.slots[TEMPLATE], second
-        self.kinds = kinds
-
-    def values(self, s: int, size: int, form: int) -> list[str]:
-        slot = self.slots[form]
-        return [self.kinds.value[self.at[i]][-1 if self.second[i] else 0] for i in range(s, s + size) if slot[i]]
-
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, hash, form) of the windows within a text: each as words, and in the other forms that hold more words than placeholders."""
-        n = max(len(self.h) - size + 1, 0)
-        inside = self.doc[:n] == self.doc[size - 1 : size - 1 + n]
-        sums = [np.concatenate([[0], np.cumsum(x)]) for x in self.slots]
-        all_slots, figures = (x[size : size + n] - x[:n] for x in sums[:2])
-        chosen = {WORDS: inside, TEMPLATE: inside & (all_slots > 0) & (2 * all_slots < size), FIGURES: inside & (figures > 0) & (figures < all_slots) & (2 * figures < size)}
-        starts, hashes = {}, {}
-        for form, ok in chosen.items():
-            starts[form] = np.flatnonzero(ok)
-            if form == WORDS or len(starts[form]):
-                h = {WORDS: self.literal, TEMPLATE: self.h}.get(form)
-                hashes[form] = shingle_hashes(np.where(self.slots[FIGURES], self.h, self.literal) if h is None else h, size)[starts[form]]
-            else:
-                hashes[form] = np.empty(0, np.uint64)
-        return np.concatenate(list(starts.values())), np.concatenate(list(hashes.values())), np.concatenate([np.full(len(x), form, np.int8) for form, x in starts.items()])
-
-
-_SCHEMA = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("size", pa.int32()), ("pos", pa.int64()), ("h", pa.int64()), ("slots", pa.list_(pa.string())), ("n", pa.int64())])
-_SPEC = "id long, text_key long, size int, pos long, h long, slots array<string>, n long"
-
-
-def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=None, sizes=None, both: bool = False) -> DataFrame:
-    """The template windows of a table's texts. wanted: a broadcast of sorted hashes, others are left out. sizes: window lengths to take; None:
-    ``size``, or a shorter text's own length. both: a text's first window also as it stands inside a sentence."""
-
-    def emit(kinds, held):
-        t = _Templates(kinds, [x[2] for x in held])
-        firsts = np.searchsorted(t.doc, np.arange(len(held)))
-        lengths = np.diff(np.concatenate([firsts, [len(t.doc)]]))
-        for k in sizes or sorted({min(size, int(n)) for n in lengths if n}):
-            starts, h, form = t.windows(k)
-            if sizes is None:
-                fit = np.minimum(lengths[t.doc[starts]], size) == k
-                starts, h, form = starts[fit], h[fit], form[fit]
-            counts = np.bincount(t.doc[starts[form == WORDS]], minlength=len(held))
-            if wanted is not None and len(starts):
-                known, coarse = wanted.value
-                maybe = np.flatnonzero(coarse[(h >> np.uint64(44)).astype(np.int64)])
-                maybe = maybe[known[np.minimum(np.searchsorted(known, h[maybe]), len(known) - 1)] == h[maybe]]
-                starts, h, form = starts[maybe], h[maybe], form[maybe]
-            for s, x, f in zip(starts.tolist(), h.view(np.int64).tolist(), form.tolist(), strict=True):
-                d = int(t.doc[s])
-                row = (held[d][0], held[d][1], k, s - int(firsts[d]), x, t.values(s, k, f), int(counts[d]))
-                yield row
-                if both and f == WORDS and s == firsts[d] and t.capital[s] and not t.slot[s] and 2 * (1 + int(t.slot[s : s + k].sum())) < k:
-                    other = t.h[s : s + k].copy()
-                    other[0] = NAME
-                    yield (*row[:4], int(shingle_hashes(other, k).view(np.int64)[0]), [t.kinds.value[t.at[s]][0], *t.values(s, k, TEMPLATE)], row[6])
+        unit[1:] |= (flags[1:] & IS_UNIT > 0) & (kind[1:] == WORD) & number[:-1] & (doc[1:] == doc[:-1])
+        name = (flags & CAPITAL > 0) & (kind == WORD) & ~unit
+        literal = np.where(second, kinds.last[at], kinds.hash[at])
+        figures = np.where(number, NUMBER, np.where(unit, UNIT, literal))
+        self.kinds, self.at, self.second, self.doc = kinds, at, second, doc
+        self.bounds = np.searchsorted(doc, np.arange(len(column) + 1))
+        place = np.arange(len(at))
+        more = np.zeros(len(at), bool)  # goes on with the name before it
+        more[1:] = name[1:] & name[:-1] & ~ends[:-1] & (doc[1:] == doc[:-1])
+        first = place[~more]
+        last = np.append(first[1:], len(at))
+        slot = number | unit
+        self.forms = {
+            WORDS: _Stream(literal, np.zeros(len(at), bool), doc, place, place + 1),
+            FIGURES: _Stream(figures, slot, doc, place, place + 1),
+            TEMPLATE: _Stream(np.where(name, NAME, figures)[first], (slot | name)[first], doc[first], first, last),
+        }
+        self.named = np.concatenate([[0], np.cumsum(name)])
+
+    def _said(self, i: int) -> str:
+        return self.kinds.value[self.at[i]][-1 if self.second[i] else 0]
+
+    def values(self, form: int, s: int, size: int) -> list[str]:
+        """The values under the placeholders of a window."""
+        x = self.forms[form]
+        return [" ".join(map(self._said, range(x.first[i], x.last[i]))) for i in range(s, s + size) if x.slot[i]]
+
+    def windows(self, form: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, hashes) of the windows of ``size`` tokens within a text: of words, all; of other forms, those that hold more words than
+        placeholders and are said by no other form."""
+        x = self.forms[form]
+        n = max(len(x.h) - size + 1, 0)
+        ok = x.doc[:n] == x.doc[size - 1 : size - 1 + n]
+        if form != WORDS:
+            sums = np.concatenate([[0], np.cumsum(x.slot)])
+            slots = sums[size : size + n] - sums[:n]
+            ok &= (slots > 0) & (2 * slots < size)
+            if form == FIGURES:
+                ok &= self.named[size : size + n] > self.named[:n]
+        starts = np.flatnonzero(ok)
+        return starts, shingle_hashes(x.h, size)[starts] if len(starts) else np.empty(0, np.uint64)
+
+
+_SCHEMA = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("size", pa.int32()), ("pos", pa.int64()), ("words", pa.int32()), ("h", pa.int64()), ("slots", pa.list_(pa.string())), ("n", pa.int64())])
+_SPEC = "id long, text_key long, size int, pos long, words int, h long, slots array<string>, n long"
+
+
+def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=None, sizes=None) -> DataFrame:
+    """The windows of a table's texts in all forms; pos and words say where they lie among the text's n words. wanted: a broadcast of sorted
+    hashes, others are left out. sizes: window lengths to take; None: ``size``, or the own length of a text with fewer tokens."""
+
+    def emit(kinds, ids, keys, column):
+        t = _Templates(kinds, column)
+        count = np.diff(t.bounds)
+        for form, x in t.forms.items():
+            lengths = np.diff(np.searchsorted(x.doc, np.arange(len(column) + 1)))
+            for k in sizes or sorted({min(size, int(n)) for n in lengths if n}):
+                starts, h = t.windows(form, k)
+                if sizes is None:
+                    fit = np.minimum(lengths[x.doc[starts]], size) == k
+                    starts, h = starts[fit], h[fit]
+                if wanted is not None and len(starts):
+                    known, coarse = wanted.value
+                    maybe = np.flatnonzero(coarse[(h >> np.uint64(44)).astype(np.int64)])
+                    maybe = maybe[known[np.minimum(np.searchsorted(known, h[maybe]), len(known) - 1)] == h[maybe]] if len(known) else maybe[:0]
+                    starts, h = starts[maybe], h[maybe]
+                for s, v in zip(starts.tolist(), h.view(np.int64).tolist(), strict=True):
+                    d, low = int(x.doc[s]), int(x.first[s])
+                    yield ids[d], keys[d], k, low - int(t.bounds[d]), int(x.last[s + k - 1]) - low, v, t.values(form, s, k), int(count[d])
 
     def run(batches):
         begins("decontamination")
         kinds = _Kinds()
         for b in batches:
-            held, out, weight = [], [], 0
-            rows = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2)), strict=True))
-            for i, r in enumerate(rows):
-                held.append(r)
-                weight += len(r[2] or b"")
-                if weight > 1 << 20 or i == len(rows) - 1:
-                    out.extend(emit(kinds, held))
-                    held, weight = [], 0
-                    if len(kinds) > KNOWN_WORDS:
-                        kinds = _Kinds()
+            ids, keys, column = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.string())
+            weight = np.cumsum(pc.binary_length(column).to_numpy()).astype(np.int64)
+            at, out = 0, []
+            while at < len(ids):
+                to = max(at + 1, int(np.searchsorted(weight, (weight[at - 1] if at else 0) + (1 << 21))))
+                out.extend(emit(kinds, ids[at:to], keys[at:to], column.slice(at, to - at)))
+                at = to
+                if len(kinds) > KNOWN_WORDS:
+                    kinds = _Kinds()
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(_SCHEMA)], schema=_SCHEMA)
 
@@ -178,72 +213,107 @@ def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=Non
 BROADCAST_WINDOWS = 2_000_000
 
 
-def _agree(pairs):
-    """Whether equal item values stand over equal document values: no value of the item has two in the document."""
-    flat = F.array_distinct(F.flatten(pairs))
-    return F.size(flat) == F.size(F.array_distinct(F.transform(flat, lambda x: x["of"])))
+def _agree(pairs: set[tuple[str, str]]) -> bool:
+    """No value of the item has two in the document."""
+    return len(pairs) == len({of for of, _ in pairs})
+
 
+def _longest(covered: set[int]) -> int:
+    return max((_run_from(covered, i) for i in covered if i - 1 not in covered), default=0)
 
-def _longest_run(tokens):
-    """The most consecutive numbers in a sorted array of distinct ones."""
-    begun = F.struct(F.lit(-2).cast("long").alias("last"), F.lit(0).alias("now"), F.lit(0).alias("most"))
 
-    def step(s, x):
-        now = F.when(x == s["last"] + 1, s["now"] + 1).otherwise(1)
-        return F.struct(x.cast("long").alias("last"), now.alias("now"), F.greatest(s["most"], now).alias("most"))
+def _run_from(covered: set[int], i: int) -> int:
+    n = i
+    while n in covered:
+        n += 1
+    return n - i
 
-    return F.aggregate(tokens, begun, step, lambda s: s["most"])
+
+def judged(matches: list[tuple[int, int, int, tuple[tuple[str, str], ...]]], n: int, low: float = -math.inf, high: float = math.inf) -> tuple[float, int, int]:
+    """(coverage, longest run, windows met) for the windows that an item of n words and a stretch of a document share, as (place in the item, words,
+    place in the document, slots' pairs of values). The item's place in the document is from ``low`` to below ``high``.
+
+    Windows lie on alignments, the difference of the two places. An alignment is put together with those not far off, as another name has more
+    words, if all slots agree. Where they don't, and a window of the item is met in no way that agrees, only windows without slots count.
+    The best such set decides.
+    """
+    by: dict[int, list] = {}
+    for m in matches:
+        by.setdefault(m[2] - m[0], []).append(m)
+    pairs = {d: {p for m in own for p in m[3]} for d, own in by.items()}
+    best = (0.0, 0, 0)
+    for d0 in by:
+        if not low <= d0 < high:
+            continue
+        near = sorted((d for d in by if abs(d - d0) <= max(4, n // 4)), key=lambda d: (abs(d - d0), d))
+        known: set[tuple[str, str]] = set()
+        took, left = [], []
+        for d in near:
+            if _agree(known | pairs[d]):
+                known |= pairs[d]
+                took += [(d, m) for m in by[d]]
+            else:
+                took += [(d, m) for m in by[d] if not m[3]]
+                left += [m[0] for m in by[d] if m[3]]
+        if not {m[0] for _, m in took}.issuperset(left):
+            took = [(d, m) for d in near for m in by[d] if not m[3]]
+        words = lambda own: {i for m in own for i in range(m[0], m[0] + m[1])}
+        best = max(best, (len(words(m for _, m in took)) / n, _longest(words(m for d, m in took if d == d0)), len({m[0] for _, m in took})))
+    return best
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8, run: int = 13) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, coverage): the documents that hold an item of ``benchmark``(item_id, text), with that item.
 
-    n_windows: the item's windows of ``size`` template tokens (one, of all its tokens, if it has fewer); one without more words than placeholders
-    must be met word by word. n_matched: those found in the document, in any form, on alignments whose slots agree; where they don't, windows met
-    word by word still count. coverage: the share of the item's tokens that lie in such windows, so that an edited word costs one token and not
-    all windows over it. A document holds an item if coverage is ``share`` or more, or if ``run`` tokens in a row lie in such windows of one
-    alignment. White space, case and marks at the ends of words don't matter. Null and empty texts and texts without words match nothing; repeated rows of a
-    doc_id give one row for an item; items with the same template each give rows; null ids come back null. No rows, no result.
+    n_windows: the item's windows of ``size`` words (one, of all its words, if it has fewer); with placeholders, only windows with more words than
+    those are met, others word by word. n_matched: those found together in one stretch of the document, in any form, with slots that agree
+    (judged()). coverage: the share of the item's words that lie in such windows, so that an edited word costs one and not all windows over
+    it. A document holds an item if coverage is ``share`` or more, or if ``run`` words in a row lie in such windows of one alignment. White space,
+    case and marks at the ends of words don't matter. Null and empty texts and texts without words match nothing; repeated rows of a doc_id give one
+    row for an item; items with the same template each give rows; null ids come back null. No rows, no result.
 
     Items' windows are few against documents' ones: while they number at most BROADCAST_WINDOWS, tasks drop other windows before the join,
-    beyond that all windows are joined. The join and what follows are the same.
+    beyond that all windows are joined. The join and what follows are the same. Matches are judged by stretches of three times the item's length,
+    each beginning a length after the one before and judging the copies that begin in its middle third: it sees these whole, a task holds no
+    more of a long document, and an item that stands often in it is met.
     """
-    from eventloom.llm.common import cut
-
     spark = docs.sparkSession
-    items = cut(_windows(benchmark, "item_id", "text", size, both=True))
+    items = cut(_windows(benchmark, "item_id", "text", size))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most ``size`` of them
     wanted = None
     distinct = items.select("h").distinct()
     if distinct.count() <= BROADCAST_WINDOWS:
-        known = np.sort(np.array([r[0] for r in distinct.collect()], np.int64).view(np.uint64))
+        known = np.sort(distinct.toArrow().column(0).to_numpy().view(np.uint64))
         coarse = np.zeros(1 << 20, bool)
         coarse[(known >> np.uint64(44)).astype(np.int64)] = True
         wanted = spark.sparkContext.broadcast((known, coarse))
-    right = items.select(F.col("id").alias("item_id"), F.col("text_key").alias("item_key"), F.col("pos").alias("item_pos"), "size", "h", F.col("slots").alias("item_slots"), F.col("n").alias("n_windows"))
-    if not sizes:
-        found = _windows(docs.limit(0), "doc_id", "text", size)
-    else:
-        found = _windows(docs, "doc_id", "text", size, wanted, sizes)
+    right = items.select(F.col("id").alias("item_id"), F.col("text_key").alias("item_key"), F.col("pos").alias("item_pos"), F.col("words").alias("item_words"), "size", "h", F.col("slots").alias("item_slots"), F.col("n").alias("n_words"))
+    left = _windows(docs, "doc_id", "text", size, wanted, sizes) if sizes else _windows(docs.limit(0), "doc_id", "text", size)
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("of"), b.alias("to")))
-    met = found.drop("n").join(right, ["h", "size"]).select("id", "text_key", "item_id", "item_key", "n_windows", "size", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), pairs.alias("pairs"))
-    # An alignment has at most the item's windows, however often it stands in a document.
-    item = ["id", "text_key", "item_id", "item_key", "n_windows", "size"]
-    aligned = met.groupBy(*item, "shift").agg(F.collect_set("item_pos").alias("all"), F.collect_set(F.when(F.size("pairs") == 0, F.col("item_pos"))).alias("exact"), F.collect_set("pairs").alias("pairs"))
-    aligned = aligned.select(*item, F.when(_agree(F.col("pairs")), F.col("all")).otherwise(F.col("exact")).alias("at")).where(F.size("at") > 0)
-
-    def tokens(at):
-        return F.array_sort(F.array_distinct(F.flatten(F.transform(at, lambda x: F.sequence(x, x + F.col("size") - 1)))))
+    item = ["id", "text_key", "item_id", "item_key", "n_words"]
+    match = F.struct("item_pos", F.col("item_words").alias("words"), "pos", pairs.alias("pairs"))
+    stride = F.greatest("n_words", F.lit(16).cast("long"))
+    met = left.select("id", "text_key", "size", "pos", "h", "slots").join(right, ["h", "size"]).select(*item, match.alias("m"), F.floor(F.col("pos") / stride).alias("at"))
+    stretches = met.select(*item, "m", F.explode(F.sequence(F.col("at") - 2, F.col("at"))).alias("stretch")).groupBy(*item, "stretch").agg(F.collect_set("m").alias("matches"))
+    spec = "doc_id long, item_id long, n_windows long, n_matched long, coverage double"
+
+    def judge(batches):
+        for b in batches:
+            out = []
+            for doc_id, item_id, n, low, step, matches in zip(*(b.column(c).to_pylist() for c in ("id", "item_id", "n_words", "low", "step", "matches")), strict=True):
+                own = [(m["item_pos"], m["words"], m["pos"], tuple((p["of"], p["to"]) for p in m["pairs"])) for m in matches]
+                coverage, longest, n_met = judged(own, n, low, low + step)
+                if coverage >= share or longest >= run:
+                    out.append((doc_id, item_id, n - min(size, n) + 1, n_met, coverage))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["doc_id", "item_id", "n_windows", "n_matched", "coverage"])
 
-    # Alignments with the same windows are one.
-    matched = aligned.withColumn("at", F.array_sort("at")).groupBy(*item).agg(F.collect_set("at").alias("each"))
-    at = F.array_distinct(F.flatten("each"))
-    best = matched.select(*item, F.size(at).cast("long").alias("n_matched"), (F.size(tokens(at)) / (F.col("n_windows") + F.col("size") - 1)).alias("coverage"), F.array_max(F.transform("each", lambda x: _longest_run(tokens(x)))).alias("run"))
-    best = best.where((F.col("coverage") >= share) | (F.col("run") >= run))
-    return best.groupBy(F.col("id").alias("doc_id"), "item_id").agg(F.max(F.struct("coverage", "n_windows", "n_matched")).alias("b")).select("doc_id", "item_id", "b.n_windows", "b.n_matched", "b.coverage")
+    best = stretches.select("id", "item_id", "n_words", ((F.col("stretch") + 1) * stride).alias("low"), stride.alias("step"), "matches").mapInArrow(judge, spec)
+    return best.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_windows", "n_matched")).alias("b")).select("doc_id", "item_id", "b.n_windows", "b.n_matched", "b.coverage")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those that hold a benchmark item."""
+    """docs without those that hold a benchmark item, other rows as they are, repeated ones too. A row goes if its doc_id, or null, does; null and empty
+    texts hold nothing. No rows, no result."""
     gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti").select(docs.columns)
