@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,37 +22,36 @@ def as_rows(df: DataFrame) -> DataFrame:
     return flat.withColumn("event_date", F.to_date("event_time"))
 
 
-def _write(rows: DataFrame, path: str, mode: str = "append", files_per_day: int = 1) -> None:
-    # A day is spread over a number of files by visitor, so that a large day isn't one task; within files rows are sorted for min/max pruning.
-    spread = F.pmod(F.xxhash64("anonymous_id"), F.lit(files_per_day))
-    rows.repartition("event_date", spread).sortWithinPartitions("event_date", *SORT_KEY).write.mode(mode).partitionBy("event_date").parquet(path)
+def _write(rows: DataFrame, path: str, load: str, mode: str) -> None:
+    # AQE divides a large day and joins small ones by size; within files rows are sorted for min/max pruning.
+    dealt = rows.withColumn("load", F.lit(load)).hint("rebalance", "event_date")
+    _put(dealt.sortWithinPartitions("event_date", *SORT_KEY), path, mode, "event_date", "load")
 
 
-def write_events(df: DataFrame, path: str, checkpoint: str | None = None, files_per_day: int = 1, trigger: dict | None = None):
-    """Appends events to a table partitioned by day and sorted within its files. A stream needs ``checkpoint`` and gives its running query.
+def _put(rows: DataFrame, path: str, mode: str, *by: str) -> None:
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
-    Each micro-batch is written under its number, so that a batch tried again replaces its own rows.
+
+def _load_of(checkpoint: str, batch_id: int) -> str:
+    """A micro-batch's own name among all loads of a table: two queries' batches don't share it."""
+    return f"q{zlib.crc32(checkpoint.encode()):08x}b{batch_id}"
+
+
+def write_events(df: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None):
+    """Appends events to a table partitioned by day and load, and sorted within its files. A stream needs ``checkpoint`` and gives its running query.
+
+    Each micro-batch is a load of its own: tried again with the same rows, it replaces what an earlier try wrote, whether that ended or not, so each
+    event is in the table once. A batch DataFrame is appended by one commit of the file writer, under the load "batch".
     """
     if not df.isStreaming:
-        return _write(as_rows(df), path, files_per_day=files_per_day)
+        return _write(as_rows(df), path, "batch", "append")
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        once(batch.sparkSession, f"{checkpoint}/written", batch_id, lambda: _write(as_rows(batch), path, files_per_day=files_per_day))
+        _write(as_rows(batch), path, _load_of(checkpoint, batch_id), "overwrite")
 
     return df.writeStream.foreachBatch(put).option("checkpointLocation", f"{checkpoint}/query").trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
-def once(spark: SparkSession, folder: str, batch_id: int, action: Callable[[], None]) -> bool:
-    """Runs the action unless a mark says that this batch's was done; the mark lies in the cluster's file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{batch_id}")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        return False
-    action()
-    fs.mkdirs(path)
-    return True
-
-
 #: Why a row is refused: reason and the test that it fails, first failure first.
 def default_rules() -> list[tuple[str, Column]]:
     return [
@@ -76,13 +75,15 @@ def split_invalid(df: DataFrame, rules: list[tuple[str, Column]] | None = None)
 
 
 def write_split(df: DataFrame, path: str, rejected_path: str, checkpoint: str, rules=None, trigger: dict | None = None):
-    """A stream's valid rows into the event table and the rest, with reasons, into a dead-letter folder."""
+    """A stream's valid rows into the event table and the rest, with reasons, into a dead-letter folder partitioned by load; each row is in one of them
+    once, as in write_events()."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         valid, rejected = split_invalid(batch, rules)
-        once(batch.sparkSession, f"{checkpoint}/valid", batch_id, lambda: _write(as_rows(valid), path))
-        once(batch.sparkSession, f"{checkpoint}/rejected", batch_id, lambda: rejected.write.mode("append").parquet(rejected_path))
+        load = _load_of(checkpoint, batch_id)
+        _write(as_rows(valid), path, load, "overwrite")
+        _put(rejected.withColumn("load", F.lit(load)), rejected_path, "overwrite", "load")
         batch.unpersist()
 
     return df.writeStream.foreachBatch(put).option("checkpointLocation", f"{checkpoint}/query").trigger(**(trigger or {"processingTime": "1 second"})).start()

@@ -8,7 +8,7 @@ import pytest
 from helpers import EVENT, at, dicts, frame, rows
 from pyspark.sql import functions as F
 
-from eventloom.operators import anomaly, funnel, rollups
+from eventloom.operators import anomaly, funnel, olap, rollups
 from eventloom.operators.enrich import enrich
 from eventloom.schemas import PRODUCT
 from eventloom.sources import sinks
@@ -117,10 +117,49 @@ def test_event_table_and_dead_letters(spark, replay, tmp_path):
     assert [r["reason"] for r in dicts(spark.read.parquet(str(tmp_path / "dlq")))] == ["unknown event_type"]
 
 
-def test_a_batch_is_written_once(spark, tmp_path):
-    done = []
-    assert sinks.once(spark, str(tmp_path), 3, lambda: done.append(1)) and not sinks.once(spark, str(tmp_path), 3, lambda: done.append(2))
-    assert done == [1]
+def test_a_failed_batch_is_replaced(spark, replay, tmp_path, monkeypatch):
+    """The first try of a batch fails after it has written; a restart writes each row once all the same."""
+    path, dlq, cp = (str(tmp_path / x) for x in ("t", "dlq", "cp"))
+    events = [(i, "click" if i % 3 else "unheard_of") for i in range(30)]
+    stream = replay(events[:10], events[10:20], events[20:])
+    put, calls = sinks._put, []
+
+    def failing(*args):
+        put(*args)
+        calls.append(args)
+        if len(calls) in (1, 4):  # after the valid rows of one batch, and after the rejected ones of another
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "_put", failing)
+    for ends in (False, False, True):
+        q = sinks.write_split(stream, path, dlq, cp, trigger=NOW)
+        if ends:
+            q.awaitTermination()
+        else:
+            with pytest.raises(Exception, match="lost"):
+                q.awaitTermination()
+    good, bad = spark.read.parquet(path), spark.read.parquet(dlq)
+    assert good.count() == 20 and bad.count() == 10 and {r["load"] for r in good.collect()} == {r["load"] for r in bad.collect()}
+
+
+def test_two_queries_write_one_table(spark, replay, tmp_path):
+    stream = replay([(0, "click")], [(1, "click")])
+    for name in ("a", "b"):
+        sinks.write_events(stream, str(tmp_path / "t"), str(tmp_path / name), trigger=NOW).awaitTermination()
+    sinks.write_events(frame(spark, W, (2, "click")), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
+def test_series_and_visitors_of_a_stream(spark, replay, tmp_path):
+    events = sorted(EVENTS, key=lambda e: e[0])
+    for name, build in (("series", lambda d: olap.timeseries(d, W, "2026-08-01", "5m")), ("visitors", lambda d: olap.unique_visitors(d, W, "2026-08-01", "5m"))):
+        path = tmp_path / name
+        path.mkdir()
+        got = drained(spark, build(replay(events[:90], events[90:], [LAST])), f"s_{name}", path) if name == "series" else drained(spark, build(spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))), f"s_{name}", path)
+        got = got.where(F.col("bucket") < F.lit(at(W, 86_400)))
+        same(got, build(frame(spark, W, *events)).select(got.columns))
+    with pytest.raises(ValueError):
+        olap.unique_visitors(spark.readStream.schema(EVENT).parquet(str(tmp_path / "in")), W, "2026-08-01", exact=True)
 
 
 def test_observed_rows(spark, replay, tmp_path):
