@@ -6,14 +6,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.columns import millis, page_views
-from eventloom.functions.params import bucket, in_range, of_type, require_positive
-from eventloom.schemas import LATENCY_CAP_MS, LATENCY_WINDOW_S, TOP_N
+from eventloom.functions.params import in_range, of_type, parse_interval, require_positive
+from eventloom.operators.rollups import with_lateness
+from eventloom.schemas import LATENCY_CAP_MS, LATENCY_WINDOW_S, TOP_N, WINDOW_GRACE
 
 
-def unique_visitors(df: DataFrame, from_=None, to=None, interval: str | None = None, exact: bool = False, rsd: float = 0.02, now=None) -> DataFrame:
-    """(bucket, unique_visitors), approximate unless ``exact``: a sketch is merged, not a set of visitors."""
+def unique_visitors(df: DataFrame, from_=None, to=None, interval: str | None = None, exact: bool = False, rsd: float = 0.02, now=None, grace: str = WINDOW_GRACE) -> DataFrame:
+    """(bucket, unique_visitors), approximate unless ``exact``: a sketch is merged, not a set of visitors.
+
+    A stream takes sketches only, and comes in no order, in append mode each bucket once when it is closed.
+    """
+    if exact and df.isStreaming:
+        raise ValueError("a stream's visitors are counted approximately")
     count = F.count_distinct("anonymous_id") if exact else F.approx_count_distinct("anonymous_id", rsd)
-    return in_range(df, from_, to, now=now).groupBy(bucket("event_time", interval).alias("bucket")).agg(count.alias("unique_visitors")).orderBy("bucket")
+    rows = with_lateness(in_range(df, from_, to, now=now), grace)
+    return _in_buckets(rows, interval, [count.alias("unique_visitors")])
+
+
+def _in_buckets(rows: DataFrame, interval: str | None, aggregates: list[Column], *keys: str) -> DataFrame:
+    """Aggregates by bucket and keys. The window is grouped by whole, as its start alone has no watermark."""
+    counted = rows.groupBy(F.window("event_time", parse_interval(interval)).alias("w"), *keys).agg(*aggregates)
+    found = counted.select(F.col("w.start").alias("bucket"), *[c for c in counted.columns if c != "w"])
+    return found if rows.isStreaming else found.orderBy("bucket", *keys)
 
 
 def retention(df: DataFrame, conditions: list[Column], key: str = "anonymous_id") -> DataFrame:
@@ -23,10 +37,10 @@ def retention(df: DataFrame, conditions: list[Column], key: str = "anonymous_id"
     return met.agg(*[F.coalesce(F.sum(kept(i).cast("long")), F.lit(0)).alias(f"r{i}") for i in range(len(conditions))])
 
 
-def timeseries(df: DataFrame, from_=None, to=None, interval: str | None = None, event_type: str | None = None, now=None) -> DataFrame:
-    """(bucket, event_type, events)."""
-    rows = of_type(in_range(df, from_, to, now=now), event_type)
-    return rows.groupBy(bucket("event_time", interval).alias("bucket"), "event_type").agg(F.count("*").alias("events")).orderBy("bucket", "event_type")
+def timeseries(df: DataFrame, from_=None, to=None, interval: str | None = None, event_type: str | None = None, now=None, grace: str = WINDOW_GRACE) -> DataFrame:
+    """(bucket, event_type, events); of a stream in no order, in append mode each bucket once when it is closed."""
+    rows = with_lateness(of_type(in_range(df, from_, to, now=now), event_type), grace)
+    return _in_buckets(rows, interval, [F.count("*").alias("events")], "event_type")
 
 
 def top_pages(df: DataFrame, from_=None, to=None, limit: int = TOP_N, now=None) -> DataFrame:

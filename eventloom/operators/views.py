@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.columns import millis
-
 
 def _camel(name: str) -> str:
     first, *rest = name.split("_")
@@ -63,8 +61,3 @@ def live_gauges(metrics: DataFrame) -> DataFrame:
     """(window_start, events_per_sec, conversions_per_min) of the latest window."""
     last = metrics.orderBy(F.desc("window_start")).limit(1)
     return last.select("window_start", F.floor(F.col("events") / 60 + 0.5).cast("long").alias("events_per_sec"), F.col("purchases").alias("conversions_per_min"))
-
-
-def latest_key(df: DataFrame, time_col: str) -> DataFrame:
-    """Rows keyed by their time in epoch milliseconds, as text."""
-    return df.withColumn("key", millis(time_col).cast("string"))

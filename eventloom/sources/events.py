@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from eventloom.schemas import CLICK_EVENT, PRODUCT
+from eventloom.schemas import CLICK_EVENT
 
 
 def read_events(spark: SparkSession, source: str | dict, streaming: bool = False, fmt: str = "parquet", schema: StructType = CLICK_EVENT, starting: str = "earliest", max_files: int | None = None) -> DataFrame:
@@ -55,7 +55,3 @@ def load_dimension(df: DataFrame, key: str = "id", order_col: str = "updated", v
     for c in value_cols:
         gone = gone & F.col(f"v.{c}").isNull()
     return latest.where(~gone).select(key, *[F.col(f"v.{c}").alias(c) for c in value_cols])
-
-
-def read_products(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).schema(PRODUCT).load(path)

@@ -100,7 +100,7 @@ def start_anomaly_alerts(df: DataFrame, state_path: str, sink: Sink, checkpoint:
     step = F.expr(f"INTERVAL {size}")
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, batch = batch.sparkSession, batch.persist()  # several actions read it
         before = _before(spark, state_path, batch_id)
         state = spark.read.parquet(before) if before else None
         ends = batch.groupBy(*keys).agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).where("a IS NOT NULL")
@@ -120,6 +120,7 @@ def start_anomaly_alerts(df: DataFrame, state_path: str, sink: Sink, checkpoint:
         now.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
         sink(alerts_of(done, k, keys), batch_id)
         done.unpersist()
+        batch.unpersist()
         _forget(spark, state_path, batch_id)
 
     return _start(closed, put, checkpoint, trigger)

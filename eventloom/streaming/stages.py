@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eventloom.functions.columns import funnel_stage
@@ -38,9 +37,4 @@ def stage_deltas(df: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     return staged.groupBy("anonymous_id").transformWithStateInPandas(FunnelAdvance(ttl_ms), outputStructType="anonymous_id string, stage int", outputMode="Update", timeMode="ProcessingTime" if ttl_ms else "None")
 
 
-def stage_counts(df: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """(stage, visitors) so far; for update or complete mode."""
-    return stage_deltas(df, ttl_ms).groupBy("stage").agg(F.count("*").alias("visitors"))
-
-
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
