@@ -17,7 +17,8 @@ from eventloom.operators import anomaly, funnel, olap, rollups, views
 from eventloom.operators.enrich import enrich
 from eventloom.sources import sinks
 from eventloom.sources.adapter import clicks, products
-from eventloom.sources.events import decode_events, load_dimension
+from eventloom.sources.events import decode_events, load_dimension, read_events
+from eventloom.sources.shared import new_folder
 
 FROM, TO, AS_OF = "2024-01-08T00:00:00", "2024-01-22T00:00:00", datetime(2024, 1, 30)
 DAY, HALF_DAY = 86_400, "12 hours"
@@ -143,11 +144,50 @@ def _latency(s, d, exact: bool) -> DataFrame:
     return olap.latency_profile(clicks(s, d), 7 * DAY, 2000, datetime(2024, 1, 20), exact)
 
 
-def _preset(s, d) -> DataFrame:
-    start, end, step = preset_range("7d", datetime(2024, 1, 20))
+def _preset_sql(unit: str, n: int, start: str) -> str:
+    return f"WITH {EV} SELECT time_bucket(INTERVAL {n} {unit}, event_time, TIMESTAMP '1970-01-01') AS bucket, event_type, count(*) AS events FROM ev WHERE event_time >= TIMESTAMP '{start}' AND event_time < TIMESTAMP '2024-01-20' GROUP BY 1, 2"
+
+
+def _read(s, d) -> DataFrame:
+    return read_events(s, f"{d}/events.parquet", schema="event_id long, ts timestamp_ntz, user_id long, event_type string")
+
+
+def _written(s, d) -> DataFrame:
+    """The event table as it was written, and two of its days read back."""
+    path = new_folder(s, "events")
+    sinks.write_events(clicks(s, d), path)
+    days = in_range(s.read.parquet(path), "2024-01-09", "2024-01-11")
+    return days.groupBy(F.to_date("event_time").cast("string").alias("day"), "event_type").agg(F.count("*").alias("events"), F.count_distinct("anonymous_id").alias("visitors"))
+
+
+def _sketched(s, d) -> DataFrame:
+    """Each day's exact visitors, and whether the sketch lies within five of its standard deviations."""
+    exact = olap.unique_visitors(clicks(s, d), FROM, TO, "day", exact=True)
+    sketch = olap.unique_visitors(clicks(s, d), FROM, TO, "day").withColumnRenamed("unique_visitors", "about")
+    near = F.abs(F.col("about") - F.col("unique_visitors")) <= F.greatest(F.lit(2.0), 5 * 0.02 * F.col("unique_visitors"))
+    return exact.join(sketch, "bucket", "left").select("bucket", "unique_visitors", F.coalesce(near, F.lit(False)).alias("within"))
+
+
+def _near_percentiles(s, d) -> DataFrame:
+    """Whether the approximate percentiles lie among the values of a thousandth of the ranks around the exact ones, to a millisecond."""
+    rows = olap.on_time(clicks(s, d).where(F.col("ingested_at").between(F.lit("2024-01-13 00:00:00.000001").cast("timestamp_ntz"), F.lit("2024-01-20").cast("timestamp_ntz")))).select(olap.latency_ms().alias("ms"))
+    ends = rows.agg(*[F.percentile("ms", q / 100 + x).alias(f"{side}{q}") for q in (50, 95, 99) for side, x in (("low", -0.001), ("high", 0.001))])
+    about = _latency(s, d, False)
+    near = [F.col(f"p{q}").between(F.floor(f"low{q}"), F.ceil(f"high{q}")) for q in (50, 95, 99)]
+    return about.join(ends, F.lit(True)).select("samples", "max_ms", "avg_ms", (near[0] & near[1] & near[2]).alias("within"))
+
+
+def _preset(s, d, key: str) -> DataFrame:
+    start, end, step = preset_range(key, datetime(2024, 1, 20))
     return olap.timeseries(clicks(s, d), start, end, {"5 minutes": "5m", "1 hour": "hour", "1 day": "day"}[step])
 
 
+def _topn_view(s, d) -> DataFrame:
+    rows = views.topn_view(rollups.topn_pages(clicks(s, d), 10, HALF_DAY)).select("windowStart", "windowEnd", F.posexplode("pages").alias("p", "e"))
+    return rows.select("windowStart", "windowEnd", (F.col("p") + 1).cast("long").alias("rank"), "e.path", "e.views")
+
+
+_ACTIVE = "l AS (SELECT anonymous_id, max(event_time) AS t FROM ev GROUP BY 1), x AS (SELECT max(t) AS now FROM l)"
 _SERIES = f"ts AS (SELECT date_trunc('hour', event_time) AS bucket, event_type, count(*) AS events FROM ev WHERE {_RANGE} GROUP BY 1, 2)"
 
 
@@ -159,12 +199,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: name -> (query, SQL or None)
 REGISTERED: dict[str, tuple[Query, str | None]] = {
-    "s1_read_events": (lambda s, d: s.read.parquet(f"{d}/events.parquet").select("event_id", "ts", "user_id", "event_type"), "SELECT event_id, ts, user_id, event_type FROM events"),
+    "s1_read_events": (_read, "SELECT event_id, ts, user_id, event_type FROM events"),
     "s2_decode_good": (lambda s, d: _decoded(s, d, False), r"SELECT event_id, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS k FROM events WHERE event_id % 7 <> 0"),
     "s2_decode_bad": (lambda s, d: _decoded(s, d, True), "SELECT event_id, '{broken ' || props AS value FROM events WHERE event_id % 7 = 0"),
     "s3_event_time": (_timed, "SELECT event_id, CASE WHEN event_id % 3 = 2 THEN ts WHEN event_id % 2 = 0 THEN ts + INTERVAL 1 SECOND ELSE ts + INTERVAL 2 SECOND END AS event_time FROM events"),
     "s4_load_dimension": (_dimension, "SELECT id, price FROM (SELECT l_partkey AS id, CASE WHEN l_linenumber < 6 THEN l_extendedprice END AS price, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS r FROM lineitem) WHERE r = 1 AND price IS NOT NULL"),
     "s5_event_rows": (lambda s, d: sinks.as_rows(clicks(s, d)).groupBy(F.col("event_date").cast("string").alias("event_date"), "event_type", "device_type").agg(F.count("*").alias("events"), F.max("ingested_at").alias("last_ingested")), f"WITH {EV} SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, event_type, device_type, count(*) AS events, max(ingested_at) AS last_ingested FROM ev GROUP BY 1, 2, 3"),
+    "s5_written_table": (_written, f"WITH {EV} SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS day, event_type, count(*) AS events, count(DISTINCT anonymous_id) AS visitors FROM ev WHERE event_time >= TIMESTAMP '2024-01-09' AND event_time < TIMESTAMP '2024-01-11' GROUP BY 1, 2"),
     "s6_reject_reasons": (_reasons, f"WITH {EV} SELECT CASE WHEN n % 11 = 0 THEN 'missing anonymous_id' WHEN n % 13 = 0 THEN 'unknown event_type' WHEN n % 17 = 0 AND revenue > 0 THEN 'negative amount' END AS reason, count(*) AS events FROM ev GROUP BY 1"),
     "s7_rollup_messages": (lambda s, d: sinks.as_messages(rollups.minute_metrics(clicks(s, d)).select("window_start", "events"), "window").select("key", F.get_json_object("value", "$.events").cast("long").alias("events")), f"WITH {EV} SELECT CAST(epoch_ms(date_trunc('minute', event_time)) AS VARCHAR) AS key, count(*) AS events FROM ev GROUP BY 1"),
     "s8_apply_retention": (lambda s, d: sinks.apply_retention(clicks(s, d), AS_OF, 10).select("event_id", "event_time"), f"WITH {EV} SELECT event_id, event_time FROM ev WHERE event_time >= TIMESTAMP '2024-01-20'"),
@@ -172,13 +213,19 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "p3_page_views": (lambda s, d: C.page_views(clicks(s, d)).select("event_id", "path"), f"WITH {EV} SELECT event_id, path FROM ev WHERE event_type = 'page_view'"),
     "p4_in_range": (lambda s, d: in_range(clicks(s, d), FROM, TO).select("event_id", "event_time"), f"WITH {EV} SELECT event_id, event_time FROM ev WHERE {_RANGE}"),
     "p5_of_type": (lambda s, d: of_type(clicks(s, d), "purchase").select("event_id", "revenue"), f"WITH {EV} SELECT event_id, revenue FROM ev WHERE event_type = 'purchase'"),
-    "p6_preset_7d": (_preset, f"WITH {EV} SELECT date_trunc('hour', event_time) AS bucket, event_type, count(*) AS events FROM ev WHERE event_time >= TIMESTAMP '2024-01-13' AND event_time < TIMESTAMP '2024-01-20' GROUP BY 1, 2"),
+    "p6_preset_7d": (lambda s, d: _preset(s, d, "7d"), f"WITH {EV} SELECT date_trunc('hour', event_time) AS bucket, event_type, count(*) AS events FROM ev WHERE event_time >= TIMESTAMP '2024-01-13' AND event_time < TIMESTAMP '2024-01-20' GROUP BY 1, 2"),
+    "p6_preset_24h": (lambda s, d: _preset(s, d, "24h"), _preset_sql("minute", 5, "2024-01-19")),
+    "p6_preset_30d": (lambda s, d: _preset(s, d, "30d"), _preset_sql("day", 1, "2023-12-21")),
+    "p6_preset_unknown": (lambda s, d: _preset(s, d, "no such range"), _preset_sql("minute", 5, "2024-01-19")),
     "p7_bucket_5m": (lambda s, d: clicks(s, d).select("event_id", bucket("event_time", " 5Min ").alias("bucket")), f"WITH {EV} SELECT event_id, time_bucket(INTERVAL 5 MINUTES, event_time) AS bucket FROM ev"),
     "p7_bucket_day": (lambda s, d: clicks(s, d).select("event_id", bucket("event_time", "1d").alias("bucket")), f"WITH {EV} SELECT event_id, CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket FROM ev"),
     "p8_funnel_stage": (lambda s, d: clicks(s, d).select("event_id", C.funnel_stage().alias("stage")), f"WITH {EV} SELECT event_id, CAST({_STAGE} AS INTEGER) AS stage FROM ev"),
     "p10_output_key": (lambda s, d: C.with_output_key(rollups.sessionize(clicks(s, d), HALF_DAY), "session").select("key", "events"), f"SELECT session_id AS key, events FROM ({_sessions_sql(720)})"),
     "p11_metrics_view": (lambda s, d: views.metrics_view(_metrics(s, d)), f"WITH {EV}, {_METRICS} SELECT window_start AS \"windowStart\", window_end AS \"windowEnd\", events, page_views AS \"pageViews\", add_to_cart AS \"addToCart\", checkout_start AS \"checkoutStart\", purchases, revenue FROM m"),
     "p11_funnel_view": (lambda s, d: views.funnel_view(funnel.funnel_snapshot(clicks(s, d)).select("views", "add_to_cart", "checkout_start", "purchases")), f"WITH {EV}, {_FURTHEST}, {_REACHED} SELECT views, add_to_cart AS \"addToCart\", checkout_start AS \"checkoutStart\", purchases FROM s"),
+    "p11_topn_view": (_topn_view, f"WITH {EV}, {_PAGES} SELECT window_start AS \"windowStart\", window_start + INTERVAL 12 HOURS AS \"windowEnd\", rank, path, views FROM r WHERE rank <= 10"),
+    "p11_alerts_view": (lambda s, d: views.alerts_view(_alerts(s, d, 1.0)), f"SELECT alert_time AS \"alertTime\", observed, baseline_mean AS \"baselineMean\", baseline_stddev AS \"baselineStddev\", z_score AS \"zScore\", threshold_k AS \"thresholdK\", direction, baseline_samples AS \"baselineSamples\" FROM ({_ewma_sql(1.0)})"),
+    "p11_active_view": (lambda s, d: views.active_view(rollups.active_visitors(clicks(s, d), "6 hours")), f"WITH {EV}, {_ACTIVE} SELECT any_value(now) AS \"snapshotTime\", count(*) FILTER (t > now - INTERVAL 6 HOURS) AS \"activeSessions\", CAST(21600 AS BIGINT) AS \"windowSeconds\" FROM l, x"),
     "p12_on_time": (lambda s, d: olap.on_time(clicks(s, d)).select("event_id", olap.latency_ms().alias("ms")), f"WITH {EV} SELECT event_id, epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 BETWEEN 0 AND 2000"),
     "j1_enrich": (lambda s, d: enrich(clicks(s, d), products(s, d)).select("event_id", "event_type", "product_id", "product_category", "product_ref_price", "device_type", "geo_country"), f"WITH {EV} SELECT event_id, event_type, product_id, p_type AS product_category, p_retailprice AS product_ref_price, device_type, geo_country FROM ev LEFT JOIN part ON p_partkey % 2 = 0 AND CAST(p_partkey AS VARCHAR) = product_id"),
     "a1_minute_metrics": (_metrics, f"WITH {EV}, {_METRICS} SELECT * FROM m"),
@@ -197,13 +244,13 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "a11_funnel_report_30m": (lambda s, d: _report(s, d, 1800), f"WITH {EV}, {_levels_sql(1800, _RANGE)}, {_REPORT} {_REPORT_OUT}"),
     "a11_funnel_report_1d": (lambda s, d: _report(s, d, DAY), f"WITH {EV}, {_levels_sql(DAY, _RANGE)}, {_REPORT} {_REPORT_OUT}"),
     "a12_unique_visitors": (lambda s, d: olap.unique_visitors(clicks(s, d), FROM, TO, "hour", exact=True), f"WITH {EV} SELECT date_trunc('hour', event_time) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors FROM ev WHERE {_RANGE} GROUP BY 1"),
-    "a12_unique_visitors_approx": (lambda s, d: olap.unique_visitors(clicks(s, d), FROM, TO, "day"), None),
-    "a13_retention": (lambda s, d: olap.retention(clicks(s, d), [F.col("event_time") < F.lit("2024-01-02").cast("timestamp_ntz"), (F.col("event_time") >= F.lit("2024-01-02").cast("timestamp_ntz")) & (F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz"))]), f"WITH {EV}, b AS (SELECT anonymous_id, max(CASE WHEN event_time < TIMESTAMP '2024-01-02' THEN 1 ELSE 0 END) AS c0, max(CASE WHEN event_time >= TIMESTAMP '2024-01-02' AND event_time < TIMESTAMP '2024-01-03' THEN 1 ELSE 0 END) AS c1 FROM ev GROUP BY 1) SELECT CAST(sum(c0) AS BIGINT) AS r0, CAST(sum(c0 * c1) AS BIGINT) AS r1 FROM b"),
+    "a12_unique_visitors_approx": (lambda s, d: _sketched(s, d), f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors, TRUE AS within FROM ev WHERE {_RANGE} GROUP BY 1"),
+    "a13_retention": (lambda s, d: olap.retention(clicks(s, d).where(F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz")), [F.col("event_time") < F.lit("2024-01-02").cast("timestamp_ntz"), (F.col("event_time") >= F.lit("2024-01-02").cast("timestamp_ntz")) & (F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz"))]), f"WITH {EV}, b AS (SELECT anonymous_id, max(CASE WHEN event_time < TIMESTAMP '2024-01-02' THEN 1 ELSE 0 END) AS c0, max(CASE WHEN event_time >= TIMESTAMP '2024-01-02' AND event_time < TIMESTAMP '2024-01-03' THEN 1 ELSE 0 END) AS c1 FROM ev GROUP BY 1) SELECT CAST(sum(c0) AS BIGINT) AS r0, CAST(sum(c0 * c1) AS BIGINT) AS r1 FROM b"),
     "a14_timeseries": (_series, f"WITH {EV}, {_SERIES} SELECT * FROM ts"),
     "a14_timeseries_purchase": (lambda s, d: olap.timeseries(clicks(s, d), FROM, TO, "1d", "purchase"), f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, event_type, count(*) AS events FROM ev WHERE {_RANGE} AND event_type = 'purchase' GROUP BY 1, 2"),
     "a15_top_pages": (lambda s, d: olap.top_pages(clicks(s, d), FROM, TO, 8), f"WITH {EV} SELECT path, count(*) AS views FROM ev WHERE {_RANGE} AND event_type = 'page_view' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8"),
     "a16_latency_profile": (lambda s, d: _latency(s, d, True), f"WITH {EV}, x AS (SELECT epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE ingested_at > TIMESTAMP '2024-01-13' AND ingested_at <= TIMESTAMP '2024-01-20') SELECT count(*) AS samples, CAST(round(quantile_cont(ms, 0.5)) AS BIGINT) AS p50, CAST(round(quantile_cont(ms, 0.95)) AS BIGINT) AS p95, CAST(round(quantile_cont(ms, 0.99)) AS BIGINT) AS p99, max(ms) AS max_ms, round(avg(ms), 1) AS avg_ms FROM x WHERE ms BETWEEN 0 AND 2000"),
-    "a16_latency_profile_approx": (lambda s, d: _latency(s, d, False), None),
+    "a16_latency_profile_approx": (_near_percentiles, f"WITH {EV}, x AS (SELECT epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE ingested_at > TIMESTAMP '2024-01-13' AND ingested_at <= TIMESTAMP '2024-01-20') SELECT count(*) AS samples, max(ms) AS max_ms, round(avg(ms), 1) AS avg_ms, TRUE AS within FROM x WHERE ms BETWEEN 0 AND 2000"),
     "a17_profile": (lambda s, d: olap.profile(clicks(s, d)), f"WITH {EV} SELECT count(*) AS events, count(DISTINCT anonymous_id) AS visitors FROM ev"),
     "a18_throughput": (lambda s, d: _rounded(olap.throughput(clicks(s, d), sample="1 hour"), "events_per_second"), f"WITH {EV} SELECT date_trunc('hour', event_time) AS sample_start, count(*) AS events, round(count(*) / 3600, 6) AS events_per_second FROM ev GROUP BY 1"),
     "a18_mean_throughput": (lambda s, d: _rounded(olap.mean_throughput(olap.throughput(clicks(s, d), sample="1 hour")), "mean_events_per_second"), f"WITH {EV}, t AS (SELECT count(*) / 3600 AS r FROM ev GROUP BY date_trunc('hour', event_time)) SELECT count(*) AS samples, round(avg(r), 6) AS mean_events_per_second FROM t"),
