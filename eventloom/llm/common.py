@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -12,23 +10,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.sources.shared import new_folder, shared_folder
+
 #: A worker's cache of words is emptied beyond so many entries, which bounds its memory; it changes no result.
 CACHE_WORDS = 700_000
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it is unset, as in tests, a new temporary one."""
-    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if known:
-        return known
-    own = tempfile.mkdtemp(prefix="spark-shared-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
-
-
 def cut(df: DataFrame) -> DataFrame:
     """df computed once and read back from the shared folder, so that lost executors cost no recomputation."""
-    shared_folder(df.sparkSession)
+    folder = shared_folder(df.sparkSession)
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
@@ -39,10 +31,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

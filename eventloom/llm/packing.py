@@ -110,7 +110,8 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
 
 
 def sequences(found: DataFrame) -> DataFrame:
-    """(sequence_id, length, ids) from packed pieces that keep their ids; a sequence is at most its capacity, so a row holds it."""
+    """(sequence_id, length, ids) from packed pieces that keep their ids; a sequence is at most its capacity, so a row holds it. Pieces of null and
+    empty texts are their end id, repeated rows are pieces of their own. No pieces, no rows."""
     whole = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     ids = F.aggregate(whole, F.lit(b""), lambda done, x: F.concat(done, x["ids"]))
     return found.groupBy("sequence_id").agg(F.sum("length").alias("length"), ids.alias("ids"))

@@ -103,7 +103,8 @@ def assign(docs: DataFrame, shards: int = 24, law: str = "bytes", id_col: str =
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24, files: int = 1) -> None:
-    """Writes the whole rows of docs, in one exchange, below path/shard=N, in ``files`` files each; a column named shard gives way."""
+    """Writes the whole rows of docs, in one exchange, below path/shard=N, in ``files`` files each; a column named shard gives way. Null texts count as
+    empty but are written as null, null ids come first, repeated rows are rows of their own. No rows give an empty folder."""
     keys = keyed(docs).select("k1", "k2", "size")
     ends = splitters(cut(keys), shards)
     text = F.coalesce(F.col("text"), F.lit(""))

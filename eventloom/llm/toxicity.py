@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries:
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where(fold() != 0)
     n = usable.count()
     part = min(1.0, max_rows / max(n, 1))
-    chosen = usable.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000)) < F.lit(int(part * 1_000_000)))
+    chosen = usable.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 62)) < F.lit(int(part * (1 << 62))))
     # One row a document, however often its id is repeated: the bound holds for rows.
     rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
     sample = stored(rows, "toxicity-sample")
@@ -258,7 +258,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without those that the classifier rejects."""
+    """docs without those that the classifier rejects, other rows as they are, repeated ones too. Null and empty texts are judged as texts without
+    words; rows with a null id are judged like others. No rows, no result."""
     model = fit(docs, labels)
     names = docs.columns
 
