@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import cut
+from eventloom.llm.common import cut, stored
 
 #: Marks of the template. Fixed values.
 OPEN, CLOSE = "[INST]", "[/INST]"
@@ -79,10 +79,17 @@ def parse_turns(text: str) -> Iterator[tuple[str, str]]:
             raise ValueError("not a formatted conversation")
 
 
+def one_each(messages: DataFrame) -> DataFrame:
+    """Of the messages that share an id in a tree the least by parent, score, role and text, nulls first; none with a null id."""
+    rest = [c for c in ("parent", "score", "role", "text") if c in messages.columns]
+    return messages.where("id IS NOT NULL").groupBy("tree", "id").agg(F.min(F.struct(*rest)).alias("m")).select("tree", "id", "m.*")
+
+
 def paths(messages: DataFrame) -> DataFrame:
     """messages(tree, id, parent, score) -> (tree, leaf, depth, id, score): the messages on the way from each leaf to its root.
 
-    ids are unique in a tree; a message whose parent is null or unknown is a root; messages on a cycle belong to no leaf and are left out. Round k
+    ids are unique in a tree (one_each() makes them so) and not null. A message whose parent is null or unknown is a root; messages on a cycle belong
+    to no leaf and are left out. No messages, no paths. Round k
     joins each message with the ancestor 2^k levels up, keeping only pointers; then a leaf's path is walked by halving distances.
     """
     own = messages.select("tree", "id", "parent")
@@ -111,7 +118,8 @@ def paths(messages: DataFrame) -> DataFrame:
 
 
 def best_paths(messages: DataFrame, keep: int | None = None) -> DataFrame:
-    """paths() with (path_score, rank): leaves of a tree ranked by their path's mean score, ties by leaf; ``keep`` of each tree, or all."""
+    """paths() with (path_score, rank): leaves of a tree ranked by their path's mean score, null scores counting as 0, ties by leaf; ``keep`` of each
+    tree, or all. ids are as in paths()."""
     found = cut(paths(messages))
     scored = found.groupBy("tree", "leaf").agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("path_score"))
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("path_score"), "leaf")))
@@ -120,13 +128,17 @@ def best_paths(messages: DataFrame, keep: int | None = None) -> DataFrame:
     return found.join(ranked, ["tree", "leaf"])
 
 
-def formatted(messages: DataFrame, keep: int | None = None) -> DataFrame:
+def formatted(messages: DataFrame, keep: int | None = None, unique: bool = False) -> DataFrame:
     """messages(tree, id, parent, score, role, text) -> (tree, leaf, rank, text, loss_spans): one row for each chosen path.
 
-    Null texts and roles count as empty. A path's text is one row by its nature; tasks hold one path at a time.
+    Null texts and roles count as empty. Unless ids are known to be ``unique``, as threads() makes them, one message of each id is taken by
+    one_each(). A path's text is one row by its nature; tasks hold one path at a time.
+
+    The messages are stored once: paths are found over their ids and scores alone, and texts joined last.
     """
     # Null trees are one tree: in structs, nulls are equal in joins too.
-    messages = messages.withColumn("tree", F.struct("tree"))
+    messages = messages.select(F.struct("tree").alias("tree"), "id", "parent", "score", "role", "text")
+    messages = stored(messages if unique else one_each(messages), "messages")
     turns = best_paths(messages.select("tree", "id", "parent", "score"), keep).join(messages.select("tree", "id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")), ["tree", "id"])
     gathered = turns.groupBy("tree", "leaf", "rank").agg(F.array_sort(F.collect_list(F.struct("depth", "id", "role", "text"))).alias("turns")).select("tree.tree", "leaf", "rank", "turns")
     spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))

@@ -26,7 +26,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], "conv_id long, turn long, role string, text string")
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    return read_back(formatted(threads(turns, nulls=True))).withColumnRenamed("tree", "conv_id")
+    return read_back(formatted(threads(turns, nulls=True), unique=True)).withColumnRenamed("tree", "conv_id")
 
 
 def op3_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
