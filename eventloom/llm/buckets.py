@@ -16,7 +16,7 @@ from eventloom.llm.common import cut, parts
 Compare = Callable[[pa.Table, "pa.Table | None"], "pa.RecordBatch | None"]
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[tuple[pa.Table, int, bool]]:
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[tuple[pa.Table, int, bool]]:
     """Pieces of runs of equal keys, of ``most`` rows: (rows, number of the piece, whether it ends the run). Runs of one row are left out."""
     held: list[pa.RecordBatch] = []
     rows, piece = 0, 0
@@ -66,7 +66,7 @@ def compare_buckets(rows: DataFrame, key: str, order: list[str], compare: Compar
         def deferred(table, piece):
             return pa.RecordBatch.from_arrays([pa.array(np.full(table.num_rows, piece, np.int32)), *[table.column(c).combine_chunks() for c in names], pa.nulls(table.num_rows, arrow.field("_out").type)], schema=arrow)
 
-        for table, piece, ends in _runs(batches, [key], block):
+        for table, piece, ends in runs(batches, [key], block):
             if piece or not ends:
                 yield deferred(table, piece)
             elif (found := compare(table, None)) is not None and found.num_rows:
@@ -87,7 +87,7 @@ def compare_buckets(rows: DataFrame, key: str, order: list[str], compare: Compar
     )
 
     def second(batches):
-        for table, _, _ in _runs(batches, ["_unit", key, "_i", "_j"], 2 * block):
+        for table, _, _ in runs(batches, ["_unit", key, "_i", "_j"], 2 * block):
             piece = table.column("_piece").to_numpy()
             i, j = table.column("_i")[0].as_py(), table.column("_j")[0].as_py()
             sides = (table.select(names), None) if i == j else (table.filter(pa.array(piece == i)).select(names), table.filter(pa.array(piece == j)).select(names))
