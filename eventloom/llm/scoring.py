@@ -7,8 +7,9 @@ discount; all the rest of the mass goes to the suffix's distribution. The root i
 symbol for all unknown words. So every state's probabilities sum to 1, and a token is predicted from the longest suffix that is a state.
 
 The model is never gathered. Documents are dealt into chunks; a chunk asks hash buckets for what it needs, first its words' counts, then for
-each length of context the counts of its (context, word) pairs, and gets them back in the order it asked. Pairs are summed in the chunk first,
-so that frequent ones cost each chunk one entry. Contexts are dealt by their hash; those over HOT of all tokens, at most 1 / HOT of them, by
+each length of context the counts of its (context, word) pairs, and gets them back in the order it asked. Words are known by the whole of their
+64-bit hashes, and once counted by numbers that no two share, small for frequent words. Pairs are summed in the chunk first, so that frequent ones
+cost each chunk one entry. Contexts are dealt by their hash; those over HOT of all tokens, at most 1 / HOT of them, by
 the pair, and their statistics are added up by the chunks that use them.
 """
 
@@ -23,14 +24,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.cells import bucket_of, slices
-from eventloom.llm.common import ODD, WordHashes, begins, mixed, parts, remembers, texts, total, words
+from eventloom.llm.cells import Split, bucket_of, slices
+from eventloom.llm.common import ODD, begins, mixed, parts, total
 
 DISCOUNT, HOT = 0.75, 0.005
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-_HASHES = WordHashes(seed=5)
-remembers("scoring", _HASHES.clear)
-
 
 _PRESS, _PULL = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
@@ -40,14 +38,33 @@ def pressed(data: bytes) -> bytes:
 
 
 def tight(a: np.ndarray) -> bytes:
-    """Whole numbers from 0 on in as few bytes each as the largest needs, compressed: most are small or equal."""
-    most = int(a.max()) if len(a) else 0
-    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
-    return bytes([width]) + pressed(a.astype(f"<u{width}").tobytes())
+    """Whole numbers from 0 on in as few bytes each as the largest needs, first bytes first, compressed: most are small or equal."""
+    width = max(1, -(-int(a.max()).bit_length() // 8)) if len(a) else 1
+    return bytes([width]) + pressed(np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
 
 
 def loose(data: bytes) -> np.ndarray:
-    return np.frombuffer(_PULL.decompress(data[1:]), f"<u{data[0]}").astype(np.int64)
+    planes = np.frombuffer(_PULL.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view("<i8").ravel()
+
+
+def rising(a: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Numbers that rise within runs of these sizes: each run's first, then differences."""
+    d = np.diff(a, prepend=0)
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    d[first] = a[first]
+    return tight(d)
+
+
+def risen(data: bytes, sizes: np.ndarray) -> np.ndarray:
+    """The inverse of rising()."""
+    d = loose(data)
+    sums = np.cumsum(d)
+    first = np.cumsum(sizes) - sizes
+    before = np.concatenate([[0], sums])[first]
+    return sums - np.repeat(before, sizes)
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -105,15 +122,15 @@ class _Tokens:
     def __init__(self, blobs: pa.Table):
         begins("scoring")
         table = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in blobs.column("docs").to_pylist()])
-        split = [words(t.lower() if t else t) for t in texts(table.column("text"))]
+        split = Split(table.column("text"), lower=True)
         self.ids = table.column("doc_id").to_pylist()
-        lengths = np.fromiter(map(len, split), np.int64, len(split)) + 1
+        lengths = split.ends - split.starts + 1
         self.lengths, self.ends = lengths, np.cumsum(lengths) - 1
-        self.doc = np.repeat(np.arange(len(split)), lengths)
+        self.doc = np.repeat(np.arange(len(lengths)), lengths)
         h = np.full(int(lengths.sum()), END)
         body = np.ones(len(h), bool)
         body[self.ends] = False
-        h[body] = np.concatenate([_HASHES.array(w) for w in split])
+        h[body] = split.h
         self.held = np.array([i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i in self.ids])
         self.training = ~self.held & np.array([i is not None for i in self.ids])
         self.train = self.training[self.doc]
@@ -124,7 +141,7 @@ class _Tokens:
     def know(self, replies: pa.Table) -> None:
         """Takes in the counts that the word buckets sent, in the order of the hashes."""
         replies = replies.sort_by("bucket")
-        self.count = _joined(replies, "counts", loose)
+        self.count, self.name = _joined(replies, "counts", loose), _joined(replies, "names", loose)
         self.n, self.v = sum(replies.column("n").to_pylist()), sum(replies.column("v").to_pylist())
         self.root = np.log10((self.count + 0.1) / (self.n + 0.1 * (self.v + 1)))[self.kind]
         self.p = 10**self.root
@@ -160,9 +177,9 @@ class _Tokens:
         pairs, inverse = np.unique(at[wanted] * size + self.kind[wanted], return_inverse=True)
         context, word = pairs // size, pairs % size
         hot = counts[context] > HOT * self.n
-        # Hot pairs stand after the others, by bucket of the pair.
+        # Pairs of a context stand by their words' numbers; hot ones after the others, by bucket of the pair.
         spread = mixed(hashes[context] ^ mixed(self.hashes[word]))
-        order = np.lexsort((np.where(hot, spread, 0), hot))
+        order = np.lexsort((self.name[word], np.where(hot, 0, context), np.where(hot, spread, 0), hot))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         context, word, hot = context[order], word[order], hot[order]
@@ -185,7 +202,8 @@ class _Tokens:
         replies = replies.sort_by("bucket")
         count = np.concatenate([_joined(replies, "pairs", loose), _joined(replies, "hot_pairs", loose)])
         rest = np.zeros(len(self.context_hash))  # mass left to the suffix; 0: no state
-        rest[self.cold_contexts] = _joined(replies, "rest", lambda x: np.frombuffer(_PULL.decompress(x), "<f8"))
+        cold = _joined(replies, "rest", _rests)
+        rest[self.cold_contexts] = np.where(cold[:, 1] > 0, (cold[:, 0] + DISCOUNT * cold[:, 1]) / np.maximum(self.context_count[self.cold_contexts], 1), 0)
         total: dict[int, list[float]] = {}
         for data in replies.column("hot").to_pylist():
             for h, n, m, e, g in np.frombuffer(data, _HOT_PART).tolist():
@@ -205,6 +223,12 @@ class _Tokens:
         self.pair_context = self.context_hash[self.ask_context]
 
 
+def _rests(data: bytes) -> np.ndarray:
+    """(occurrences before other symbols, kept symbols) of each context; 0 kept symbols: no state."""
+    size = int.from_bytes(data[:4], "little")
+    return np.stack([loose(data[4 : 4 + size]), loose(data[8 + size :])], axis=1)
+
+
 _HOT_PART = np.dtype([("h", "<u8"), ("n", "<i8"), ("m", "<i8"), ("e", "<i8"), ("g", "<f8")])
 
 
@@ -229,7 +253,7 @@ def _cells(chunk: int, buckets: int, schema: pa.Schema, of) -> pa.Table:
 
 
 _WORD_CELL = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
-_WORD_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
+_WORD_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("names", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
 _PAIR_COLUMNS = ("contexts", "totals", "sizes", "words", "counts", "bits", "hot_contexts", "hot_totals", "hot_words", "hot_counts", "hot_bits")
 _PAIR_CELL = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), *[(c, pa.binary()) for c in _PAIR_COLUMNS]])
 _PAIR_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("pairs", "rest", "hot_pairs", "hot")]])
@@ -248,16 +272,28 @@ def _ask_words(buckets: int):
     return run
 
 
-def _count_words(key, table):
+def _count_words(buckets: int):
+    def run(key, table):
+        return _counted_words(key[0].as_py(), table, buckets)
+
+    return run
+
+
+def _counted_words(bucket: int, table: pa.Table, buckets: int) -> pa.Table:
+    """Counts of a bucket's words, and numbers for those that stand twice or more, by falling count."""
     h = [unpack(x) for x in table.column("words").to_pylist()]
     c = [loose(x) for x in table.column("counts").to_pylist()]
     known, at = np.unique(np.concatenate(h), return_inverse=True)
     total = np.bincount(at, np.concatenate(c), len(known)).astype(np.int64)
     n, v = int(total.sum()), int((total > 0).sum())
     ends = np.cumsum([len(x) for x in h])
-    answers = [tight(total[x]) for x in np.split(at, ends[:-1])]
+    often = np.flatnonzero(total >= 2)
+    names = np.zeros(len(total), np.int64)
+    names[often[np.argsort(-total[often], kind="stable")]] = np.arange(len(often)) * buckets + bucket
+    places = np.split(at, ends[:-1])
+    answers = [pa.array([tight(of[x]) for x in places], pa.binary()) for of in (total, names)]
     size = table.num_rows
-    return pa.table([table.column("chunk"), table.column("bucket"), pa.array(answers, pa.binary()), pa.array([n] * size, pa.int64()), pa.array([v] * size, pa.int64())], schema=_WORD_REPLY)
+    return pa.table([table.column("chunk"), table.column("bucket"), *answers, pa.array([n] * size, pa.int64()), pa.array([v] * size, pa.int64())], schema=_WORD_REPLY)
 
 
 def _ready(table: pa.Table, replies: list[pa.Table], least: int, bits: float) -> _Tokens:
@@ -285,7 +321,7 @@ def _ask_pairs(buckets: int, depth: int, least: int, bits: float):
         context_edges = np.searchsorted(bucket_of(t.context_hash[t.cold_contexts], buckets), np.arange(buckets + 1))
         size_of = np.bincount(t.ask_context[:cold], minlength=len(t.context_hash))
         hot_edges = cold + np.searchsorted(bucket_of(t.spread[cold:], buckets), np.arange(buckets + 1))
-        w32 = (t.hashes[t.ask_word] >> np.uint64(16)).astype("<u4")
+        names = t.name[t.ask_word]
 
         def of(b):
             s, e = edges[b], edges[b + 1]
@@ -293,8 +329,8 @@ def _ask_pairs(buckets: int, depth: int, least: int, bits: float):
             x, y = hot_edges[b], hot_edges[b + 1]
             k = t.ask_context[x:y]
             return (
-                pack(t.context_hash[contexts]), tight(t.context_count[contexts]), tight(size_of[contexts]), w32[s:e].tobytes(), tight(t.ask_own[s:e]), tight(t.ask_bits[s:e]),
-                t.context_hash[k].astype("<u8").tobytes(), tight(t.context_count[k]), w32[x:y].tobytes(), tight(t.ask_own[x:y]), tight(t.ask_bits[x:y]),
+                pack(t.context_hash[contexts]), tight(t.context_count[contexts]), tight(size_of[contexts]), rising(names[s:e], size_of[contexts]), tight(t.ask_own[s:e]), tight(t.ask_bits[s:e]),
+                t.context_hash[k].astype("<u8").tobytes(), tight(t.context_count[k]), tight(names[x:y]), tight(t.ask_own[x:y]), tight(t.ask_bits[x:y]),
             )
 
         return _cells(key[0].as_py(), buckets, _PAIR_CELL, of)
@@ -329,26 +365,27 @@ def _count_pairs(bits: float):
     def run(key, table):
         column = lambda name, of: [of(x) for x in table.column(name).to_pylist()]
         wide = lambda x: np.frombuffer(x, "<u8")
-        short = lambda x: np.frombuffer(x, "<u4")
         contexts, sizes = column("contexts", unpack), column("sizes", loose)
-        w, c, q = (column(x, f) for x, f in (("words", short), ("counts", loose), ("bits", loose)))
+        w = [risen(x, n) for x, n in zip(table.column("words").to_pylist(), sizes, strict=True)]
+        c, q = column("counts", loose), column("bits", loose)
         size = np.concatenate(sizes)
         h, n = np.repeat(np.concatenate(contexts), size), np.repeat(np.concatenate(column("totals", loose)), size)
         hd, count, nd, qd, back = _summed(h, np.concatenate(w), np.concatenate(c), n, np.concatenate(q))
         known, total, m, e, g = _by_context(hd, count, nd, qd)
-        rest = _rest(total, m, e, g, bits)
+        e = np.where(_rest(total, m, e, g, bits) > 0, e, 0)  # 0: no state
         count = np.where(count >= 2, count, 0)
         ends = np.cumsum([len(x) for x in w])
         pairs = [tight(count[x]) for x in np.split(back, ends[:-1])]
-        known, rest = np.append(known, np.uint64((1 << 64) - 1)), np.append(rest, 0.0)
+        known, total, m, e = np.append(known, np.uint64((1 << 64) - 1)), np.append(total, 0), np.append(m, 0), np.append(e, 0)
 
         def rest_of(x):
             at = np.searchsorted(known, x)
-            return pressed(np.where(known[at] == x, rest[at], 0.0).astype("<f8").tobytes())
+            met = known[at] == x
+            return b"".join(len(d).to_bytes(4, "little") + d for d in (tight(np.where(met, y[at], 0)) for y in (total - m, e)))
 
         rests = [rest_of(x) for x in contexts]
 
-        hh, hw, hn, hc, hq = (column(f"hot_{x}", f) for x, f in (("contexts", wide), ("words", short), ("totals", loose), ("counts", loose), ("bits", loose)))
+        hh, hw, hn, hc, hq = (column(f"hot_{x}", f) for x, f in (("contexts", wide), ("words", loose), ("totals", loose), ("counts", loose), ("bits", loose)))
         hd, count, nd, qd, back = _summed(*map(np.concatenate, (hh, hw, hc, hn, hq)))
         part = np.rec.fromarrays(_by_context(hd, count, nd, qd), dtype=_HOT_PART).tobytes()
         count = np.where(count >= 2, count, 0)
@@ -374,14 +411,14 @@ def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0,
     buckets = parts(docs.sparkSession)
     by_chunk = _dealt(docs, mb).groupBy("chunk")
     # Answers go to the chunks once, dealt as the texts are; a union of such parts needs no further exchange.
-    words_known = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket").applyInArrow(_count_words, _spec(_WORD_REPLY)).repartition(buckets, "chunk")
+    words_known = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket").applyInArrow(_count_words(buckets), _spec(_WORD_REPLY)).repartition(buckets, "chunk")
     empty = F.lit(None).cast("binary")
     none = F.lit(None).cast("long")
-    replies = words_known.select("chunk", "bucket", F.lit(0).alias("round"), "counts", "n", "v", *[empty.alias(c) for c in ("pairs", "rest", "hot_pairs", "hot")])
+    replies = words_known.select("chunk", "bucket", F.lit(0).alias("round"), "counts", "names", "n", "v", *[empty.alias(c) for c in ("pairs", "rest", "hot_pairs", "hot")])
     for k in range(1, depth + 1):
         cells = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_ask_pairs(buckets, k, least, bits), _spec(_PAIR_CELL))
         found = cells.groupBy("bucket").applyInArrow(_count_pairs(bits), _spec(_PAIR_REPLY)).repartition(buckets, "chunk")
-        replies = replies.union(found.select("chunk", "bucket", F.lit(k).alias("round"), empty.alias("counts"), none.alias("n"), none.alias("v"), "pairs", "rest", "hot_pairs", "hot"))
+        replies = replies.union(found.select("chunk", "bucket", F.lit(k).alias("round"), empty.alias("counts"), empty.alias("names"), none.alias("n"), none.alias("v"), "pairs", "rest", "hot_pairs", "hot"))
 
     def finish(key, table, known):
         if not table.num_rows:
