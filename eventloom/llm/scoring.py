@@ -9,8 +9,9 @@ symbol for all unknown words. So every state's probabilities sum to 1, and a tok
 The model is never gathered. Documents are dealt into chunks; a chunk asks hash buckets for what it needs, first its words' counts, then for
 each length of context the counts of its (context, word) pairs, and gets them back in the order it asked. Words are known by the whole of their
 64-bit hashes, and once counted by numbers that no two share, small for frequent words. Pairs are summed in the chunk first, so that frequent ones
-cost each chunk one entry. Contexts are dealt by their hash; those over HOT of all tokens, at most 1 / HOT of them, by
-the pair, and their statistics are added up by the chunks that use them.
+cost each chunk one entry. Contexts are dealt by their hash; those with more than a bucket's share of all tokens by the pair, and their
+statistics, like the numbers of all tokens and words, are added up over the buckets and sent to each chunk. The number of buckets follows the
+corpus's bytes, and a chunk writes to none for which it has nothing.
 """
 
 from __future__ import annotations
@@ -20,14 +21,21 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.cells import Split, bucket_of, slices
-from eventloom.llm.common import ODD, begins, mixed, parts, total
+from eventloom.llm.cells import Split, bucket_of, buckets_for, sized, slices
+from eventloom.llm.common import ODD, begins, mixed, parts
 
-DISCOUNT, HOT = 0.75, 0.005
+DISCOUNT = 0.75
+#: Of the texts' compression: they are most of what is sent.
+LEVEL = 7
+#: Bits saved are added up over buckets in whole parts, so that the sum doesn't depend on their order.
+PARTS = 1 << 16
+#: A bucket's share of all tokens, by which a context is hot, is at least and at most this: there are no more hot contexts than 1 / LEAST_SHARE.
+LEAST_SHARE, MOST_SHARE = 1e-4, 5e-3
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 _PRESS, _PULL = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
@@ -67,36 +75,86 @@ def risen(data: bytes, sizes: np.ndarray) -> np.ndarray:
     return sums - np.repeat(before, sizes)
 
 
+def by_word(names: np.ndarray, a: np.ndarray) -> bytes:
+    """Numbers of which equal names have equal ones, once for each name: words that are numbered after each other are about as frequent."""
+    d = np.diff(a[np.unique(names, return_index=True)[1]], prepend=0)
+    return tight((d << 1) ^ (d >> 63))
+
+
+def of_words(names: np.ndarray, data: bytes) -> np.ndarray:
+    """The inverse of by_word()."""
+    z = loose(data)
+    return np.cumsum((z >> 1) ^ -(z & 1))[np.unique(names, return_inverse=True)[1]]
+
+
 def pack(a: np.ndarray) -> bytes:
-    """Sorted hashes as their differences, in as many bytes each as the largest needs."""
-    if not len(a):
-        return b""
-    d = np.diff(a).astype("<u8")
-    width = max(1, -(-int(d.max()).bit_length() // 8)) if len(d) else 1
-    return bytes([width]) + a[:1].astype("<u8").tobytes() + d.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    """Rising hashes as the first and their differences."""
+    return a[:1].astype("<u8").tobytes() + tight(np.diff(a)) if len(a) else b""
 
 
 def unpack(data: bytes) -> np.ndarray:
     if not data:
         return np.empty(0, np.uint64)
-    width = data[0]
-    d = np.zeros(((len(data) - 9) // width, 8), np.uint8)
-    d[:, :width] = np.frombuffer(data, np.uint8, -1, 9).reshape(-1, width)
-    return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1, 1), d.view("<u8").ravel()]), dtype=np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1), loose(data[8:]).view(np.uint64)]), dtype=np.uint64)
+
+
+def _block(data: bytes) -> bytes:
+    return len(data).to_bytes(4, "little") + data
+
+
+def _blocks(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        size = int.from_bytes(data[at : at + 4], "little")
+        out.append(data[at + 4 : at + 4 + size])
+        at += 4 + size
+    return out
+
+
+#: Bits of a word's number in a context's key, up to so many distinct words: half of those of its numbers, which leaves room for uneven buckets.
+NAME_BITS, KEYED_WORDS = 32, 1 << 31
+
+
+def pack_keys(a: np.ndarray) -> bytes:
+    """Rising keys, as those of two words: the distinct upper halves, and the lower ones that rise under each."""
+    high, low = (a >> np.uint64(NAME_BITS)).astype(np.int64), (a & np.uint64((1 << NAME_BITS) - 1)).astype(np.int64)
+    own, sizes = np.unique(high, return_counts=True)
+    return _block(rising(own, np.array([len(own)]))) + _block(tight(sizes)) + _block(rising(low, sizes))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    own, sizes, low = _blocks(data)
+    sizes = loose(sizes)
+    high = np.repeat(np.cumsum(loose(own)), sizes)
+    return high.astype(np.uint64) << np.uint64(NAME_BITS) | risen(low, sizes).astype(np.uint64)
+
+
+def falling(names: np.ndarray, counts: np.ndarray) -> bytes:
+    """Counts of words of one bucket, with numbers where they are 2 or more: those fall as numbers rise."""
+    order = np.argsort(names[counts >= 2], kind="stable")
+    often = counts[counts >= 2][order]
+    fall = -np.diff(often, prepend=often[:1])
+    return _block(tight(np.minimum(counts, 2))) + _block(tight(often[:1])) + _block(tight(fall))
+
+
+def fallen(names: np.ndarray, data: bytes) -> np.ndarray:
+    """The inverse of falling()."""
+    few, first, fall = map(loose, _blocks(data))
+    often = np.flatnonzero(few == 2)
+    few[often[np.argsort(names[often], kind="stable")]] = np.repeat(first, len(fall)) - np.cumsum(fall)
+    return few
 
 
 _DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
 
-def _dealt(docs: DataFrame, mb: float) -> DataFrame:
-    """(chunk, docs): documents dealt by a hash into chunks of about ``mb`` MB of text; those that a task has for a chunk are one compressed blob."""
-    size, = total(docs, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)))
-    n = max(1, math.ceil(size / (mb * 1e6)))
+def _dealt(docs: DataFrame, n: int) -> DataFrame:
+    """(chunk, docs): documents dealt by a hash into ``n`` chunks; those that a task has for a chunk are one compressed blob."""
     schema = pa.schema([("chunk", pa.int32()), ("docs", pa.binary())])
 
     def blob(rows: pa.RecordBatch) -> bytes:
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, _DOCS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, _DOCS, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
             out.write_batch(rows)
         return sink.getvalue().to_pybytes()
 
@@ -104,7 +162,7 @@ def _dealt(docs: DataFrame, mb: float) -> DataFrame:
         for b in batches:
             chunk = b.column(0).to_numpy()
             order = np.argsort(chunk, kind="stable")
-            rows = pa.RecordBatch.from_arrays([b.column(1), b.column(2).cast(pa.string())], schema=_DOCS).take(pa.array(order))
+            rows = pa.RecordBatch.from_arrays([b.column(1), pc.ascii_lower(b.column(2).cast(pa.string()))], schema=_DOCS).take(pa.array(order))
             found = [(k, blob(rows.slice(s, e - s))) for k, s, e in slices(chunk[order])]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())], schema=schema)
 
@@ -112,17 +170,25 @@ def _dealt(docs: DataFrame, mb: float) -> DataFrame:
     return rows.mapInArrow(run, "chunk int, docs binary").repartition(parts(docs.sparkSession), "chunk")
 
 
-def _joined(table: pa.Table, column: str, of) -> np.ndarray:
-    return np.concatenate([of(x) for x in table.column(column).to_pylist()])
+def _joined(table: pa.Table, column: str, of, none=np.empty(0, np.int64)) -> np.ndarray:
+    found = [of(x) for x in table.column(column).to_pylist()]
+    return np.concatenate(found) if found else none
+
+
+def _by_bucket(replies: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """The answers of the buckets that were asked, in their order, and the row for all chunks."""
+    own = pc.greater_equal(replies.column("bucket"), 0)
+    return replies.filter(own).sort_by("bucket"), replies.filter(pc.invert(own))
 
 
 class _Tokens:
     """A chunk's tokens in a row: ``kind`` of each among the chunk's distinct ones, sorted by hash, and its document."""
 
-    def __init__(self, blobs: pa.Table):
+    def __init__(self, blobs: pa.Table, buckets: int, share: float = 1.0):
         begins("scoring")
+        self.buckets, self.share = buckets, share
         table = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in blobs.column("docs").to_pylist()])
-        split = Split(table.column("text"), lower=True)
+        split = Split(table.column("text"))
         self.ids = table.column("doc_id").to_pylist()
         lengths = split.ends - split.starts + 1
         self.lengths, self.ends = lengths, np.cumsum(lengths) - 1
@@ -140,32 +206,47 @@ class _Tokens:
 
     def know(self, replies: pa.Table) -> None:
         """Takes in the counts that the word buckets sent, in the order of the hashes."""
-        replies = replies.sort_by("bucket")
-        self.count, self.name = _joined(replies, "counts", loose), _joined(replies, "names", loose)
-        self.n, self.v = sum(replies.column("n").to_pylist()), sum(replies.column("v").to_pylist())
+        answers, totals = _by_bucket(replies)
+        names = [loose(x) for x in answers.column("names").to_pylist()]
+        self.name = np.concatenate(names)
+        self.count = np.concatenate([fallen(n, x) for n, x in zip(names, answers.column("counts").to_pylist(), strict=True)])
+        self.n, self.v = totals.column("n")[0].as_py(), totals.column("v")[0].as_py()
         self.root = np.log10((self.count + 0.1) / (self.n + 0.1 * (self.v + 1)))[self.kind]
         self.p = 10**self.root
 
     def contexts(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(number of its context among the chunk's, or -1, for each token; the contexts' hashes; their training counts), hashes ascending.
+        """(number of its context among the chunk's, or -1, for each token; the contexts' hashes; their training counts), by bucket and key.
 
-        Of length 1: the token before, or the start. Longer ones: the pair asked for at the token before, so known to be frequent.
+        Of length 1: the token before, or the start. Longer ones: the pair asked for at the token before, so known to be frequent. A bucket knows a
+        context of one word by the word's number, the start by 0, one of two by both numbers, and longer ones by their hash.
         """
         if depth == 1:
             before = np.concatenate([[0], self.kind[:-1]])
             before[self.first] = len(self.hashes)  # the start; as many as there are training documents, which is how often END stands
             hashes = np.append(self.hashes, START)
+            keys = np.append(self.name + 1, 0).astype(np.uint64)
             counts = np.append(self.count, self.count[np.searchsorted(self.hashes, END)])
         else:
             before = np.concatenate([[-1], self.pair[:-1]])
             before[self.first] = -1
             counts = self.pair_count
             hashes = mixed(self.pair_context * ODD + self.hashes[self.pair_word])
-        order = np.argsort(hashes, kind="stable")
+            keys = hashes
+            if self.keyed(depth):
+                names = self.name[self.pair_word].astype(np.uint64)
+                if max(self.pair_key.max(initial=0), names.max(initial=0)) >> np.uint64(NAME_BITS):
+                    raise ValueError("a word's number needs more bits; take more buckets")
+                keys = self.pair_key << np.uint64(NAME_BITS) | names
+        order = np.lexsort((keys, bucket_of(hashes, self.buckets)))
+        self.context_key = keys[order]
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         return np.where(before >= 0, rank[before], -1), hashes[order], counts[order]
 
+    def keyed(self, depth: int) -> bool:
+        """Whether contexts of this length are known by their words' numbers."""
+        return depth == 1 or depth == 2 and self.v < KEYED_WORDS
+
     def ask(self, depth: int, least: int) -> None:
         """The distinct pairs of a frequent context and a word seen twice or more: those dealt by context, then the hot ones, in cell order."""
         at, hashes, counts = self.contexts(depth)
@@ -176,10 +257,10 @@ class _Tokens:
         size = len(self.hashes)
         pairs, inverse = np.unique(at[wanted] * size + self.kind[wanted], return_inverse=True)
         context, word = pairs // size, pairs % size
-        hot = counts[context] > HOT * self.n
+        hot = counts[context] > self.share * self.n
         # Pairs of a context stand by their words' numbers; hot ones after the others, by bucket of the pair.
         spread = mixed(hashes[context] ^ mixed(self.hashes[word]))
-        order = np.lexsort((self.name[word], np.where(hot, 0, context), np.where(hot, spread, 0), hot))
+        order = np.lexsort((self.name[word], context, np.where(hot, bucket_of(spread, self.buckets), 0), hot))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         context, word, hot = context[order], word[order], hot[order]
@@ -187,7 +268,7 @@ class _Tokens:
         self.ask_context, self.ask_word, self.hot, self.spread = context, word, hot, spread[order]
         # Contexts whose next words here are all rare are asked for too: they leave less mass to the suffix if they are states.
         met = np.unique(at[self.used])
-        often = counts[met] > HOT * self.n
+        often = counts[met] > self.share * self.n
         self.cold_contexts, self.hot_contexts = met[~often], met[often]
         self.pair = np.full(len(self.kind), -1, np.int64)
         self.pair[wanted] = place[inverse]
@@ -199,37 +280,27 @@ class _Tokens:
 
     def take(self, replies: pa.Table, least: int, bits: float) -> None:
         """Takes in the answers to ask() and predicts each token from the context, where that is a state."""
-        replies = replies.sort_by("bucket")
-        count = np.concatenate([_joined(replies, "pairs", loose), _joined(replies, "hot_pairs", loose)])
+        answers, totals = _by_bucket(replies)
+        count = np.concatenate([_joined(answers, "pairs", loose), _joined(answers, "hot_pairs", loose)])
         rest = np.zeros(len(self.context_hash))  # mass left to the suffix; 0: no state
-        cold = _joined(replies, "rest", _rests)
+        cold = _joined(answers, "rest", _rests, np.empty((0, 2), np.int64))
         rest[self.cold_contexts] = np.where(cold[:, 1] > 0, (cold[:, 0] + DISCOUNT * cold[:, 1]) / np.maximum(self.context_count[self.cold_contexts], 1), 0)
-        total: dict[int, list[float]] = {}
-        for data in replies.column("hot").to_pylist():
-            for h, n, m, e, g in np.frombuffer(data, _HOT_PART).tolist():
-                own = total.setdefault(h, [n, 0, 0, 0.0])
-                own[1] += m
-                own[2] += e
-                own[3] += g
+        of = {x["h"]: x for x in totals.column("hot")[0].as_py() or ()}
         for k in self.hot_contexts.tolist():
-            n, m, e, g = total.get(int(self.context_hash[k]), (1, 0, 0, 0.0))
-            rest[k] = float(_rest(np.array([n]), np.array([m]), np.array([e]), np.array([g]), bits)[0])
+            if (x := of.get(int(self.context_key[k].view(np.int64)))) is not None:
+                rest[k] = float(_rest(*(np.array([x[c]]) for c in "nme"), np.array([x["g"] / PARTS]), bits)[0])
         k = np.maximum(self.at, 0)
         left, n = rest[k], self.context_count[k]
         c = np.where(self.pair >= 0, count[np.maximum(self.pair, 0)] if len(count) else 0, 0)
         state = self.used & (left > 0)
         self.p = np.where(state, np.where(c >= 2, (c - DISCOUNT) / np.maximum(n, 1), 0) + left * self.p, self.p)
         self.pair_count, self.pair_word = count, self.ask_word
-        self.pair_context = self.context_hash[self.ask_context]
+        self.pair_context, self.pair_key = self.context_hash[self.ask_context], self.context_key[self.ask_context]
 
 
 def _rests(data: bytes) -> np.ndarray:
     """(occurrences before other symbols, kept symbols) of each context; 0 kept symbols: no state."""
-    size = int.from_bytes(data[:4], "little")
-    return np.stack([loose(data[4 : 4 + size]), loose(data[8 + size :])], axis=1)
-
-
-_HOT_PART = np.dtype([("h", "<u8"), ("n", "<i8"), ("m", "<i8"), ("e", "<i8"), ("g", "<f8")])
+    return np.stack(list(map(loose, _blocks(data))), axis=1)
 
 
 def _rest(n: np.ndarray, m: np.ndarray, e: np.ndarray, g: np.ndarray, bits: float) -> np.ndarray:
@@ -246,28 +317,33 @@ def _gains(count: np.ndarray, n: np.ndarray, eighths: np.ndarray) -> np.ndarray:
     return count * np.maximum(np.log2(p) + eighths / 8, -4)
 
 
-def _cells(chunk: int, buckets: int, schema: pa.Schema, of) -> pa.Table:
-    """A row for each bucket, so that each bucket's answer reaches every chunk."""
-    rows = [(b, chunk, *of(b)) for b in range(buckets)]
+def _cells(chunk: int, found: np.ndarray, schema: pa.Schema, of) -> pa.Table:
+    """A row for each of the buckets for which there is anything."""
+    rows = [(b, chunk, *of(b)) for b in np.unique(found).tolist()]
     return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
+#: In a reply, the chunk that stands for all of them, and its bucket there.
+ALL = -1
 _WORD_CELL = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
 _WORD_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("names", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
-_PAIR_COLUMNS = ("contexts", "totals", "sizes", "words", "counts", "bits", "hot_contexts", "hot_totals", "hot_words", "hot_counts", "hot_bits")
+_PAIR_COLUMNS = ("contexts", "totals", "sizes", "words", "counts", "bits", "hot_contexts", "hot_totals", "hot_sizes", "hot_words", "hot_counts", "hot_bits")
 _PAIR_CELL = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), *[(c, pa.binary()) for c in _PAIR_COLUMNS]])
-_PAIR_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("pairs", "rest", "hot_pairs", "hot")]])
+_PAIR_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("pairs", "rest", "hot_pairs")], ("h", pa.int64()), ("n", pa.int64()), ("m", pa.int64()), ("e", pa.int64()), ("g", pa.int64())])
+_HOT = "array<struct<h: long, n: long, m: long, e: long, g: long>>"
 
 
 def _spec(schema: pa.Schema) -> str:
-    return ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'int' if f.type == pa.int32() else 'long'}" for f in schema)
+    kinds = {pa.binary(): "binary", pa.int32(): "int", pa.float64(): "double", pa.bool_(): "boolean"}
+    return ", ".join(f"{f.name} {kinds.get(f.type, 'long')}" for f in schema)
 
 
 def _ask_words(buckets: int):
     def run(key, table):
-        t = _Tokens(table)
-        edges = np.searchsorted(bucket_of(t.hashes, buckets), np.arange(buckets + 1))
-        return _cells(key[0].as_py(), buckets, _WORD_CELL, lambda b: (pack(t.hashes[edges[b] : edges[b + 1]]), tight(t.own[edges[b] : edges[b + 1]])))
+        t = _Tokens(table, buckets)
+        at = bucket_of(t.hashes, buckets)
+        edges = np.searchsorted(at, np.arange(buckets + 1))
+        return _cells(key[0].as_py(), at, _WORD_CELL, lambda b: (pack(t.hashes[edges[b] : edges[b + 1]]), tight(t.own[edges[b] : edges[b + 1]])))
 
     return run
 
@@ -280,7 +356,7 @@ def _count_words(buckets: int):
 
 
 def _counted_words(bucket: int, table: pa.Table, buckets: int) -> pa.Table:
-    """Counts of a bucket's words, and numbers for those that stand twice or more, by falling count."""
+    """Counts of a bucket's words, and numbers for those that stand twice or more, by falling count; for all chunks its totals."""
     h = [unpack(x) for x in table.column("words").to_pylist()]
     c = [loose(x) for x in table.column("counts").to_pylist()]
     known, at = np.unique(np.concatenate(h), return_inverse=True)
@@ -291,13 +367,14 @@ def _counted_words(bucket: int, table: pa.Table, buckets: int) -> pa.Table:
     names = np.zeros(len(total), np.int64)
     names[often[np.argsort(-total[often], kind="stable")]] = np.arange(len(often)) * buckets + bucket
     places = np.split(at, ends[:-1])
-    answers = [pa.array([tight(of[x]) for x in places], pa.binary()) for of in (total, names)]
-    size = table.num_rows
-    return pa.table([table.column("chunk"), table.column("bucket"), *answers, pa.array([n] * size, pa.int64()), pa.array([v] * size, pa.int64())], schema=_WORD_REPLY)
+    answers = [pa.array([*own, None], pa.binary()) for own in ([falling(names[x], total[x]) for x in places], [tight(names[x]) for x in places])]
+    none = [None] * table.num_rows
+    chunk, own = (pa.array([*table.column(c).to_pylist(), ALL], pa.int32()) for c in ("chunk", "bucket"))
+    return pa.table([chunk, own, *answers, pa.array([*none, n], pa.int64()), pa.array([*none, v], pa.int64())], schema=_WORD_REPLY)
 
 
-def _ready(table: pa.Table, replies: list[pa.Table], least: int, bits: float) -> _Tokens:
-    t = _Tokens(table)
+def _ready(table: pa.Table, replies: list[pa.Table], least: int, bits: float, buckets: int, share: float) -> _Tokens:
+    t = _Tokens(table, buckets, share)
     t.know(replies[0])
     for depth, found in enumerate(replies[1:], 1):
         t.ask(depth, least)
@@ -310,30 +387,31 @@ def _split(replies: pa.Table, depth: int) -> list[pa.Table]:
     return [replies.filter(pa.compute.equal(replies.column("round"), k)) for k in range(depth)]
 
 
-def _ask_pairs(buckets: int, depth: int, least: int, bits: float):
+def _ask_pairs(buckets: int, depth: int, least: int, bits: float, share: float):
     def run(key, table, replies):
         if not table.num_rows:
             return _PAIR_CELL.empty_table()
-        t = _ready(table, _split(replies, depth), least, bits)
+        t = _ready(table, _split(replies, depth), least, bits, buckets, share)
         t.ask(depth, least)
         cold = int((~t.hot).sum())
+        asked = bucket_of(t.context_hash[t.cold_contexts], buckets), bucket_of(t.spread[cold:], buckets)  # both rise
         edges = np.searchsorted(bucket_of(t.context_hash[t.ask_context[:cold]], buckets), np.arange(buckets + 1))
-        context_edges = np.searchsorted(bucket_of(t.context_hash[t.cold_contexts], buckets), np.arange(buckets + 1))
-        size_of = np.bincount(t.ask_context[:cold], minlength=len(t.context_hash))
-        hot_edges = cold + np.searchsorted(bucket_of(t.spread[cold:], buckets), np.arange(buckets + 1))
+        context_edges = np.searchsorted(asked[0], np.arange(buckets + 1))
+        hot_edges = cold + np.searchsorted(asked[1], np.arange(buckets + 1))
         names = t.name[t.ask_word]
 
+        def pairs(contexts, s, e):
+            size = np.bincount(np.searchsorted(contexts, t.ask_context[s:e]), minlength=len(contexts))
+            own = by_word(names[s:e], t.ask_bits[s:e]) if depth == 1 else tight(t.ask_bits[s:e])
+            keys = t.context_key[contexts]
+            coded = b"a" + tight(keys) if len(keys) > 1 and (keys[1:] <= keys[:-1]).any() else b"k" + pack_keys(keys) if t.keyed(depth) else b"h" + pack(keys)
+            return coded, tight(t.context_count[contexts]), tight(size), rising(names[s:e], size), tight(t.ask_own[s:e]), own
+
         def of(b):
-            s, e = edges[b], edges[b + 1]
-            contexts = t.cold_contexts[context_edges[b] : context_edges[b + 1]]
-            x, y = hot_edges[b], hot_edges[b + 1]
-            k = t.ask_context[x:y]
-            return (
-                pack(t.context_hash[contexts]), tight(t.context_count[contexts]), tight(size_of[contexts]), rising(names[s:e], size_of[contexts]), tight(t.ask_own[s:e]), tight(t.ask_bits[s:e]),
-                t.context_hash[k].astype("<u8").tobytes(), tight(t.context_count[k]), tight(names[x:y]), tight(t.ask_own[x:y]), tight(t.ask_bits[x:y]),
-            )
+            s, e = hot_edges[b], hot_edges[b + 1]
+            return *pairs(t.cold_contexts[context_edges[b] : context_edges[b + 1]], edges[b], edges[b + 1]), *pairs(np.unique(t.ask_context[s:e]), s, e)
 
-        return _cells(key[0].as_py(), buckets, _PAIR_CELL, of)
+        return _cells(key[0].as_py(), np.concatenate(asked), _PAIR_CELL, of)
 
     return run
 
@@ -361,37 +439,45 @@ def _by_context(h, count, n, q):
     return h[at], n[at], add(count), add(np.ones(len(h), np.int64)), add(_gains(count, n, q))
 
 
-def _count_pairs(bits: float):
+def _asked(table: pa.Table, depth: int, prefix: str):
+    """The pairs of all chunks in a row: (each chunk's contexts, where its pairs end, and of each pair context, word, count, total and bits)."""
+    column = lambda name, of: [of(x) for x in table.column(prefix + name).to_pylist()]
+    read = {b"k": unpack_keys, b"h": unpack, b"a": lambda x: loose(x).view(np.uint64)}
+    contexts = column("contexts", lambda x: read[x[:1]](x[1:]))
+    sizes = column("sizes", loose)
+    w = [risen(x, n) for x, n in zip(table.column(prefix + "words").to_pylist(), sizes, strict=True)]
+    bits = table.column(prefix + "bits").to_pylist()
+    q = [of_words(n, x) for n, x in zip(w, bits, strict=True)] if depth == 1 else list(map(loose, bits))
+    h, n = (np.repeat(np.concatenate(x), np.concatenate(sizes)) for x in (contexts, column("totals", loose)))
+    return contexts, np.cumsum([len(x) for x in w]), (h, np.concatenate(w), np.concatenate(column("counts", loose)), n, np.concatenate(q))
+
+
+def _count_pairs(bits: float, depth: int):
     def run(key, table):
-        column = lambda name, of: [of(x) for x in table.column(name).to_pylist()]
-        wide = lambda x: np.frombuffer(x, "<u8")
-        contexts, sizes = column("contexts", unpack), column("sizes", loose)
-        w = [risen(x, n) for x, n in zip(table.column("words").to_pylist(), sizes, strict=True)]
-        c, q = column("counts", loose), column("bits", loose)
-        size = np.concatenate(sizes)
-        h, n = np.repeat(np.concatenate(contexts), size), np.repeat(np.concatenate(column("totals", loose)), size)
-        hd, count, nd, qd, back = _summed(h, np.concatenate(w), np.concatenate(c), n, np.concatenate(q))
+        contexts, ends, asked = _asked(table, depth, "")
+        hd, count, nd, qd, back = _summed(*asked)
         known, total, m, e, g = _by_context(hd, count, nd, qd)
         e = np.where(_rest(total, m, e, g, bits) > 0, e, 0)  # 0: no state
         count = np.where(count >= 2, count, 0)
-        ends = np.cumsum([len(x) for x in w])
         pairs = [tight(count[x]) for x in np.split(back, ends[:-1])]
         known, total, m, e = np.append(known, np.uint64((1 << 64) - 1)), np.append(total, 0), np.append(m, 0), np.append(e, 0)
 
         def rest_of(x):
             at = np.searchsorted(known, x)
             met = known[at] == x
-            return b"".join(len(d).to_bytes(4, "little") + d for d in (tight(np.where(met, y[at], 0)) for y in (total - m, e)))
+            return b"".join(_block(tight(np.where(met, y[at], 0))) for y in (total - m, e))
 
         rests = [rest_of(x) for x in contexts]
 
-        hh, hw, hn, hc, hq = (column(f"hot_{x}", f) for x, f in (("contexts", wide), ("words", loose), ("totals", loose), ("counts", loose), ("bits", loose)))
-        hd, count, nd, qd, back = _summed(*map(np.concatenate, (hh, hw, hc, hn, hq)))
-        part = np.rec.fromarrays(_by_context(hd, count, nd, qd), dtype=_HOT_PART).tobytes()
+        _, ends, asked = _asked(table, depth, "hot_")
+        hd, count, nd, qd, back = _summed(*asked)
+        h, hn, hm, he, hg = _by_context(hd, count, nd, qd)
         count = np.where(count >= 2, count, 0)
-        ends = np.cumsum([len(x) for x in hw])
         hot_pairs = [tight(count[x]) for x in np.split(back, ends[:-1])]
-        return pa.table([table.column("chunk"), table.column("bucket"), pa.array(pairs, pa.binary()), pa.array(rests, pa.binary()), pa.array(hot_pairs, pa.binary()), pa.array([part] * table.num_rows, pa.binary())], schema=_PAIR_REPLY)
+        answers = pa.table([table.column("chunk"), table.column("bucket"), pa.array(pairs, pa.binary()), pa.array(rests, pa.binary()), pa.array(hot_pairs, pa.binary()), *(pa.nulls(table.num_rows, f.type) for f in list(_PAIR_REPLY)[5:])], schema=_PAIR_REPLY)
+        size = len(h)
+        stats = pa.table([pa.array(np.full(size, ALL, np.int32)), pa.array(np.full(size, ALL, np.int32)), *(pa.nulls(size, pa.binary()) for _ in range(3)), pa.array(h.view(np.int64)), *(pa.array(x) for x in (hn, hm, he, np.round(hg * PARTS).astype(np.int64)))], schema=_PAIR_REPLY)
+        return pa.concat_tables([answers, stats])
 
     return run
 
@@ -399,7 +485,7 @@ def _count_pairs(bits: float):
 _RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0, mb: float = 8.0) -> DataFrame:
+def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0, mb: float = 12.0) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs(doc_id, text).
 
     Texts are lower-cased (A-Z); tokens are their words and one end. held_out: crc32 of the id as text is 0 modulo 10; all other rows train. A
@@ -408,25 +494,39 @@ def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0,
 
     All is one plan, in which the exchange of texts by chunk is made once and used by each round.
     """
-    buckets = parts(docs.sparkSession)
-    by_chunk = _dealt(docs, mb).groupBy("chunk")
-    # Answers go to the chunks once, dealt as the texts are; a union of such parts needs no further exchange.
-    words_known = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket").applyInArrow(_count_words(buckets), _spec(_WORD_REPLY)).repartition(buckets, "chunk")
-    empty = F.lit(None).cast("binary")
-    none = F.lit(None).cast("long")
-    replies = words_known.select("chunk", "bucket", F.lit(0).alias("round"), "counts", "names", "n", "v", *[empty.alias(c) for c in ("pairs", "rest", "hot_pairs", "hot")])
+    spark = docs.sparkSession
+    size = sized(docs)
+    buckets, chunks = buckets_for(size, spark), max(1, math.ceil(size / (mb * 1e6)))
+    share = max(LEAST_SHARE, min(MOST_SHARE, 1 / buckets))
+    by_chunk = _dealt(docs, chunks).groupBy("chunk")
+    every = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")
+
+    def dealt(found: DataFrame, k: int, *columns) -> DataFrame:
+        """Replies of a round as rows of one form, dealt as the texts are: a union of such parts needs no further exchange."""
+        given = dict(columns)
+        kinds = {"counts": "binary", "names": "binary", "n": "long", "v": "long", "pairs": "binary", "rest": "binary", "hot_pairs": "binary", "hot": _HOT}
+        return found.repartition(parts(spark), "chunk").select("chunk", given["bucket"].alias("bucket"), F.lit(k).alias("round"), *[given.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()])
+
+    def named(*names):
+        return [(c, F.col(c)) for c in names]
+
+    counted = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket").applyInArrow(_count_words(buckets), _spec(_WORD_REPLY))
+    totals = counted.where(F.col("chunk") == ALL).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).select(every, "n", "v")
+    replies = dealt(counted.where(F.col("chunk") != ALL), 0, *named("bucket", "counts", "names")).union(dealt(totals, 0, ("bucket", F.lit(ALL)), *named("n", "v")))
     for k in range(1, depth + 1):
-        cells = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_ask_pairs(buckets, k, least, bits), _spec(_PAIR_CELL))
-        found = cells.groupBy("bucket").applyInArrow(_count_pairs(bits), _spec(_PAIR_REPLY)).repartition(buckets, "chunk")
-        replies = replies.union(found.select("chunk", "bucket", F.lit(k).alias("round"), empty.alias("counts"), empty.alias("names"), none.alias("n"), none.alias("v"), "pairs", "rest", "hot_pairs", "hot"))
+        cells = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_ask_pairs(buckets, k, least, bits, share), _spec(_PAIR_CELL))
+        counted = cells.groupBy("bucket").applyInArrow(_count_pairs(bits, k), _spec(_PAIR_REPLY))
+        sums = counted.where(F.col("chunk") == ALL).groupBy("h").agg(F.max("n").alias("n"), F.sum("m").alias("m"), F.sum("e").alias("e"), F.sum("g").alias("g"))
+        hot = sums.agg(F.collect_list(F.struct("h", "n", "m", "e", "g")).alias("hot")).select(every, "hot")  # 1 / share contexts at most
+        replies = replies.union(dealt(counted.where(F.col("chunk") != ALL), k, *named("bucket", "pairs", "rest", "hot_pairs"))).union(dealt(hot, k, ("bucket", F.lit(ALL)), *named("hot")))
 
     def finish(key, table, known):
         if not table.num_rows:
             return _RESULT.empty_table()
-        t = _ready(table, _split(known, depth + 1), least, bits)
+        t = _ready(table, _split(known, depth + 1), least, bits, buckets, share)
         size = len(t.ids)
         add = lambda x: np.bincount(t.doc, x, size)
         columns = [t.ids, t.held, t.lengths, add(t.count[t.kind] > 0).astype(np.int64), np.full(size, t.n), add(t.root), add(np.log10(t.p))]
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _RESULT, strict=True)], schema=_RESULT)
 
-    return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(finish, _spec(_RESULT).replace("held_out long", "held_out boolean").replace("score long", "score double"))
+    return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(finish, _spec(_RESULT))
