@@ -35,7 +35,7 @@ NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleve
 
 NUMBER, UNIT, NAME = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\0number", b"\0unit", b"\0name"))
 #: Words that a task remembers; beyond them it begins anew.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 #: Forms of a window: with all placeholders, with those of numbers and units, with none.
 TEMPLATE, FIGURES, WORDS = range(3)
 #: What a word is: any word, a number, a number with a unit, nothing but marks.

@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 
 from eventloom.llm.common import begins, remembers
 
-#: Entries that a worker remembers; beyond them it forgets all and begins anew. About 0.2 GB at most for words of usual length.
-KNOWN_STEMS = 900_000
+#: Entries that a worker remembers; beyond them it forgets all and begins anew. About 0.1 GB at most for words of usual length.
+KNOWN_STEMS = 600_000
 #: Words in one text when new ones go to the library.
 TOGETHER = 256
 #: Latin letters and ASCII marks after them. These letters are composed already and lower-case one by one; the one left out, U+0130, becomes a
