@@ -106,8 +106,11 @@ class _Templates:
         offsets = lists.offsets.to_numpy()
         doc = np.repeat(np.arange(len(column), dtype=np.int32), np.diff(offsets))
         keep = kinds.kind[at] != NOTHING
+        # A sentence also ends with marks that stand alone after its last word.
+        ends, own = kinds.flags[at] & ENDS > 0, np.flatnonzero(keep)
+        alone = np.cumsum(ends & ~keep)
+        ends = ends[own] | (alone[np.append(own[1:], len(at)) - 1] > alone[own]) if len(own) else ends[own]
         at, doc = at[keep], doc[keep]
-        ends = kinds.flags[at] & ENDS > 0
         # A number with a unit is two tokens.
         if (kinds.kind[at] == WITH_UNIT).any():
             twice = np.where(kinds.kind[at] == WITH_UNIT, 2, 1)

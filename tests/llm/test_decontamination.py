@@ -48,6 +48,12 @@ def test_names_at_sentence_starts_and_of_several_words(spark):
     assert found(spark, texts, items) == {(0, 0), (1, 0), (2, 0)}
 
 
+def test_marks_that_stand_alone_end_a_sentence(spark):
+    item = "Tom has 5 apples and gives 2 of them to Anna . How many apples does Anna have then"
+    texts = [item.replace("Anna", "Mary Ann").replace("5", "7"), item.replace("Anna", "Mary", 1).replace("Anna", "Peter").replace("5", "7")]
+    assert found(spark, texts, [item]) == {(0, 0)}
+
+
 def test_figures_alone(spark):
     item = "12 + 35 = 47 ; 8 * 9 = 72 ; 5 + 6 = 11"
     assert found(spark, ["See: " + item + " and more", "See: 12 + 36 = 48 ; 8 * 8 = 64 ; 5 + 7 = 12"], [item]) == {(0, 0)}
