@@ -3,6 +3,8 @@ and bounded: its steps must follow each other within a window that starts at the
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,22 +45,24 @@ def window_funnel(df: DataFrame, steps: list[Column] | None = None, window_secon
     ``window_seconds`` of the first, times cut to whole seconds; 0 if none.
 
     For each event and step the latest valid start is carried along: a step takes over the start of the step before it, if that lies within
-    the window. Steps in the same second count as in order. One exchange by visitor and one sort serve all windows, which can spill. Events of no
-    step don't travel: visitors who have others only are joined as a distinct list.
+    the window. Steps in the same second count as in order. One exchange by visitor and one sort serve all windows, which can spill.
     """
-    made = step_levels(df, steps, window_seconds, key, time_col)
-    none = df.select(F.col(key), F.lit(0).alias("level")).distinct()
-    return made.unionByName(none).groupBy(key).agg(F.max("level").alias("level"))
+    return _levels(df, steps, window_seconds, key, time_col)
 
 
 def step_levels(df: DataFrame, steps: list[Column] | None = None, window_seconds: int = FUNNEL_SECONDS, key: str = "anonymous_id", time_col: str = "event_time") -> DataFrame:
-    """window_funnel() for the visitors with an event of any step."""
+    """window_funnel() for the visitors with an event of any step: other events don't travel."""
+    steps = steps or [F.col("event_type") == n for n in FUNNEL]
+    return _levels(df.where(functools.reduce(lambda a, b: a | b, steps)), steps, window_seconds, key, time_col)
+
+
+def _levels(df: DataFrame, steps: list[Column] | None, window_seconds: int, key: str, time_col: str) -> DataFrame:
     require_positive("windowSeconds", window_seconds)
     steps = steps or [F.col("event_type") == n for n in FUNNEL]
     step = F.when(steps[0], 1)
     for i, test in enumerate(steps[1:], 2):
         step = step.when(test, i)
-    rows = df.select(F.col(key).alias("k"), seconds(time_col).alias("t"), step.alias("step")).where("step IS NOT NULL")
+    rows = df.select(F.col(key).alias("k"), seconds(time_col).alias("t"), F.coalesce(step, F.lit(0)).alias("step"))
     until = Window.partitionBy("k").orderBy("t", "step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("c1", F.when(F.col("step") == 1, F.col("t")))
     for i in range(2, len(steps) + 1):
