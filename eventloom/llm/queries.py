@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +83,45 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(_table(spark, sf_dir, "documents"))
 
 
+def _planted(doc_id: int | None, own: list[bytes]) -> list[bytes]:
+    """Of a tenth of the documents, chosen by the id's checksum, the words from one place on become repeats of those that follow it; never of a null id."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not own:
+        return own
+    n, g = len(own), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    times, rest = divmod(n - a, p)
+    return own[:a] + own[a : a + p] * times + own[a : a + rest]
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventloom.llm.periodic import periodic_runs
+
+    found = periodic_runs(_table(spark, sf_dir, "documents"), alter=_planted)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period", F.expr("length * 1000 div period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from eventloom.llm.byte_bpe import decoded, encoded
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    both = decoded(encoded(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventloom.llm.whitening import whitened
+
+    return whitened(_table(spark, sf_dir, "embeddings"))
+
+
 def _tokenizer() -> str:
     import public_tokenizers
 
@@ -88,7 +129,7 @@ def _tokenizer() -> str:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_chat, op3_scoring, op4_embeddings, op5_packing, op6_substring, op7_store, op8_toxicity, op9_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_simhash, op2_chat, op3_scoring, op4_embeddings, op5_packing, op6_substring, op7_store, op8_toxicity, op9_decontamination, op10_sharding, op11_periodic, op12_byte_bpe, op13_whitening)}
 
 
 _CHAT_SQL = r"""
