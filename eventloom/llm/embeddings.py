@@ -206,7 +206,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, miss: float = 1e-5,
     rows, kind = _vectors(df, id_col, vector_col, label_col)
     rows = stored(rows, "vectors")
     valid = rows.where("vec IS NOT NULL")
-    classes = cut(valid.groupBy("label", "hi", "lo").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec")))
+    grouped = valid.groupBy("label", "hi", "lo").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.first("vec").alias("vec"))
+    classes = cut(grouped.withColumn("rep", F.monotonically_increasing_id()))  # no vec_id names a class, as ids may come again with other vectors
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     signs, tables = plan(largest, threshold, miss, bucket)
     if tables >> TABLE_BITS:
@@ -221,7 +222,10 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, miss: float = 1e-5,
     met = cut(compare_buckets(met, "key", ["rep"], lambda a, b: _links(a, b, threshold, kind), out, block))
     counts = met.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("far"))
     found = components(met.select("a", "b")).withColumnRenamed("id", "rep")
-    results = classes.join(counts, "rep", "left").join(found, "rep", "left").select("label", "hi", "lo", (F.col("n") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    found = found.union(found.select(F.col("component").alias("rep"), "component").distinct())
+    members = classes.select("rep", "least").join(found, "rep")
+    members = members.join(members.groupBy("component").agg(F.min("least").alias("first")), "component").select("rep", "first")
+    results = classes.join(counts, "rep", "left").join(members, "rep", "left").select("label", "hi", "lo", (F.col("n") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"), F.coalesce("first", "least").alias("component_id"))
     linked = valid.select("vec_id", "label", "hi", "lo").join(results, ["label", "hi", "lo"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("vec IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

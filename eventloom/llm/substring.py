@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from eventloom.llm.cells import Chunk, Split, among, bucket_of, buckets_for, chunked, pack, raw, sized, slices, unpack, unraw
-from eventloom.llm.common import mixed
+from eventloom.llm.common import mixed, shingle_hashes
 
 WINDOW, ANCHOR = 13, 6
 #: Chunks to which one chunk sends a window.
@@ -204,57 +204,86 @@ def _spelled(numbers: np.ndarray, digits: int) -> str:
     return (out + 48).tobytes().decode("ascii")
 
 
+def _patterns(flat: np.ndarray, at: np.ndarray, part: int) -> np.ndarray:
+    """Where in ``flat`` a pattern begins, once each: every window at ``at`` has its rarest run of ``part`` words for one, rare among these windows."""
+    grams = shingle_hashes(mixed(flat.astype(np.uint64)), part)
+    width = WINDOW - part + 1
+    inside = np.unique((at[:, None] + np.arange(width)).ravel())
+    found, number, counts = np.unique(grams[inside], return_inverse=True, return_counts=True)
+    rank = np.empty(len(found), np.int64)
+    rank[np.lexsort((found, counts))] = np.arange(len(found))
+    ranks = np.zeros(len(grams), np.int64)
+    ranks[inside] = rank[number]
+    best = np.min([ranks[at + j] for j in range(width)], axis=0)
+    first = np.full(len(found), -1, np.int64)
+    first[rank[number]] = inside
+    return first[np.unique(best)]
+
+
 def covered(docs: list[np.ndarray], ids: np.ndarray, passages: list[tuple[int, np.ndarray]], said=None) -> list[np.ndarray | None]:
     """For each document, which of its words a window of a passage with a smaller id covers; None: none. Words are numbers, equal if the words are,
     or, with ``said``, at least likely so: said(i, s, k, o, n) is then the words themselves, of document i from s and of passage k from o.
 
-    The automaton holds each passage in parts of about half a window, at multiples of their length: every window has a whole part in it. A
-    part's hit fixes how document and passage lie against each other, and the two are compared once for each such position.
+    Of equal windows that of the smallest id stands for all. The automaton holds a run of about half a window for each, its rarest. Around a hit lie
+    no more windows than a window has such runs; each has one place in the passages at most, which it is compared with, neighbours along one
+    passage together. So a hit costs the same however often its words come again.
     """
     part = (WINDOW + 1) // 2
-    most = max((int(p.max()) for _, p in passages if len(p)), default=0)
-    digits = max(1, -(-most.bit_length() // 6))
-    parts_of: dict[str, list[tuple[int, int]]] = {}
-    for k, (_, p) in enumerate(passages):
-        spelled = _spelled(p, digits)
-        for o in range(0, len(p) - part + 1, part):
-            parts_of.setdefault(spelled[o * digits : (o + part) * digits], []).append((k, o))
     found: list[np.ndarray | None] = [None] * len(docs)
-    if not parts_of:
+    sizes = np.array([len(p) for _, p in passages], np.int64)
+    if not (sizes >= WINDOW).any():
         return found
-    automaton = ahocorasick.Automaton()
-    for own, places in parts_of.items():
-        automaton.add_word(own, places)
+    flat = np.concatenate([p for _, p in passages]).astype(np.int64)
+    of = np.repeat(np.arange(len(passages)), sizes)
+    begins = np.cumsum(sizes) - sizes
+    owners = np.array([int(o) for o, _ in passages], np.int64)
+    at = np.flatnonzero(np.arange(len(flat)) + WINDOW <= (begins + sizes)[of])
+    h = shingle_hashes(mixed(flat.astype(np.uint64)), WINDOW)[at]
+    order = np.lexsort((at, owners[of[at]], h))
+    at = at[order[_edges(h[order])]]
+    h = h[order[_edges(h[order])]]
+    digits = max(1, -(-int(flat.max()).bit_length() // 6))
+    spelled = _spelled(flat, digits)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for o in _patterns(flat, at, part).tolist():
+        automaton.add_word(spelled[o * digits : (o + part) * digits])
+    del spelled
     automaton.make_automaton()
-    owners = [int(o) for o, _ in passages]
     for i, doc in enumerate(docs):
-        if len(doc) < WINDOW:
+        if len(doc) < WINDOW or not doc.any():
+            continue
+        hits = np.array([end for end, _ in automaton.iter(_spelled(doc, digits))], np.int64) + 1
+        hits = hits[hits % digits == 0] // digits - part  # others end within a word
+        if not len(hits):
+            continue
+        near = np.zeros(len(doc) - WINDOW + 1, bool)
+        for j in range(WINDOW - part + 1):
+            start = hits - j
+            near[start[(start >= 0) & (start < len(near))]] = True
+        s = np.flatnonzero(near)
+        own = shingle_hashes(mixed(doc.astype(np.uint64)), WINDOW)[s]
+        place = np.minimum(np.searchsorted(h, own), len(h) - 1)
+        met = (h[place] == own) & (owners[of[at[place]]] < int(ids[i]))
+        s, w = s[met], at[place[met]]
+        for j in range(WINDOW):
+            same = doc[s + j] == flat[w + j]
+            s, w = s[same], w[same]
+        if not len(s):
             continue
-        seen, mark, me = set(), None, int(ids[i])
-        for end, places in automaton.iter(_spelled(doc, digits)):
-            if (end + 1) % digits:
-                continue  # letters of two words
-            last = (end + 1) // digits - part
-            for k, o in places:
-                shift = last - o
-                if owners[k] >= me or (k, shift) in seen:
-                    continue
-                seen.add((k, shift))
-                p = passages[k][1]
-                s, e = max(shift, 0), min(shift + len(p), len(doc))
-                if e - s < WINDOW:
-                    continue
-                differ = np.flatnonzero(doc[s:e] != p[s - shift : e - shift]).tolist()
-                if said is not None and len(differ) < e - s:
-                    ours, theirs = said(i, s, k, s - shift, e - s)
-                    if ours != theirs:
-                        differ = [x for x, (a, b) in enumerate(zip(ours, theirs, strict=True)) if a != b]
-                for x, y in zip([-1, *differ], [*differ, e - s], strict=True):
-                    if y - x > WINDOW:
-                        if mark is None:
-                            mark = np.zeros(len(doc), bool)
-                        mark[s + x + 1 : s + y] = True
-        found[i] = mark
+        mark = np.zeros(len(doc), bool)
+        first = np.flatnonzero(np.append(True, (np.diff(s) != 1) | (np.diff(w) != 1)))
+        for x, y in zip(first.tolist(), np.append(first[1:], len(s)).tolist(), strict=True):
+            start, n = int(s[x]), y - x + WINDOW - 1
+            breaks = [-1, n]
+            if said is not None:
+                k = int(of[w[x]])
+                ours, theirs = said(i, start, k, int(w[x] - begins[k]), n)
+                if ours != theirs:
+                    breaks = [-1, *(z for z, (a, b) in enumerate(zip(ours, theirs, strict=True)) if a != b), n]
+            for a, b in zip(breaks, breaks[1:]):
+                if b - a > WINDOW:
+                    mark[start + a + 1 : start + b] = True
+        found[i] = mark if mark.any() else None
     return found
 
 

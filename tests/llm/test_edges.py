@@ -76,6 +76,14 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(e.limit(0)).count() == 0
 
 
+def test_embeddings_with_ids_that_come_again(spark):
+    """An id may name several vectors, under one label or two: each row is judged by its own."""
+    x, near, y, z = [1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    e = spark.createDataFrame([(1, 1, x), (2, 1, near), (1, 2, y), (1, 1, z), (0, 1, x), (5, 2, y)], "vec_id long, label int, embedding array<double>")
+    got = by_id(embeddings.near_duplicates(e))
+    assert got == sorted([(1, 2, 0, False), (2, 2, 0, False), (1, 1, 1, True), (1, 0, 1, True), (0, 2, 0, True), (5, 1, 1, False)], key=str)
+
+
 def test_embeddings_chain(spark):
     angle = [0.0, 0.3, 0.6, 2.0]  # each cos 0.3 = 0.955 from the next, 0.825 from the one after
     e = spark.createDataFrame([(i, [float(np.cos(t)), float(np.sin(t))], 1) for i, t in enumerate(angle)], "vec_id long, embedding array<double>, label int")
