@@ -156,7 +156,7 @@ def _written(s, d) -> DataFrame:
     """The event table as it was written, and two of its days read back."""
     path = new_folder(s, "events")
     sinks.write_events(clicks(s, d), path)
-    days = in_range(s.read.parquet(path), "2024-01-09", "2024-01-11")
+    days = in_range(sinks.read_table(s, path), "2024-01-09", "2024-01-11")
     return days.groupBy(F.to_date("event_time").cast("string").alias("day"), "event_type").agg(F.count("*").alias("events"), F.count_distinct("anonymous_id").alias("visitors"))
 
 

@@ -37,7 +37,7 @@ def test_table_is_pruned_and_expires(spark, tmp_path):
     path = str(tmp_path / "events")
     df = frame(spark, W, (0, "page_view"), (1, "click"), (3 * 86_400, "click"), (40 * 86_400, "click"))
     sinks.write_events(df, path)
-    table = spark.read.parquet(path)
+    table = sinks.read_table(spark, path)
     assert {"device_type", "geo_city", "ingested_at", "event_date"} <= set(table.columns) and table.count() == 4
     part = in_range(table, W, at(W, 86_400))
     assert part.count() == 2
@@ -45,7 +45,7 @@ def test_table_is_pruned_and_expires(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert sinks.apply_retention(table, datetime(2026, 8, 12), 30).count() == 1
     assert sinks.drop_expired(spark, path, datetime(2026, 8, 12), 30) == ["event_date=2026-07-02", "event_date=2026-07-05"]
-    assert spark.read.parquet(path).count() == 1
+    assert sinks.read_table(spark, path).count() == 1
 
 
 def test_messages_are_keyed(spark):

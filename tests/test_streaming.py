@@ -1,5 +1,6 @@
 """Streams replayed from files against the batch result over the same rows."""
 
+import shutil
 import time
 
 import pyarrow as pa
@@ -113,8 +114,8 @@ def test_event_table_and_dead_letters(spark, replay, tmp_path):
     stream = replay([(0, "click"), (1, "unheard_of")], [(2, "click")])
     q = sinks.write_split(stream, str(tmp_path / "t"), str(tmp_path / "dlq"), str(tmp_path / "cp"), trigger=NOW)
     q.awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
-    assert [r["reason"] for r in dicts(spark.read.parquet(str(tmp_path / "dlq")))] == ["unknown event_type"]
+    assert sinks.read_table(spark, str(tmp_path / "t")).count() == 2
+    assert [r["reason"] for r in dicts(sinks.read_table(spark, str(tmp_path / "dlq")))] == ["unknown event_type"]
 
 
 def test_a_failed_batch_is_replaced(spark, replay, tmp_path, monkeypatch):
@@ -138,7 +139,7 @@ def test_a_failed_batch_is_replaced(spark, replay, tmp_path, monkeypatch):
         else:
             with pytest.raises(Exception, match="lost"):
                 q.awaitTermination()
-    good, bad = spark.read.parquet(path), spark.read.parquet(dlq)
+    good, bad = sinks.read_table(spark, path), sinks.read_table(spark, dlq)
     assert good.count() == 20 and bad.count() == 10 and {r["load"] for r in good.collect()} == {r["load"] for r in bad.collect()}
 
 
@@ -147,7 +148,54 @@ def test_two_queries_write_one_table(spark, replay, tmp_path):
     for name in ("a", "b"):
         sinks.write_events(stream, str(tmp_path / "t"), str(tmp_path / name), trigger=NOW).awaitTermination()
     sinks.write_events(frame(spark, W, (2, "click")), str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+    assert sinks.read_table(spark, str(tmp_path / "t")).count() == 5
+    with pytest.raises(ValueError):
+        sinks.write_events(stream, str(tmp_path / "t"))
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_a_new_checkpoint_at_an_old_path_keeps_all_rows(spark, replay, tmp_path, split):
+    """Batch numbers begin anew, loads' names don't; how the path is spelled doesn't matter."""
+    path, dlq, cp = str(tmp_path / "t"), str(tmp_path / "dlq"), str(tmp_path / "cp")
+    first = [(i, "click" if i % 2 else "unheard_of") for i in range(7)]
+    stream = replay(first, [(20 + i, "click") for i in range(3)])
+
+    def run(checkpoint, df):
+        started = sinks.write_split(df, path, dlq, checkpoint, trigger=NOW) if split else sinks.write_events(df, path, checkpoint, trigger=NOW)
+        started.awaitTermination()
+
+    run(cp, stream.where(F.col("event_time") < F.lit(at(W, 10))))
+    shutil.rmtree(cp)
+    run(cp + "/", stream.where(F.col("event_time") >= F.lit(at(W, 10))))
+    run(cp, stream.where(F.col("event_time") >= F.lit(at(W, 10))))  # the same query goes on: nothing is new
+    rows = sinks.read_table(spark, path).count() + (sinks.read_table(spark, dlq).count() if split else 0)
+    assert rows == 10
+
+
+def test_a_days_loads_become_one(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    for i in range(4):
+        sinks.write_events(frame(spark, W, (i, "click"), (86_400 + i, "click"), *[(10 + i, "search")] * (i == 3)), path)
+    want = sorted(map(str, dicts(sinks.read_table(spark, path).drop("load", "ingested_at"))))
+
+    def same_rows():
+        assert sorted(map(str, dicts(sinks.read_table(spark, path).drop("load", "ingested_at")))) == want
+
+    with monkeypatch.context() as m:  # broken after the rows are written, before they are logged
+        m.setattr(sinks, "_commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.rewrite_day(spark, path, "2026-07-02")
+    same_rows()
+    with monkeypatch.context() as m:  # and after they are logged, before the old ones go
+        m.setattr(sinks, "_replaced", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.rewrite_day(spark, path, "2026-07-02")
+    same_rows()
+    assert sinks.rewrite_day(spark, path, "2026-07-02") is None  # done; what was left goes now
+    same_rows()
+    assert len(list((tmp_path / "t" / "event_date=2026-07-02").glob("load=*"))) == 1 and len(list((tmp_path / "t" / "event_date=2026-07-03").glob("load=*"))) == 4
+    sinks.write_events(frame(spark, W, (50, "click")), path)
+    assert sinks.rewrite_day(spark, path, "2026-07-02") and sinks.read_table(spark, path).count() == len(want) + 1
 
 
 def test_series_and_visitors_of_a_stream(spark, replay, tmp_path):
