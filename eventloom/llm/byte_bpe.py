@@ -9,7 +9,9 @@ merging pair by pair is quadratic. Tokens are found by an automaton over bytes t
 from __future__ import annotations
 
 import base64
+import re
 import unicodedata
+from array import array
 from functools import cache
 
 import ahocorasick
@@ -34,20 +36,18 @@ class Merges:
         if missing := [b for b in range(256) if bytes([b]) not in self.ranks]:
             raise ValueError(f"no token for the bytes {missing}")
         self.bytes_of = {i: token for token, i in self.ranks.items()}
-        self.length = {i: len(token) for token, i in self.ranks.items()}
-        self.longest = max(self.length.values())
+        self.length = [0] * (max(self.bytes_of) + 1)
+        self.shorter: list[int | None] = [None] * len(self.length)  # of each token the longest other one that it begins with
+        for i, token in self.bytes_of.items():
+            self.length[i] = len(token)
+        self.longest = max(self.length)
         self.fits = _Fits(self)
-        made = {token.decode("latin-1"): i for token, i in self.ranks.items() if self.merged(token) == [i]}  # others only stand for a whole piece
-        #: Of each token the longest that it begins with; and for each beginning of a token, the longest token in it.
-        self.shorter: dict[int, int | None] = {}
+        #: Tokens that merges make, as Latin-1; others only stand for a whole piece.
+        self.made = {token.decode("latin-1"): i for token, i in self.ranks.items() if self.merged(token) == [i]}
         self.automaton = ahocorasick.Automaton()
-        for token, i in made.items():
-            best = None
-            for end in range(1, len(token) + 1):
-                if end == len(token):
-                    self.shorter[i] = best
-                best = made.get(token[:end], best)
-                self.automaton.add_word(token[:end], best)
+        for token, i in self.made.items():
+            self.automaton.add_word(token, i)
+            self.shorter[i] = next((self.made[token[:k]] for k in range(len(token) - 1, 0, -1) if token[:k] in self.made), None)
         self.automaton.make_automaton()
 
     def merged(self, data: bytes) -> list[int]:
@@ -64,7 +64,17 @@ class Merges:
     def _at(self, text: str, at: int) -> int:
         """The longest token that stands at a place."""
         ahead = text[at : at + self.longest]
-        return self.automaton.get(ahead[: self.automaton.longest_prefix(ahead)])
+        ahead = ahead[: self.automaton.longest_prefix(ahead)]
+        while (token := self.made.get(ahead)) is None:
+            ahead = ahead[:-1]
+        return token
+
+    def _first_choices(self, text: str) -> list[int | None]:
+        """The longest token at each place of a short text, in one pass."""
+        out, length = [None] * len(text), self.length
+        for end, token in self.automaton.iter(text):
+            out[end + 1 - length[token]] = token  # of one place, longer ones end later
+        return out
 
     def encode(self, piece: bytes) -> list[int]:
         """A piece's token numbers."""
@@ -72,22 +82,27 @@ class Merges:
         if whole is not None:
             return [whole]
         text, n, at = piece.decode("latin-1"), len(piece), 0
-        taken: list[tuple[int, int]] = []  # tokens and their places
+        length, shorter, fits = self.length, self.shorter, self.fits
+        choices = self._first_choices(text) if n <= LONG_PIECE else None
+        taken: list[int] = []
         blocked = bytearray(n + 1)
-        token: int | None = self._at(text, 0)
+        token = choices[0] if choices else self._at(text, 0)
         while at < n:
+            before = taken[-1] if taken else None
             while token is not None:
-                end = at + self.length[token]
-                if not blocked[end] and (not taken or self.fits[taken[-1][0], token]):
-                    taken.append((token, at))
-                    at, token = end, self._at(text, end) if end < n else None
+                end = at + length[token]
+                if not blocked[end] and (before is None or fits[before, token]):
+                    taken.append(token)
+                    at = end
+                    token = None if end >= n else choices[end] if choices else self._at(text, end)
                     break
-                token = self.shorter[token]
+                token = shorter[token]
             else:
                 blocked[at] = 1
-                token, at = taken.pop()
-                token = self.shorter[token]
-        return [token for token, _ in taken]
+                token = taken.pop()
+                at -= length[token]
+                token = shorter[token]
+        return taken
 
 
 class _Fits(dict):
@@ -126,16 +141,23 @@ def seen_otherwise(pattern: str) -> dict[int, str]:
     return out
 
 
+def _any_of(codes: list[int]) -> str:
+    """A class of characters in as few ranges as there are; re looks these up by tables, regex one by one."""
+    ends = [i for i in range(len(codes)) if i + 1 == len(codes) or codes[i + 1] != codes[i] + 1]
+    starts = [0, *(i + 1 for i in ends[:-1])]
+    return "[" + "".join(f"\\U{codes[a]:08x}-\\U{codes[b]:08x}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
 class Encoder(dict):
     """Texts as numbers of 4 bytes each. As a dict: the numbers of the pieces met so far."""
 
     def __init__(self, path: str, pattern: str, as_if: dict[int, str]):
         super().__init__()
         self.merges, self.pattern, self.as_if = Merges(path), regex.compile(pattern), as_if
-        self.odd = regex.compile("[" + "".join(map(regex.escape, map(chr, self.as_if))) + "]") if self.as_if else None
+        self.odd = re.compile(_any_of(sorted(as_if))) if as_if else None
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.merges.encode(piece.encode()), "<u4").tobytes()
+        ids = array("I", self.merges.encode(piece.encode())).tobytes()
         if len(piece) <= LONG_PIECE:
             if len(self) > KNOWN_PIECES:
                 self.clear()
