@@ -42,17 +42,17 @@ def rank_pages(counts: DataFrame, n: int = TOP_N) -> DataFrame:
 def topn_pages(df: DataFrame, n: int = TOP_N, size: str = WINDOW, grace: str = WINDOW_GRACE) -> DataFrame:
     """(window_start, window_end, entries): a window's ``n`` pages as an array in rank order.
 
-    In a batch the ranking cuts to n rows a window before they are gathered. A stream has no row_number(): it gathers a window's distinct
-    pages, already counted, and cuts after.
+    The ranking cuts to n rows a window before they are gathered; on a stream, which has no row_number(), in two steps by shares of the pages.
+    A stream needs the RocksDB state store.
     """
     counts = page_views_per_window(df, size, grace)
-    in_order = F.array_sort(F.collect_list(F.struct((-F.col("views")).alias("o"), "path", "views")))
-    entries = lambda column: F.transform(F.slice(column, 1, n), lambda x: F.struct(x["path"].alias("path"), x["views"].alias("views")))
     if df.isStreaming:
-        gathered = counts.groupBy("window").agg(in_order.alias("e")).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "e")
-    else:
-        gathered = rank_pages(counts, n).groupBy("window_start", "window_end").agg(in_order.alias("e"))
-    return gathered.select("window_start", "window_end", entries(F.col("e")).alias("entries"))
+        from eventloom.streaming.stages import best_entries
+
+        return best_entries(counts, n)
+    in_order = F.array_sort(F.collect_list(F.struct((-F.col("views")).alias("o"), "path", "views")))
+    gathered = rank_pages(counts, n).groupBy("window_start", "window_end").agg(in_order.alias("e"))
+    return gathered.select("window_start", "window_end", F.transform("e", lambda x: F.struct(x["path"].alias("path"), x["views"].alias("views"))).alias("entries"))
 
 
 def sessionize(df: DataFrame, gap: str = SESSION_GAP, grace: str = SESSION_GRACE) -> DataFrame:

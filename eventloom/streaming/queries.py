@@ -1,20 +1,23 @@
-"""Streaming queries whose results are tables kept up to date by foreachBatch.
+"""Streaming queries whose results are snapshots or alerts.
 
-State lies in numbered folders: batch n reads what batch n - 1 left and writes its own, so a batch that is tried again does the same again.
+What a stream must remember lies in the state store (stages.py). Totals over it are a few numbers in numbered folders: batch n reads what batch
+n - 1 left and writes its own, so a batch that is tried again does the same again.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from eventloom.operators.anomaly import alerts_of, fold
 from eventloom.operators.funnel import snapshot_from_counts
-from eventloom.operators.rollups import active_from_last, with_lateness
+from eventloom.operators.rollups import with_lateness
 from eventloom.schemas import ALPHA, SESSION_GAP, SNAPSHOT_EVERY, THRESHOLD_K, WARMUP, WINDOW, WINDOW_GRACE
-from eventloom.streaming.stages import stage_deltas
+from eventloom.streaming.stages import active_changes, baseline_alerts, length, stage_deltas
 
 #: (result of a batch, batch number) -> None; called again with the same number if a batch is tried again.
 Sink = Callable[[DataFrame, int], None]
@@ -43,94 +46,131 @@ def _forget(spark: SparkSession, root: str, batch_id: int, keep: int = 2) -> Non
             fs.delete(s.getPath(), True)
 
 
+def _totalled(state_path: str, merge: Callable[[DataFrame, DataFrame | None], DataFrame], batch: DataFrame, batch_id: int) -> DataFrame:
+    """Merges a batch's few totals with those of all batches before it, and keeps them."""
+    spark = batch.sparkSession
+    before = _before(spark, state_path, batch_id)
+    now = f"{state_path}/batch={batch_id}"
+    merge(batch, spark.read.parquet(before) if before else None).coalesce(1).write.mode("overwrite").parquet(now)
+    _forget(spark, state_path, batch_id)
+    return spark.read.parquet(now)
+
+
 def _start(df: DataFrame, put: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None, mode: str = "append"):
     return df.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": SNAPSHOT_EVERY})).start()
 
 
-def start_snapshots(df: DataFrame, build: Callable[[DataFrame], DataFrame], sink: Sink, checkpoint: str, every: str = SNAPSHOT_EVERY, mode: str = "append", trigger: dict | None = None):
-    """Each batch through ``build`` into ``sink``, stamped with snapshot_time. Spark runs no batch without new data, so an idle stream emits none."""
+def with_ticks(df: DataFrame) -> DataFrame:
+    """df as the struct ``row``, with a null one each second: so a batch is due at each trigger, though df be idle."""
+    ticks = df.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+    row = F.struct(*df.columns).alias("row")
+    return df.select(row).union(ticks.select(F.lit(None).cast(df.select(row).schema["row"].dataType).alias("row")))
+
+
+def start_snapshots(df: DataFrame, build: Callable[[DataFrame], DataFrame], sink: Sink, checkpoint: str, every: str = SNAPSHOT_EVERY, mode: str = "append", trigger: dict | None = None, idle: bool = True):
+    """Each batch through ``build`` into ``sink``, stamped with snapshot_time. With ``idle`` there is one at each trigger, whether there is new data or
+    not; ``build`` then gets an empty batch, whose snapshot is of what is known."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        sink(build(batch).withColumn("snapshot_time", F.current_timestamp()), batch_id)
+        rows = batch.where("row IS NOT NULL").select("row.*") if idle else batch
+        sink(build(rows).withColumn("snapshot_time", F.current_timestamp()), batch_id)
+
+    return _start(with_ticks(df) if idle else df, put, checkpoint, trigger or {"processingTime": every}, mode)
 
-    return _start(df, put, checkpoint, trigger or {"processingTime": every}, mode)
 
+def start_live_funnel(df: DataFrame, state_path: str, sink: Sink, checkpoint: str, ttl: str | None = None, trigger: dict | None = None, idle: bool = True):
+    """Funnel snapshots since the start, at each trigger: newly reached stages are added to four counters."""
 
-def start_live_funnel(df: DataFrame, state_path: str, sink: Sink, checkpoint: str, ttl_ms: int | None = None, trigger: dict | None = None):
-    """Funnel snapshots since the start: newly reached stages are added to four counters."""
+    def merge(new: DataFrame, old: DataFrame | None) -> DataFrame:
+        new = new.groupBy("stage").agg(F.count("*").alias("visitors"))
+        return new if old is None else old.unionByName(new).groupBy("stage").agg(F.sum("visitors").alias("visitors"))
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.groupBy("stage").agg(F.count("*").alias("visitors"))
-        before = _before(spark, state_path, batch_id)
-        if before:
-            new = spark.read.parquet(before).unionByName(new).groupBy("stage").agg(F.sum("visitors").alias("visitors"))
-        new.coalesce(1).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")  # four rows
-        sink(snapshot_from_counts(spark.read.parquet(f"{state_path}/batch={batch_id}")).withColumn("snapshot_time", F.current_timestamp()), batch_id)
-        _forget(spark, state_path, batch_id)
+        reached = batch.where("row IS NOT NULL").select("row.*") if idle else batch
+        counts = _totalled(state_path, merge, reached, batch_id)
+        sink(snapshot_from_counts(counts).withColumn("snapshot_time", F.current_timestamp()), batch_id)
 
-    return _start(stage_deltas(df, ttl_ms), put, checkpoint, trigger, "update")
+    deltas = stage_deltas(df, ttl)
+    return _start(with_ticks(deltas) if idle else deltas, put, checkpoint, trigger)
 
 
 def start_active_visitors(df: DataFrame, state_path: str, sink: Sink, checkpoint: str, gap: str = SESSION_GAP, trigger: dict | None = None):
-    """Snapshots of active_visitors(). The state is one row per visitor not yet idle for ``gap``, against one time for the whole stream."""
+    """Snapshots of active_visitors(), without a time of their own: (snapshot_time, active_sessions, window_seconds), snapshot_time being the clock's.
+
+    A visitor's state is its last time and a timer; a batch writes that of the visitors it has and of those who become idle. Spark takes the newest
+    time of a batch into account in the next one, which it runs at once, with or without new rows: that batch's snapshot is exact.
+    """
+    width = int(length(gap).total_seconds())
+
+    def merge(changes: DataFrame, old: DataFrame | None) -> DataFrame:
+        total = changes.agg(F.coalesce(F.sum("change"), F.lit(0)).cast("long").alias("active_sessions"))
+        return total if old is None else old.union(total).agg(F.sum("active_sessions").alias("active_sessions"))
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.groupBy("anonymous_id").agg(F.max("event_time").alias("last"))
-        before = _before(spark, state_path, batch_id)
-        if before:
-            new = spark.read.parquet(before).unionByName(new).groupBy("anonymous_id").agg(F.max("last").alias("last"))
-        new = new.persist()
-        active = new.where(F.col("last") > new.agg(F.max("last")).scalar() - F.expr(f"INTERVAL {gap}"))
-        active.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
-        new.unpersist()
-        sink(active_from_last(spark.read.parquet(f"{state_path}/batch={batch_id}"), gap), batch_id)
-        _forget(spark, state_path, batch_id)
+        active = _totalled(state_path, merge, batch, batch_id)
+        sink(active.select(F.current_timestamp().alias("snapshot_time"), "active_sessions", F.lit(width).cast("long").alias("window_seconds")), batch_id)
 
-    return _start(df.select("anonymous_id", "event_time"), put, checkpoint, trigger)
+    return _start(active_changes(df, gap), put, checkpoint, trigger)
 
 
-def start_anomaly_alerts(df: DataFrame, state_path: str, sink: Sink, checkpoint: str, size: str = WINDOW, grace: str = WINDOW_GRACE, keys: tuple[str, ...] = (), alpha: float = ALPHA, k: float = THRESHOLD_K, warmup: int = WARMUP, trigger: dict | None = None):
-    """Alerts on event-time buckets, each scored when it is closed; buckets without events between two closed ones count as 0.
+def anomaly_alerts(df: DataFrame, size: str = WINDOW, grace: str = WINDOW_GRACE, keys: tuple[str, ...] = (), alpha: float = ALPHA, k: float = THRESHOLD_K, warmup: int = WARMUP) -> DataFrame:
+    """A stream's alerts on event-time buckets, each scored when it is closed; buckets without events between two closed ones count as 0.
 
-    The state is a row for each series: its baseline and its last bucket.
+    One query with two states: the open buckets' counts, and a series' baseline and last bucket. Spark commits both with the batch, so a bucket is
+    folded once, whatever is tried again.
     """
     closed = with_lateness(df, grace).groupBy(F.window("event_time", size).alias("w"), *keys).agg(F.count("*").alias("observed")).select(*keys, F.col("w.start").alias("bucket"), "observed")
-    step = F.expr(f"INTERVAL {size}")
+    return baseline_alerts(closed, length(size), alpha, k, warmup, keys)
 
-    def put(batch: DataFrame, batch_id: int) -> None:
-        spark, batch = batch.sparkSession, batch.persist()  # several actions read it
-        before = _before(spark, state_path, batch_id)
-        state = spark.read.parquet(before) if before else None
-        ends = batch.groupBy(*keys).agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).where("a IS NOT NULL")
-        if state is not None:
-            old = state.select(*[F.col(c).alias(f"s_{c}") for c in keys], (F.col("last") + step).alias("next"))
-            ends = ends.join(old, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in keys] or F.lit(True), "left").withColumn("a", F.coalesce("next", "a")).where("a <= b")
-        grid = ends.select(*keys, F.explode(F.sequence("a", "b", step)).alias("bucket"))
-        on = [F.col(f"g.{c}").eqNullSafe(F.col(f"c.{c}")) for c in keys] + [F.col("g.bucket") == F.col("c.bucket")]
-        volume = grid.alias("g").join(batch.alias("c"), on, "left").select(*[F.col(f"g.{c}").alias(c) for c in keys], F.col("g.bucket").alias("bucket"), F.coalesce("c.observed", F.lit(0)).alias("observed"))
-        done = fold(volume, alpha, k, warmup, keys, state).persist()
-        last = volume.groupBy(*keys).agg(F.max("bucket").alias("last"))
-        now = done.select(*keys, "s.mean", "s.var", "s.n")
-        now = now.join(last.select(*[F.col(c).alias(f"l_{c}") for c in keys], "last"), [F.col(c).eqNullSafe(F.col(f"l_{c}")) for c in keys] or F.lit(True)).select(*keys, "mean", "var", "n", "last")
-        if state is not None:
-            kept = state.alias("o").join(now.alias("n"), [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in keys] or F.lit(True), "left_anti")
-            now = now.unionByName(kept)
-        now.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
-        sink(alerts_of(done, k, keys), batch_id)
-        done.unpersist()
-        batch.unpersist()
-        _forget(spark, state_path, batch_id)
-
-    return _start(closed, put, checkpoint, trigger)
+
+def start_anomaly_alerts(df: DataFrame, sink: Sink, checkpoint: str, trigger: dict | None = None, **parameters):
+    """anomaly_alerts() of each batch into ``sink``."""
+    return _start(anomaly_alerts(df, **parameters), sink, checkpoint, trigger)
 
 
 def observe_source(df: DataFrame, name: str = "source") -> DataFrame:
-    """Counts a stream's rows as they pass; a query's recentProgress has the figure under ``name``."""
+    """Counts a stream's rows as they pass; a query's recentProgress has the figure under ``name``, and ThroughputListener takes it up."""
     return df.observe(name, F.count(F.lit(1)).alias("rows"))
 
 
+class ThroughputListener(StreamingQueryListener):
+    """Samples of how many rows a query's batches took at three stages: read from its sources, passed where observe_source() named ``processed``
+    stands, and written to its sink (where the sink can tell, or where a second observation named ``written`` stands).
+
+    Add with spark.streams.addListener(). ``queries``: names of the queries to follow; all if not given. The last ``keep`` samples stay.
+    """
+
+    STAGES = ("source", "processed", "written")
+
+    def __init__(self, queries: tuple[str, ...] | None = None, keep: int = 100_000):
+        self.queries, self.rows = queries, deque(maxlen=keep)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if self.queries is not None and p.name not in self.queries:
+            return
+        began, took = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")), p.batchDuration / 1000
+        seen = {k: r["rows"] for k, r in (p.observedMetrics or {}).items() if k in self.STAGES}
+        written = seen.get("written", p.sink.numOutputRows if p.sink is not None and p.sink.numOutputRows >= 0 else None)
+        for stage, n in (("source", p.numInputRows), ("processed", seen.get("processed")), ("written", written)):
+            if n is not None:
+                self.rows.append((p.name, stage, p.batchId, began, took, int(n)))
+
+    def samples(self, spark: SparkSession) -> DataFrame:
+        """(query, stage, batch, sample_start, seconds, events, events_per_second); mean_throughput() takes it."""
+        rows = spark.createDataFrame(list(self.rows), "query string, stage string, batch long, sample_start timestamp, seconds double, events long")
+        return rows.withColumn("events_per_second", F.when(F.col("seconds") > 0, F.col("events") / F.col("seconds")).otherwise(0.0))
+
+
 def enrich_per_batch(df: DataFrame, read_products: Callable[[SparkSession], DataFrame], sink: Sink, checkpoint: str, trigger: dict | None = None):
     """enrich() with the dimension read anew in each batch, for dimensions that change."""
     from eventloom.operators.enrich import enrich

@@ -3,17 +3,21 @@
 import shutil
 import time
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from helpers import EVENT, at, dicts, frame, rows
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from eventloom.functions.columns import funnel_stage
 from eventloom.operators import anomaly, funnel, olap, rollups
 from eventloom.operators.enrich import enrich
 from eventloom.schemas import PRODUCT
 from eventloom.sources import sinks
 from eventloom.streaming import queries as streaming
+from eventloom.streaming import stages
 
 W = "2026-07-02T10:00:00"
 LAST = (10 * 86_400, "click", "/end", {"anonymous_id": "flush"})  # closes every window before it
@@ -81,33 +85,131 @@ def test_enrich_stream(spark, replay, tmp_path):
     assert sorted((r["product_id"], r["product_category"]) for r in dicts(got)) == [("1", "toys"), ("2", None)]
 
 
+def until(q, done, seconds=90):
+    """Lets a query run until it has done something."""
+    end = time.time() + seconds
+    while not done() and time.time() < end and q.isActive:
+        time.sleep(0.2)
+    if q.exception():
+        raise q.exception()
+    assert done()
+    q.stop()
+
+
 def test_live_funnel(spark, replay, tmp_path):
     seen = []
-    q = streaming.start_live_funnel(replay(EVENTS[:70], EVENTS[70:140], EVENTS[140:]), str(tmp_path / "state"), lambda df, n: seen.append(df.drop("snapshot_time").first().asDict()), str(tmp_path / "cp"), trigger=NOW)
+    q = streaming.start_live_funnel(replay(EVENTS[:70], EVENTS[70:140], EVENTS[140:]), str(tmp_path / "state"), lambda df, n: seen.append(df.drop("snapshot_time").first().asDict()), str(tmp_path / "cp"), trigger=NOW, idle=False)
     q.awaitTermination()
     assert seen[-1] == funnel.funnel_snapshot(frame(spark, W, *EVENTS)).first().asDict() and len(seen) >= 3
     assert seen[0]["views"] <= seen[-1]["views"]
 
 
+def test_idle_streams_have_snapshots(spark, replay, tmp_path):
+    """One batch of events, and snapshots go on."""
+    seen = []
+    q = streaming.start_live_funnel(replay(EVENTS[:70]), str(tmp_path / "state"), lambda df, n: seen.append(df.first().asDict()), str(tmp_path / "cp"), trigger={"processingTime": "500 milliseconds"})
+    until(q, lambda: sum(s["views"] > 0 for s in seen) >= 3)
+    full = [s for s in seen if s["views"]]
+    assert len({s["views"] for s in full}) == 1 and len({s["snapshot_time"] for s in full}) == len(full)
+
+
+def test_stage_deltas(spark, replay, tmp_path):
+    class FunnelAdvance(StatefulProcessor):
+        """What stage_deltas() does without Python: the furthest stage of a visitor as a value."""
+
+        def init(self, handle):
+            self.furthest = handle.getValueState("furthest", "stage int")
+
+        def handleInputRows(self, key, rows, timerValues):
+            known = self.furthest.get()[0] if self.furthest.exists() else -1
+            most = max((int(r["stage"].max()) for r in rows if len(r)), default=-1)
+            if most > known:
+                self.furthest.update((most,))
+                yield pd.DataFrame({"anonymous_id": [key[0]] * (most - known), "stage": range(known + 1, most + 1)})
+
+        def close(self):
+            pass
+
+    stream = replay(EVENTS[:70], EVENTS[70:140], EVENTS[140:])
+    staged = stream.select("anonymous_id", funnel_stage().alias("stage")).where("stage >= 0")
+    slow = staged.groupBy("anonymous_id").transformWithStateInPandas(FunnelAdvance(), outputStructType="anonymous_id string, stage int", outputMode="Update", timeMode="None")
+    got = {}
+    for name, df, mode in (("jvm", stages.stage_deltas(stream), "append"), ("python", slow, "update")):
+        found = got[name] = []
+        df.writeStream.foreachBatch(lambda b, n, found=found: found.extend((n, *r) for r in b.collect())).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(**NOW).start().awaitTermination()
+    assert sorted(got["jvm"]) == sorted(got["python"]) and len(got["jvm"]) > 6
+
+
+def test_stages_are_forgotten(spark, replay, tmp_path):
+    """State goes at the end of the first batch that knows the newer time."""
+    view = lambda s, who="a": (s, "page_view", "/", {"anonymous_id": who})
+    got = []
+    stages.stage_deltas(replay([view(0)], [view(10)], [view(7300, "b")], [view(7350, "c")], [view(7400)]), "1 hour").writeStream.foreachBatch(lambda b, n: got.extend(r[0] for r in b.collect())).option("checkpointLocation", str(tmp_path / "cp")).trigger(**NOW).start().awaitTermination()
+    assert got == ["a", "b", "c", "a"]
+
+
 def test_active_visitors(spark, replay, tmp_path):
+    """After each step the count is that of the batch form over all events so far; events at the limit, late, repeated and out of order among them."""
     who = lambda s, x: (s, "click", "/", {"anonymous_id": x})
-    files = [[who(0, "old"), who(900, "a")], [who(1900, "b")], [who(1800, "c")]]
-    seen = []
-    q = streaming.start_active_visitors(replay(*files), str(tmp_path / "state"), lambda df, n: seen.append(tuple(df.first())), str(tmp_path / "cp"), trigger=NOW)
+    files = [[who(0, "old"), who(900, "a")], [who(1900, "b")], [who(1800, "c")], [who(900 + 1800, "d"), who(2699, "b")], [who(100, "late"), who(950, "a")], [who(2750, "d")], [who(9000, "e")]]
+    want, all_of = [], []
+    for f in files:
+        all_of += f
+        want.append(rollups.active_visitors(frame(spark, W, *all_of)).first()["active_sessions"])
+    seen = {}
+    q = streaming.start_active_visitors(replay(*files), str(tmp_path / "state"), lambda df, n: seen.update({n: tuple(df.first())[1:]}), str(tmp_path / "cp"), trigger=NOW)
     q.awaitTermination()
-    assert seen == [(at(W, 900), 2, 1800), (at(W, 1900), 2, 1800), (at(W, 1900), 3, 1800)]
+    inputs = [p.numInputRows for p in q.recentProgress]
+    after = [seen[p.batchId][0] for p in q.recentProgress if p.batchId in seen]
+    exact = [a for i, a in enumerate(after) if i + 1 == len(after) or inputs[i + 1]]  # a batch without rows has taken the newest time in
+    assert exact[-1] == want[-1] == 1 and {w for _, w in seen.values()} == {1800}
+    assert set(want) <= set(after)
+
 
+def test_many_pages_in_a_window(spark, replay, tmp_path):
+    events = [(i % 50, "page_view", f"/p{i * 7919 % 20_000}") for i in range(40_000)] + [(3, "page_view", f"/p{i % 30}") for i in range(3000)]
+    got = drained(spark, rollups.topn_pages(replay(events, [(86_400, "page_view", "/end")], [(2 * 86_400, "page_view", "/end")])), "many", tmp_path).where(F.col("window_start") < F.lit(at(W, 3600)))
+    same(got, rollups.topn_pages(frame(spark, W, *events)).select(got.columns))
 
-def test_anomaly_alerts(spark, replay, tmp_path):
+
+@pytest.mark.parametrize("keys", [(), ("path",)])
+def test_anomaly_alerts(spark, replay, tmp_path, keys):
     counts = [10, 12, 9, 0, 0, 11, 10, 80, 10, 9, 0, 12, 60, 10]
-    events = [(60 * b + i % 50, "click") for b, n in enumerate(counts) for i in range(n)]
-    cuts = [e for e in (events[:25], events[25:60], events[60:140], events[140:])]
-    seen = []
-    q = streaming.start_anomaly_alerts(replay(*cuts, [(60 * len(counts) + 100, "click")]), str(tmp_path / "state"), lambda df, n: seen.extend(dicts(df)), str(tmp_path / "cp"), k=2.0, trigger=NOW)
-    q.awaitTermination()
-    want = dicts(anomaly.ewma_alerts(rollups.volume_buckets(frame(spark, W, *events)), k=2.0))
-    key = lambda r: r["alert_time"]
-    assert len(want) >= 2 and sorted(seen, key=key) == sorted(want, key=key)
+    events = [(60 * b + i % 50, "click", f"/{i % 2}") for b, n in enumerate(counts) for i in range(n)]
+    stream = replay(events[:25], events[25:60], events[60:140], events[140:], [(60 * len(counts) + 100, "click", "/0")])
+    want = dicts(anomaly.ewma_alerts(rollups.volume_buckets(frame(spark, W, *events), keys=keys), k=2.0, keys=keys))
+    seen, failed = {}, []
+
+    def sink(df, n):
+        seen[n] = dicts(df)
+        if len(seen) == 3 and not failed:  # after the batch's work; it is tried again
+            failed.append(n)
+            raise RuntimeError("lost")
+
+    q = streaming.start_anomaly_alerts(stream, sink, str(tmp_path / "cp"), trigger=NOW, k=2.0, keys=keys)
+    with pytest.raises(Exception, match="lost"):
+        q.awaitTermination()
+    streaming.start_anomaly_alerts(stream, sink, str(tmp_path / "cp"), trigger=NOW, k=2.0, keys=keys).awaitTermination()
+    key = lambda r: (r["alert_time"], r.get("path"))
+    assert len(want) >= 2 and failed and sorted([r for found in seen.values() for r in found], key=key) == sorted(want, key=key)
+
+
+def test_throughput_of_a_stream(spark, replay, tmp_path):
+    listener = streaming.ThroughputListener(("measured",))
+    spark.streams.addListener(listener)
+    try:
+        stream = streaming.observe_source(replay(EVENTS[:70], EVENTS[70:140], EVENTS[140:]).where("event_type != 'search'"), "processed")
+        stream.writeStream.queryName("measured").format("memory").option("checkpointLocation", str(tmp_path / "cp")).trigger(**NOW).start().awaitTermination()
+        kept = spark.table("measured").count()
+        end = time.time() + 30
+        while sum(r[1] == "source" for r in listener.rows) < 3 and time.time() < end:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    samples = listener.samples(spark)
+    got = {r["stage"]: r["n"] for r in samples.groupBy("stage").agg(F.sum("events").alias("n")).collect()}
+    assert got == {"source": 200, "processed": kept, "written": kept} and 0 < kept < 200
+    assert olap.mean_throughput(samples.where("stage = 'source'")).first()["samples"] == 3
 
 
 def test_event_table_and_dead_letters(spark, replay, tmp_path):
