@@ -5,6 +5,10 @@ other figures and names has the template of the original. Capitals decide what i
 stands with its names, and with all its placeholders, as case-folded words. Windows are hash-joined in any of the three forms. Those of one document
 and one item that lie about the same way against each other are put together, and count only if their slots agree: what is one value in the item
 is one value in the document.
+
+Where a copy has lost its capitals, or an item is mostly figures and signs, no window may be left for that. So each item with names or figures is
+also looked for whole: its rarest run of words, figures and signs that holds no name of its own says where it may stand, and there all of it must fit,
+any one to three words for a name, the same for the same (Wholes).
 """
 
 from __future__ import annotations
@@ -38,12 +42,13 @@ NUMBER, UNIT, NAME = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\0number"
 KNOWN_WORDS = 250_000
 #: Forms of a window: with all placeholders, with those of numbers and units, with none.
 TEMPLATE, FIGURES, WORDS = range(3)
-#: What a word is: any word, a number, a number with a unit, nothing but marks.
-WORD, PLAIN_NUMBER, WITH_UNIT, NOTHING = range(4)
+#: What a word is: any word, a number, a number with a unit, nothing but marks, a sign of arithmetic that stands alone.
+WORD, PLAIN_NUMBER, WITH_UNIT, NOTHING, SIGN = range(5)
+SIGNS = frozenset("+ - * / = < > ^ × ÷ − · ( )".split())
 #: Flags of a word: it is a unit's name, it is capitalised, it ends a sentence.
 IS_UNIT, CAPITAL, ENDS = 1, 2, 4
-_NUMBER_WITH_UNIT = re.compile(r"([+-]?[\d.,/]*\d)([^\W\d_]+|%)")
-_FIGURE = re.compile(r"[+-]?\d[\d.,/]*")
+_NUMBER_WITH_UNIT = re.compile(r"([+-]?[\d.,/:]*\d)([^\W\d_]+|%)")
+_FIGURE = re.compile(r"[+-]?\d[\d.,/:]*")
 _EDGES = re.compile(r"^[^\w%+-]+|[^\w%]+$")
 _TAIL = "".join(x for x in punctuation if x not in "%_")
 _CLOSING = "\"')]}»”’"
@@ -67,7 +72,9 @@ class _Kinds(dict):
         kind, value = WORD, (low,)
         if not plain:
             m = _NUMBER_WITH_UNIT.fullmatch(low)
-            if not re.search(r"\w|%", own):
+            if raw in SIGNS:
+                kind, value = SIGN, (raw,)
+            elif not re.search(r"\w|%", own):
                 kind = NOTHING
             elif _FIGURE.fullmatch(low):
                 kind = PLAIN_NUMBER
@@ -96,16 +103,18 @@ class _Stream:
 
 
 class _Templates:
-    """The words of several texts in a row, and their template tokens in each form."""
+    """The words of several texts in a row, and their template tokens in each form; with ``signs``, those of arithmetic are words too."""
 
-    def __init__(self, kinds: _Kinds, column: pa.Array):
+    def __init__(self, kinds: _Kinds, column: pa.Array, signs: bool = False):
         lists = pc.ascii_split_whitespace(column)
         coded = lists.flatten().dictionary_encode()
         own = np.fromiter(map(kinds.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int64, len(coded.dictionary))
         at = own[coded.indices.to_numpy()]
         offsets = lists.offsets.to_numpy()
         doc = np.repeat(np.arange(len(column), dtype=np.int32), np.diff(offsets))
-        keep = kinds.kind[at] != NOTHING
+        keep = kinds.kind[at] < (NOTHING if not signs else SIGN + 1)
+        if signs:
+            keep &= kinds.kind[at] != NOTHING
         # A sentence also ends with marks that stand alone after its last word.
         ends, own = kinds.flags[at] & ENDS > 0, np.flatnonzero(keep)
         alone = np.cumsum(ends & ~keep)
@@ -127,6 +136,9 @@ class _Templates:
         literal = np.where(second, kinds.last[at], kinds.hash[at])
         figures = np.where(number, NUMBER, np.where(unit, UNIT, literal))
         self.kinds, self.at, self.second, self.doc = kinds, at, second, doc
+        self.literal, self.figures, self.number, self.unit, self.name = literal, figures, number, unit, name
+        self.starts = np.ones(len(at), bool)  # which words begin a sentence
+        self.starts[1:] = ends[:-1] | (doc[1:] != doc[:-1])
         self.bounds = np.searchsorted(doc, np.arange(len(column) + 1))
         place = np.arange(len(at))
         more = np.zeros(len(at), bool)  # goes on with the name before it
@@ -141,13 +153,13 @@ class _Templates:
         }
         self.named = np.concatenate([[0], np.cumsum(name)])
 
-    def _said(self, i: int) -> str:
+    def said(self, i: int) -> str:
         return self.kinds.value[self.at[i]][-1 if self.second[i] else 0]
 
     def values(self, form: int, s: int, size: int) -> list[str]:
         """The values under the placeholders of a window."""
         x = self.forms[form]
-        return [" ".join(map(self._said, range(x.first[i], x.last[i]))) for i in range(s, s + size) if x.slot[i]]
+        return [" ".join(map(self.said, range(x.first[i], x.last[i]))) for i in range(s, s + size) if x.slot[i]]
 
     def windows(self, form: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(starts, hashes) of the windows of ``size`` tokens within a text: of words, all; of other forms, those that hold more words than
@@ -165,6 +177,97 @@ class _Templates:
         return starts, shingle_hashes(x.h, size)[starts] if len(starts) else np.empty(0, np.uint64)
 
 
+#: Of a whole item: words of a run that says where it may stand, at most; words that must be left besides names and figures; words of a name.
+ANCHOR, FIXED, ENOUGH, NAME_WORDS = 5, 4, 8, 3
+#: A whole item is fitted against a stretch of a document as text, words between single spaces.
+_NUMBER_TEXT, _WORD_TEXT = rf"(?:[+-]?\d[\d.,/:]*|{'|'.join(sorted(NUMBERS))})", r"[^\s\d][^\s]*"
+
+
+class Wholes:
+    """Items to be found whole: a pattern for each, and the hash of its anchor, size by size.
+
+    A capitalised word is a name if it stands so within a sentence somewhere among the items, and otherwise, at the beginning of a sentence, if at
+    least ENOUGH words are left without it; so an item's last few words always stand for themselves. Items with fewer than FIXED words and signs
+    besides names and figures or with no word, with no names or figures, or with no two words in a row without a name, aren't looked for in this way.
+    """
+
+    def __init__(self, items: list[tuple[int | None, str]]):
+        kinds = _Kinds()
+        t = _Templates(kinds, pa.array([text for _, text in items], pa.string()), signs=True)
+        inner = {t.said(i) for i in np.flatnonzero(t.name & ~t.starts).tolist()}
+        self.found: dict[int, dict[int, list]] = {}  # by size and hash: (item's id, words, words before the anchor at most and after, pattern)
+        runs: list[list[tuple]] = []
+        counts: dict[tuple[int, int], int] = {}
+        for d in range(len(items)):
+            at = list(range(int(t.bounds[d]), int(t.bounds[d + 1])))
+            sure = {i for i in at if t.name[i] and (not t.starts[i] or t.said(i) in inner)}
+            maybe = {i for i in at if t.name[i]}
+            fixed = lambda names, at=at: [i for i in at if i not in names and not t.number[i] and not t.unit[i]]
+            names = maybe if len(fixed(maybe)) >= ENOUGH else sure
+            slots = [i for i in at if i in names or t.number[i] or t.unit[i]]
+            own: list[tuple] = []
+            if slots and len(fixed(names)) >= FIXED and any(t.kinds.kind[t.at[i]] == WORD for i in fixed(names)):
+                for size in range(2, ANCHOR + 1):
+                    for k in range(len(at) - size + 1):
+                        span = at[k : k + size]
+                        if not names.intersection(span):
+                            h = int(shingle_hashes(t.figures[span], size)[0])
+                            own.append((size, h, k, sum(not t.number[i] and not t.unit[i] for i in span)))
+                            counts[size, h] = counts.get((size, h), 0) + 1
+            runs.append([(own, at, names)] if own else [])
+        for (item_id, _), run in zip(items, runs, strict=True):
+            for own, at, names in run:
+                size, h, k, _ = max(own, key=lambda x: (min(x[3], 3), -counts[x[0], x[1]], x[3], -x[2]))
+                held = sum(i in names for i in at) * (NAME_WORDS - 1)
+                self.found.setdefault(size, {}).setdefault(h, []).append((item_id, len(at), k + held, len(at) - k + held, self._pattern(t, at, names)))
+        self.sorted = {size: np.array(sorted(own), np.uint64) for size, own in self.found.items()}
+
+    @staticmethod
+    def _pattern(t: _Templates, at: list[int], names: set[int]) -> str:
+        parts, groups, i = [], {}, 0
+        while i < len(at):
+            j = i + 1
+            if at[i] in names:
+                while j < len(at) and at[j] in names and not t.starts[at[j]]:
+                    j += 1
+                key, text = ("name", " ".join(t.said(x) for x in at[i:j])), _WORD_TEXT + rf"(?: {_WORD_TEXT}){{0,{NAME_WORDS - 1}}}?"
+            elif t.number[at[i]]:
+                key, text = ("number", t.said(at[i])), _NUMBER_TEXT
+            elif t.unit[at[i]]:
+                key, text = ("unit", t.said(at[i])), _WORD_TEXT
+            else:
+                key, text = None, re.escape(t.said(at[i]))
+            if key and key in groups:
+                text = f"(?P={groups[key]})"
+            elif key:
+                groups[key] = f"g{len(groups)}"
+                text = f"(?P<{groups[key]}>{text})"
+            parts.append(text)
+            i = j
+        return r"(?<!\S)" + " ".join(parts) + r"(?!\S)"
+
+    def found_in(self, t: _Templates, patterns: dict[str, re.Pattern]):
+        """(text's number, item's id, words) of every item that a text holds, once each."""
+        for size, known in self.sorted.items():
+            n = len(t.figures) - size + 1
+            if n <= 0:
+                continue
+            h = shingle_hashes(t.figures, size)
+            hits = np.flatnonzero((known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h) & (t.doc[:n] == t.doc[size - 1 :]))
+            done: set[tuple[int, str]] = set()
+            for i, own in zip(hits.tolist(), h[hits].tolist(), strict=True):
+                d = int(t.doc[i])
+                for item_id, words, before, after, pattern in self.found[size][own]:
+                    if (d, pattern) in done:
+                        continue
+                    low, high = max(int(t.bounds[d]), i - before), min(int(t.bounds[d + 1]), i + after)
+                    if pattern not in patterns:
+                        patterns[pattern] = re.compile(pattern)
+                    if patterns[pattern].search(" ".join(map(t.said, range(low, high)))):
+                        done.add((d, pattern))
+                        yield d, item_id, words
+
+
 _SCHEMA = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("size", pa.int32()), ("pos", pa.int64()), ("words", pa.int32()), ("h", pa.int64()), ("slots", pa.list_(pa.string())), ("n", pa.int64())])
 _SPEC = "id long, text_key long, size int, pos long, words int, h long, slots array<string>, n long"
 
@@ -214,6 +317,8 @@ def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=Non
 
 #: Up to so many distinct benchmark windows (16 MB), tasks get their hashes and drop other windows before the join.
 BROADCAST_WINDOWS = 2_000_000
+#: Bytes of items' texts whose patterns go to the tasks at once.
+WHOLE_BYTES = 4_000_000
 
 
 def _agree(pairs: set[tuple[str, str]]) -> bool:
@@ -272,7 +377,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
     those are met, others word by word. n_matched: those found together in one stretch of the document, in any form, with slots that agree
     (judged()). coverage: the share of the item's words that lie in such windows, so that an edited word costs one and not all windows over
     it. A document holds an item if coverage is ``share`` or more, or if ``run`` words in a row lie in such windows of one alignment. White space,
-    case and marks at the ends of words don't matter. Null and empty texts and texts without words match nothing; repeated rows of a doc_id give one
+    case and marks at the ends of words don't matter. An item that stands whole in a document, with other names and figures (Wholes), has all its words
+    covered. Null and empty texts and texts without words match nothing; repeated rows of a doc_id give one
     row for an item; items with the same template each give rows; null ids come back null. No rows, no result.
 
     Items' windows are few against documents' ones: while they number at most BROADCAST_WINDOWS, tasks drop other windows before the join,
@@ -312,9 +418,45 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["doc_id", "item_id", "n_windows", "n_matched", "coverage"])
 
     best = stretches.select("id", "item_id", "n_words", ((F.col("stretch") + 1) * stride).alias("low"), stride.alias("step"), "matches").mapInArrow(judge, spec)
+    for whole in _wholes(docs, benchmark, size):
+        best = best.union(whole)
     return best.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_windows", "n_matched")).alias("b")).select("doc_id", "item_id", "b.n_windows", "b.n_matched", "b.coverage")
 
 
+def _wholes(docs: DataFrame, benchmark: DataFrame, size: int) -> list[DataFrame]:
+    """Rows as judged ones for items that stand whole in a document. Items come to the driver by blocks of WHOLE_BYTES of text and go to the tasks, which
+    read the documents once for each block."""
+    spark = docs.sparkSession
+    rows = benchmark.select(F.col("item_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where("text != ''").distinct()
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-total // WHOLE_BYTES)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    out = []
+    for k in range(blocks):
+        own = [(r["id"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()]
+        sent = spark.sparkContext.broadcast(Wholes(own))
+
+        def run(batches, sent=sent):
+            begins("decontamination")
+            kinds, patterns, wholes = _Kinds(), {}, sent.value
+            for b in batches:
+                ids, column = b.column(0).to_pylist(), b.column(1).cast(pa.string())
+                weight = np.cumsum(pc.binary_length(column).to_numpy()).astype(np.int64)
+                at, rows = 0, []
+                while at < len(ids):
+                    to = max(at + 1, int(np.searchsorted(weight, (weight[at - 1] if at else 0) + (1 << 21))))
+                    t = _Templates(kinds, column.slice(at, to - at), signs=True)
+                    rows += [(ids[at + d], item_id, n - min(size, n) + 1, n - min(size, n) + 1, 1.0) for d, item_id, n in wholes.found_in(t, patterns)]
+                    at = to
+                    if len(kinds) > KNOWN_WORDS:
+                        kinds = _Kinds()
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], x) for i, x in enumerate(types)], names=["doc_id", "item_id", "n_windows", "n_matched", "coverage"])
+
+        out.append(docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).mapInArrow(run, "doc_id long, item_id long, n_windows long, n_matched long, coverage double"))
+    return out
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that hold a benchmark item, other rows as they are, repeated ones too. A row goes if its doc_id, or null, does; null and empty
     texts hold nothing. No rows, no result."""

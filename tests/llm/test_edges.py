@@ -309,7 +309,7 @@ def test_decontamination_of_items_that_are_mostly_placeholders(spark):
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
     others = ["Compute 13 * 8 + 4 = ?", "Heights 120cm 131cm 140 cm 150cm", "with Bob Anna Dora Carl Franz Emil"]
     docs = spark.createDataFrame([(i, f"so then {t} and on") for i, t in enumerate(texts + others)], "doc_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()} == {(0, 0), (1, 1), (2, 2)}
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()} == {(0, 0), (3, 0), (1, 1), (2, 2)}
 
 
 def test_decontamination_of_copies_with_other_case_and_marks(spark):
