@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.columns import millis, page_views
-from eventloom.functions.params import in_range, of_type, parse_interval, require_positive
+from eventloom.functions.params import bucket, in_range, of_type, parse_interval, require_positive
 from eventloom.operators.rollups import with_lateness
 from eventloom.schemas import LATENCY_CAP_MS, LATENCY_WINDOW_S, TOP_N, WINDOW_GRACE
 
@@ -24,10 +24,11 @@ def unique_visitors(df: DataFrame, from_=None, to=None, interval: str | None = N
 
 
 def _in_buckets(rows: DataFrame, interval: str | None, aggregates: list[Column], *keys: str) -> DataFrame:
-    """Aggregates by bucket and keys. The window is grouped by whole, as its start alone has no watermark."""
+    """Aggregates by bucket and keys. A stream is grouped by the whole window, as its start alone has no watermark; a batch by the start, a long."""
+    if not rows.isStreaming:
+        return rows.groupBy(bucket("event_time", interval).alias("bucket"), *keys).agg(*aggregates).orderBy("bucket", *keys)
     counted = rows.groupBy(F.window("event_time", parse_interval(interval)).alias("w"), *keys).agg(*aggregates)
-    found = counted.select(F.col("w.start").alias("bucket"), *[c for c in counted.columns if c != "w"])
-    return found if rows.isStreaming else found.orderBy("bucket", *keys)
+    return counted.select(F.col("w.start").alias("bucket"), *[c for c in counted.columns if c != "w"])
 
 
 def retention(df: DataFrame, conditions: list[Column], key: str = "anonymous_id") -> DataFrame:

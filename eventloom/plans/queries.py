@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import columns as C
 from eventloom.functions.params import bucket, in_range, of_type, preset_range
-from eventloom.operators import anomaly, funnel, olap, rollups, views
+from eventloom.operators import anomaly, funnel, olap, rollups, sketches, views
 from eventloom.operators.enrich import enrich
 from eventloom.sources import sinks
 from eventloom.sources.adapter import clicks, products
@@ -168,6 +168,32 @@ def _sketched(s, d) -> DataFrame:
     return exact.join(sketch, "bucket", "left").select("bucket", "unique_visitors", F.coalesce(near, F.lit(False)).alias("within"))
 
 
+def _stored(s: SparkSession, rollup: DataFrame) -> DataFrame:
+    """A rollup as it is read back from where it was written."""
+    path = new_folder(s, "rollup")
+    rollup.write.parquet(path)
+    return s.read.parquet(path)
+
+
+def _visitors_of_rollup(s, d) -> DataFrame:
+    """Each day's exact visitors, and whether the estimate from stored minutes lies within five standard errors of a sketch."""
+    exact = olap.unique_visitors(clicks(s, d), FROM, TO, "day", exact=True)
+    rollup = _stored(s, sketches.visitor_sketches(clicks(s, d)))
+    about = sketches.visitors_from_sketches(rollup, FROM, TO, "day").withColumnRenamed("unique_visitors", "about")
+    near = F.abs(F.col("about") - F.col("unique_visitors")) <= F.greatest(F.lit(2.0), 5 * 0.01625 * F.col("unique_visitors"))
+    return exact.join(about, "bucket", "left").select("bucket", "unique_visitors", F.coalesce(near, F.lit(False)).alias("within"))
+
+
+def _latency_of_rollup(s, d) -> DataFrame:
+    """From stored minutes: exact counts, and whether percentiles lie among the values of one hundredth of the ranks around the exact ones."""
+    rows = clicks(s, d)
+    about = sketches.latency_from_sketches(_stored(s, sketches.latency_sketches(rows)), "2024-01-13", "2024-01-20")
+    of = in_range(olap.on_time(rows), "2024-01-13", "2024-01-20", "ingested_at").select(olap.latency_ms().alias("ms"))
+    ends = of.agg(*[F.percentile("ms", min(1.0, max(0.0, q / 100 + x))).alias(f"{side}{q}") for q in (50, 95, 99) for side, x in (("low", -0.01), ("high", 0.01))])
+    near = [F.col(f"p{q}").between(F.floor(f"low{q}"), F.ceil(f"high{q}")) for q in (50, 95, 99)]
+    return about.join(ends, F.lit(True)).select("samples", "max_ms", "avg_ms", (near[0] & near[1] & near[2]).alias("within"))
+
+
 def _near_percentiles(s, d) -> DataFrame:
     """Whether the approximate percentiles lie among the values of a thousandth of the ranks around the exact ones, to a millisecond."""
     rows = olap.on_time(clicks(s, d).where(F.col("ingested_at").between(F.lit("2024-01-13 00:00:00.000001").cast("timestamp_ntz"), F.lit("2024-01-20").cast("timestamp_ntz")))).select(olap.latency_ms().alias("ms"))
@@ -246,6 +272,15 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "a12_unique_visitors": (lambda s, d: olap.unique_visitors(clicks(s, d), FROM, TO, "hour", exact=True), f"WITH {EV} SELECT date_trunc('hour', event_time) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors FROM ev WHERE {_RANGE} GROUP BY 1"),
     "a12_unique_visitors_approx": (lambda s, d: _sketched(s, d), f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors, TRUE AS within FROM ev WHERE {_RANGE} GROUP BY 1"),
     "a13_retention": (lambda s, d: olap.retention(clicks(s, d).where(F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz")), [F.col("event_time") < F.lit("2024-01-02").cast("timestamp_ntz"), (F.col("event_time") >= F.lit("2024-01-02").cast("timestamp_ntz")) & (F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz"))]), f"WITH {EV}, b AS (SELECT anonymous_id, max(CASE WHEN event_time < TIMESTAMP '2024-01-02' THEN 1 ELSE 0 END) AS c0, max(CASE WHEN event_time >= TIMESTAMP '2024-01-02' AND event_time < TIMESTAMP '2024-01-03' THEN 1 ELSE 0 END) AS c1 FROM ev GROUP BY 1) SELECT CAST(sum(c0) AS BIGINT) AS r0, CAST(sum(c0 * c1) AS BIGINT) AS r1 FROM b"),
+    "a12_visitors_from_sketches": (
+        _visitors_of_rollup,
+        f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors, TRUE AS within FROM ev WHERE {_RANGE} GROUP BY 1",
+    ),
+    "a16_latency_from_sketches": (
+        _latency_of_rollup,
+        f"WITH {EV}, x AS (SELECT epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE ingested_at >= TIMESTAMP '2024-01-13' AND ingested_at < TIMESTAMP '2024-01-20') "
+        "SELECT count(*) AS samples, max(ms) AS max_ms, round(avg(ms), 1) AS avg_ms, TRUE AS within FROM x WHERE ms BETWEEN 0 AND 2000",
+    ),
     "a14_timeseries": (_series, f"WITH {EV}, {_SERIES} SELECT * FROM ts"),
     "a14_timeseries_purchase": (lambda s, d: olap.timeseries(clicks(s, d), FROM, TO, "1d", "purchase"), f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, event_type, count(*) AS events FROM ev WHERE {_RANGE} AND event_type = 'purchase' GROUP BY 1, 2"),
     "a15_top_pages": (lambda s, d: olap.top_pages(clicks(s, d), FROM, TO, 8), f"WITH {EV} SELECT path, count(*) AS views FROM ev WHERE {_RANGE} AND event_type = 'page_view' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8"),

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from eventloom.functions.params import length
 from eventloom.operators.funnel import snapshot_from_counts
 from eventloom.operators.rollups import with_lateness
 from eventloom.schemas import ALPHA, SESSION_GAP, SNAPSHOT_EVERY, THRESHOLD_K, WARMUP, WINDOW, WINDOW_GRACE
-from eventloom.streaming.stages import active_changes, baseline_alerts, length, stage_deltas
+from eventloom.streaming.stages import active_changes, baseline_alerts, stage_deltas
 
 #: (result of a batch, batch number) -> None; called again with the same number if a batch is tried again.
 Sink = Callable[[DataFrame, int], None]

@@ -148,10 +148,3 @@ def baseline_alerts(closed: DataFrame, step: timedelta, alpha: float, k: float,
     out = rows.groupBy(*by).transformWithStateInPandas(Baseline(step, alpha, k, warmup, len(keys)), outputStructType=spec, outputMode="Append", timeMode="None")
     way = F.when(F.col("observed") >= F.col("baseline_mean"), F.lit("spike")).otherwise(F.lit("drop"))
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keys)], F.col("alert_time").cast(kinds["bucket"]).alias("alert_time"), "observed", "baseline_mean", "baseline_stddev", "z_score", F.lit(float(k)).alias("threshold_k"), way.alias("direction"), "baseline_samples")
-
-
-def length(interval: str) -> timedelta:
-    """An interval of fixed length, "5 seconds" to "2 weeks", as Python has it."""
-    n, unit = interval.split()
-    return timedelta(**{unit.rstrip("s") + "s": int(n)})
-

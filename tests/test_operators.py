@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from eventloom import schemas
 from eventloom.functions import columns as C
 from eventloom.functions.params import in_range, of_type, parse_interval, preset_range, require_positive, resolve_range
-from eventloom.operators import anomaly, funnel, olap, rollups, views
+from eventloom.operators import anomaly, funnel, olap, rollups, sketches, views
 from eventloom.operators.enrich import enrich
 
 W, S = "2026-07-02T10:00:00", "2026-07-04T10:00:00"
@@ -229,3 +229,35 @@ def test_empty_inputs(spark):
     none = spark.createDataFrame([], EVENT)
     for found in (rollups.minute_metrics(none), rollups.topn_pages(none), rollups.sessionize(none), funnel.furthest_stage(none), funnel.window_funnel(none), olap.timeseries(none, W, at(W, 9)), olap.top_pages(none, W, at(W, 9))):
         assert found.count() == 0
+
+
+def test_visitors_from_stored_sketches(spark, tmp_path):
+    """Any range and interval over the buckets, about as from the events; keys, nulls, and a range that cuts a bucket."""
+    events = [(i * 61 % 7200, "page_view" if i % 3 else "click", "/", {"anonymous_id": f"v{i % 700}" if i % 50 else None}) for i in range(3000)]
+    df = frame(spark, W, *events)
+    path = str(tmp_path / "rollup")
+    sketches.visitor_sketches(df).write.parquet(path)
+    stored = spark.read.parquet(path)
+    for interval in ("5m", "hour"):
+        want = {r["bucket"]: r["unique_visitors"] for r in olap.unique_visitors(df, W, at(W, 7200), interval, exact=True).collect()}
+        got = {r["bucket"]: r["unique_visitors"] for r in sketches.visitors_from_sketches(stored, W, at(W, 7200), interval).collect()}
+        assert got.keys() == want.keys() and all(abs(got[b] - n) <= max(2, 0.08 * n) for b, n in want.items())
+    part = sketches.visitors_from_sketches(stored, at(W, 600), at(W, 1200), "hour").first()["unique_visitors"]
+    assert abs(part - olap.unique_visitors(df, at(W, 600), at(W, 1200), "hour", exact=True).first()["unique_visitors"]) <= 5
+    by_type = sketches.visitor_sketches(df, "1 hour", ("event_type",))
+    assert {r["event_type"] for r in by_type.collect()} == {"page_view", "click"} and by_type.agg(F.sum("events")).first()[0] == 3000
+    assert sketches.visitors_from_sketches(stored.limit(0), W, at(W, 60)).count() == 0
+    with pytest.raises(ValueError):
+        sketches.visitors_from_sketches(stored, at(W, 1), at(W, 60))
+
+
+def test_latency_from_stored_sketches(spark):
+    df = frame(spark, W, *[(i, "click") for i in range(3000)]).withColumn("ingested_at", F.expr("event_time + make_dt_interval(0, 0, 0, cast(pmod(hash(event_id), 2200) / 1000 as decimal(18, 6)))"))
+    stored = sketches.latency_sketches(df)
+    got = sketches.latency_from_sketches(stored, W, at(W, 1800)).first()
+    ms = sorted(r[0] for r in olap.on_time(df.where(F.col("ingested_at") < F.lit(at(W, 1800)))).select(olap.latency_ms()).collect())
+    assert got["samples"] == len(ms) and got["max_ms"] == ms[-1] and abs(got["avg_ms"] - sum(ms) / len(ms)) <= 0.05
+    for q in (50, 95, 99):
+        assert ms[int(len(ms) * (q / 100 - 0.01))] <= got[f"p{q}"] <= ms[min(len(ms) - 1, int(len(ms) * (q / 100 + 0.01)))]
+    none = sketches.latency_from_sketches(stored.limit(0), W, at(W, 60)).first()
+    assert none["samples"] == 0 and none["p50"] is None and none["avg_ms"] is None
