@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import begins, cut, shingle_hashes
+from eventloom.llm.cells import among
+from eventloom.llm.common import begins, cut, shingle_hashes, stored
 
 #: Units that count as such after a number. Fixed values.
 UNITS = frozenset(
@@ -112,9 +113,9 @@ class _Templates:
         at = own[coded.indices.to_numpy()]
         offsets = lists.offsets.to_numpy()
         doc = np.repeat(np.arange(len(column), dtype=np.int32), np.diff(offsets))
-        keep = kinds.kind[at] < (NOTHING if not signs else SIGN + 1)
-        if signs:
-            keep &= kinds.kind[at] != NOTHING
+        kind = kinds.kind[at]
+        self.signed = np.unique(doc[kind == SIGN])  # texts with signs
+        keep = (kind < NOTHING) | (kind == SIGN) if signs else kind < NOTHING
         # A sentence also ends with marks that stand alone after its last word.
         ends, own = kinds.flags[at] & ENDS > 0, np.flatnonzero(keep)
         alone = np.cumsum(ends & ~keep)
@@ -246,14 +247,22 @@ class Wholes:
             i = j
         return r"(?<!\S)" + " ".join(parts) + r"(?!\S)"
 
+    def met(self, kinds: _Kinds, t: _Templates, column: pa.Array, patterns: dict[str, re.Pattern]):
+        """(text's number, item's id, words) of the items in a column of texts, whose templates are ``t``. Texts with signs are read with them too."""
+        yield from self.found_in(t, patterns)
+        if len(t.signed):
+            for d, item_id, words in self.found_in(_Templates(kinds, column.take(pa.array(t.signed)), signs=True), patterns):
+                yield int(t.signed[d]), item_id, words
+
     def found_in(self, t: _Templates, patterns: dict[str, re.Pattern]):
-        """(text's number, item's id, words) of every item that a text holds, once each."""
+        """The same for one way of reading, an item once for a text."""
         for size, known in self.sorted.items():
             n = len(t.figures) - size + 1
             if n <= 0:
                 continue
             h = shingle_hashes(t.figures, size)
-            hits = np.flatnonzero((known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h) & (t.doc[:n] == t.doc[size - 1 :]))
+            hits = np.flatnonzero(among(h, known))
+            hits = hits[t.doc[hits] == t.doc[hits + size - 1]]
             done: set[tuple[int, str]] = set()
             for i, own in zip(hits.tolist(), h[hits].tolist(), strict=True):
                 d = int(t.doc[i])
@@ -272,16 +281,20 @@ _SCHEMA = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("size", pa.i
 _SPEC = "id long, text_key long, size int, pos long, words int, h long, slots array<string>, n long"
 
 
-def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=None, sizes=None) -> DataFrame:
+def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=None, sizes=None, wholes=None) -> DataFrame:
     """The windows of a table's texts in all forms; pos and words say where they lie among the text's n words. wanted: a broadcast of sorted
-    hashes, others are left out. sizes: window lengths to take; None: ``size``, or the own length of a text with fewer tokens."""
+    hashes, others are left out. sizes: window lengths to take; None: ``size``, or the own length of a text with fewer tokens. wholes: a broadcast of
+    Wholes; an item that a text holds is a row of size 0, with the item's words as n and its id in slots."""
 
-    def emit(kinds, ids, keys, column):
+    def emit(kinds, ids, keys, column, patterns):
         t = _Templates(kinds, column)
+        if wholes is not None:
+            for d, item_id, n in wholes.value.met(kinds, t, column, patterns):
+                yield ids[d], keys[d], 0, 0, n, 0, [None if item_id is None else str(item_id)], n
         count = np.diff(t.bounds)
         for form, x in t.forms.items():
             lengths = np.diff(np.searchsorted(x.doc, np.arange(len(column) + 1)))
-            for k in sizes or sorted({min(size, int(n)) for n in lengths if n}):
+            for k in sorted({min(size, int(n)) for n in lengths if n}) if sizes is None else sizes:
                 starts, h = t.windows(form, k)
                 if sizes is None:
                     fit = np.minimum(lengths[x.doc[starts]], size) == k
@@ -297,14 +310,14 @@ def _windows(table: DataFrame, id_col: str, text_col: str, size: int, wanted=Non
 
     def run(batches):
         begins("decontamination")
-        kinds = _Kinds()
+        kinds, patterns = _Kinds(), {}
         for b in batches:
             ids, keys, column = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.string())
             weight = np.cumsum(pc.binary_length(column).to_numpy()).astype(np.int64)
             at, out = 0, []
             while at < len(ids):
                 to = max(at + 1, int(np.searchsorted(weight, (weight[at - 1] if at else 0) + (1 << 21))))
-                out.extend(emit(kinds, ids[at:to], keys[at:to], column.slice(at, to - at)))
+                out.extend(emit(kinds, ids[at:to], keys[at:to], column.slice(at, to - at), patterns))
                 at = to
                 if len(kinds) > KNOWN_WORDS:
                     kinds = _Kinds()
@@ -382,7 +395,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
     row for an item; items with the same template each give rows; null ids come back null. No rows, no result.
 
     Items' windows are few against documents' ones: while they number at most BROADCAST_WINDOWS, tasks drop other windows before the join,
-    beyond that all windows are joined. The join and what follows are the same. Matches are judged by stretches of three times the item's length,
+    beyond that all windows are joined. The join and what follows are the same. Patterns of whole items go to the tasks by blocks of WHOLE_BYTES of text;
+    documents are read once for each block, a single one together with the windows. Matches are judged by stretches of three times the item's length,
     each beginning a length after the one before and judging the copies that begin in its middle third: it sees these whole, a task holds no
     more of a long document, and an item that stands often in it is met.
     """
@@ -397,12 +411,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
         coarse[(known >> np.uint64(44)).astype(np.int64)] = True
         wanted = spark.sparkContext.broadcast((known, coarse))
     right = items.select(F.col("id").alias("item_id"), F.col("text_key").alias("item_key"), F.col("pos").alias("item_pos"), F.col("words").alias("item_words"), "size", "h", F.col("slots").alias("item_slots"), F.col("n").alias("n_words"))
-    left = _windows(docs, "doc_id", "text", size, wanted, sizes) if sizes else _windows(docs.limit(0), "doc_id", "text", size)
+    whole = benchmark.select(F.col("item_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where("text != ''").distinct()
+    blocks = math.ceil((whole.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / WHOLE_BYTES)
+
+    def block(k: int):
+        own = whole.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k)
+        return spark.sparkContext.broadcast(Wholes([(r["id"], r["text"]) for r in own.collect()]))
+
+    if not sizes:
+        left = _windows(docs.limit(0), "doc_id", "text", size)
+    elif wanted is not None and blocks == 1:  # what is left of a document is little, and both searches are made in one reading
+        left = stored(_windows(docs, "doc_id", "text", size, wanted, sizes, block(0)), "windows")
+    else:
+        left = _windows(docs, "doc_id", "text", size, wanted, sizes)
+    stands = [left] if wanted is not None and blocks == 1 else [_windows(docs, "doc_id", "text", size, None, (), block(k)) for k in range(blocks)]
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("of"), b.alias("to")))
     item = ["id", "text_key", "item_id", "item_key", "n_words"]
     match = F.struct("item_pos", F.col("item_words").alias("words"), "pos", pairs.alias("pairs"))
     stride = F.greatest("n_words", F.lit(16).cast("long"))
-    met = left.select("id", "text_key", "size", "pos", "h", "slots").join(right, ["h", "size"]).select(*item, match.alias("m"), F.floor(F.col("pos") / stride).alias("at"))
+    met = left.where("size > 0").select("id", "text_key", "size", "pos", "h", "slots").join(right, ["h", "size"]).select(*item, match.alias("m"), F.floor(F.col("pos") / stride).alias("at"))
     stretches = met.select(*item, "m", F.explode(F.sequence(F.col("at") - 2, F.col("at"))).alias("stretch")).groupBy(*item, "stretch").agg(F.collect_set("m").alias("matches"))
     spec = "doc_id long, item_id long, n_windows long, n_matched long, coverage double"
 
@@ -418,45 +445,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["doc_id", "item_id", "n_windows", "n_matched", "coverage"])
 
     best = stretches.select("id", "item_id", "n_words", ((F.col("stretch") + 1) * stride).alias("low"), stride.alias("step"), "matches").mapInArrow(judge, spec)
-    for whole in _wholes(docs, benchmark, size):
-        best = best.union(whole)
+    n_windows = (F.col("n") - F.least(F.lit(size), F.col("n")) + 1).alias("n_windows")
+    for found in stands:
+        own = found.where("size = 0").select(F.col("id").alias("doc_id"), F.col("slots")[0].cast("long").alias("item_id"), n_windows, "n")
+        best = best.union(own.select("doc_id", "item_id", "n_windows", F.col("n_windows").alias("n_matched"), F.lit(1.0).alias("coverage")))
     return best.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "n_windows", "n_matched")).alias("b")).select("doc_id", "item_id", "b.n_windows", "b.n_matched", "b.coverage")
 
 
-def _wholes(docs: DataFrame, benchmark: DataFrame, size: int) -> list[DataFrame]:
-    """Rows as judged ones for items that stand whole in a document. Items come to the driver by blocks of WHOLE_BYTES of text and go to the tasks, which
-    read the documents once for each block."""
-    spark = docs.sparkSession
-    rows = benchmark.select(F.col("item_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where("text != ''").distinct()
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // WHOLE_BYTES)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    out = []
-    for k in range(blocks):
-        own = [(r["id"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).collect()]
-        sent = spark.sparkContext.broadcast(Wholes(own))
-
-        def run(batches, sent=sent):
-            begins("decontamination")
-            kinds, patterns, wholes = _Kinds(), {}, sent.value
-            for b in batches:
-                ids, column = b.column(0).to_pylist(), b.column(1).cast(pa.string())
-                weight = np.cumsum(pc.binary_length(column).to_numpy()).astype(np.int64)
-                at, rows = 0, []
-                while at < len(ids):
-                    to = max(at + 1, int(np.searchsorted(weight, (weight[at - 1] if at else 0) + (1 << 21))))
-                    t = _Templates(kinds, column.slice(at, to - at), signs=True)
-                    rows += [(ids[at + d], item_id, n - min(size, n) + 1, n - min(size, n) + 1, 1.0) for d, item_id, n in wholes.found_in(t, patterns)]
-                    at = to
-                    if len(kinds) > KNOWN_WORDS:
-                        kinds = _Kinds()
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], x) for i, x in enumerate(types)], names=["doc_id", "item_id", "n_windows", "n_matched", "coverage"])
-
-        out.append(docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).mapInArrow(run, "doc_id long, item_id long, n_windows long, n_matched long, coverage double"))
-    return out
-
-
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that hold a benchmark item, other rows as they are, repeated ones too. A row goes if its doc_id, or null, does; null and empty
     texts hold nothing. No rows, no result."""
