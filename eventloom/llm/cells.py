@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import ODD, begins, mixed, parts, total
+from eventloom.llm.common import ODD, begins, dealt_by, mixed, parts, tasks, total
 
 
 #: Bytes of text for each bucket of hashes: the number of buckets follows the corpus, so that a bucket's share of it doesn't grow.
@@ -30,11 +30,10 @@ def buckets_for(size: int, spark: SparkSession) -> int:
     return max(parts(spark), math.ceil(size / BUCKET_BYTES))
 
 
-def chunked(docs: DataFrame, size: int, mb: float = 2.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, of ``size`` bytes of text, dealt by a hash of id and text into chunks of about ``mb`` MB, given in the first column, ``chunk``."""
+def chunked(docs: DataFrame, size: int, mb: float = 2.0) -> DataFrame:
+    """docs, of ``size`` bytes of text, dealt by rows into chunks of about ``mb`` MB, given in the first column, ``chunk``."""
     n = max(1, math.ceil(size / (mb * 1e6)))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.pmod(F.xxhash64(F.col(id_col), F.octet_length(text)), F.lit(n)).cast("int").alias("chunk"), *docs.columns).repartition(parts(docs.sparkSession), "chunk")
+    return docs.select(dealt_by(n).alias("chunk"), *docs.columns).repartition(tasks(docs.sparkSession, size), "chunk")
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:

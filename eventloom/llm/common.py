@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -35,6 +36,21 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of text that a task takes from an exchange, beyond which there are more tasks than the session says.
+TASK_BYTES = 256e6
+
+
+def tasks(spark: SparkSession, size: int) -> int:
+    """Tasks for an exchange of so many bytes: as the session has it, more for a large one."""
+    return max(parts(spark), math.ceil(size / TASK_BYTES))
+
+
+def dealt_by(n: int):
+    """A number below n for each row of a stored table, by the row's place and not by its values, so that copies of a row, or rows without an id and
+    text, are spread like others. The same for a row each time that the table is read."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
+
+
 def words(text: bytes | None) -> list[bytes]:
     """Runs of other bytes than 0x20 and 0x09-0x0D. bytes.split() knows no other white space than these six."""
     return text.split() if text else []

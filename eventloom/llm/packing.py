@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import batches_of, cut
+from eventloom.llm.common import batches_of, cut, dealt_by
 from eventloom.llm.tokens import encoded
 
 
@@ -79,12 +79,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
 def pack(found: DataFrame, capacity: int = 2048, open_bins: int = 4096, group: int = 65_536) -> DataFrame:
     """``found`` with (sequence_id, offset): pieces share a sequence, gapless from offset 0, up to ``capacity`` tokens.
 
-    Pieces are dealt by a hash into groups of about ``group``, each packed by one task, longest pieces first: what is left over is a bin or
+    Pieces of a stored table are dealt by rows into groups of about ``group``, each packed by one task, longest pieces first: what is left over is a bin or
     two a group. A group's number is the upper half of its sequence ids. Full pieces close their bin at once. No pieces, no rows.
     """
     groups = max(1, round(found.count() / group))
     names = found.columns
-    dealt = found.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
+    dealt = found.withColumn("_group", dealt_by(groups))
     schema = None
 
     def run(batches):

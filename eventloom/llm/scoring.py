@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.cells import Split, bucket_of, buckets_for, sized, slices
-from eventloom.llm.common import ODD, begins, mixed, parts
+from eventloom.llm.common import ODD, begins, dealt_by, mixed, tasks
 
 DISCOUNT = 0.75
 #: Of the texts' compression: they are most of what is sent.
@@ -148,8 +148,8 @@ def fallen(names: np.ndarray, data: bytes) -> np.ndarray:
 _DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
 
-def _dealt(docs: DataFrame, n: int) -> DataFrame:
-    """(chunk, docs): documents dealt by a hash into ``n`` chunks; those that a task has for a chunk are one compressed blob."""
+def _dealt(docs: DataFrame, n: int, to: int) -> DataFrame:
+    """(chunk, docs): documents dealt by rows into ``n`` chunks and ``to`` tasks; those that a task has for a chunk are one compressed blob."""
     schema = pa.schema([("chunk", pa.int32()), ("docs", pa.binary())])
 
     def blob(rows: pa.RecordBatch) -> bytes:
@@ -166,8 +166,8 @@ def _dealt(docs: DataFrame, n: int) -> DataFrame:
             found = [(k, blob(rows.slice(s, e - s))) for k, s, e in slices(chunk[order])]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())], schema=schema)
 
-    rows = docs.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n)).cast("int").alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "chunk int, docs binary").repartition(parts(docs.sparkSession), "chunk")
+    rows = docs.select(dealt_by(n).alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "chunk int, docs binary").repartition(to, "chunk")
 
 
 def _joined(table: pa.Table, column: str, of, none=np.empty(0, np.int64)) -> np.ndarray:
@@ -235,7 +235,7 @@ class _Tokens:
             if self.keyed(depth):
                 names = self.name[self.pair_word].astype(np.uint64)
                 if max(self.pair_key.max(initial=0), names.max(initial=0)) >> np.uint64(NAME_BITS):
-                    raise ValueError("a word's number needs more bits; take more buckets")
+                    raise ValueError(f"with {self.v} words a word's number should have {NAME_BITS} bits")
                 keys = self.pair_key << np.uint64(NAME_BITS) | names
         order = np.lexsort((keys, bucket_of(hashes, self.buckets)))
         self.context_key = keys[order]
@@ -498,26 +498,30 @@ def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0,
     size = sized(docs)
     buckets, chunks = buckets_for(size, spark), max(1, math.ceil(size / (mb * 1e6)))
     share = max(LEAST_SHARE, min(MOST_SHARE, 1 / buckets))
-    by_chunk = _dealt(docs, chunks).groupBy("chunk")
-    every = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")
+    to = tasks(spark, size)
+    by_chunk = _dealt(docs, chunks, to).groupBy("chunk")
+
+    def to_every(row: DataFrame) -> DataFrame:
+        """One row, of totals or of the hot contexts (1 / LEAST_SHARE at most, 40 bytes each), to each chunk, from as many tasks as texts are dealt to."""
+        return spark.range(0, chunks, 1, to).select(F.col("id").cast("int").alias("chunk"), F.lit(0).alias("_one")).join(F.broadcast(row.withColumn("_one", F.lit(0))), "_one").drop("_one")
 
     def dealt(found: DataFrame, k: int, *columns) -> DataFrame:
         """Replies of a round as rows of one form, dealt as the texts are: a union of such parts needs no further exchange."""
         given = dict(columns)
         kinds = {"counts": "binary", "names": "binary", "n": "long", "v": "long", "pairs": "binary", "rest": "binary", "hot_pairs": "binary", "hot": _HOT}
-        return found.repartition(parts(spark), "chunk").select("chunk", given["bucket"].alias("bucket"), F.lit(k).alias("round"), *[given.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()])
+        return found.repartition(to, "chunk").select("chunk", given["bucket"].alias("bucket"), F.lit(k).alias("round"), *[given.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()])
 
     def named(*names):
         return [(c, F.col(c)) for c in names]
 
     counted = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket").applyInArrow(_count_words(buckets), _spec(_WORD_REPLY))
-    totals = counted.where(F.col("chunk") == ALL).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).select(every, "n", "v")
+    totals = counted.where(F.col("chunk") == ALL).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).transform(to_every)
     replies = dealt(counted.where(F.col("chunk") != ALL), 0, *named("bucket", "counts", "names")).union(dealt(totals, 0, ("bucket", F.lit(ALL)), *named("n", "v")))
     for k in range(1, depth + 1):
         cells = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_ask_pairs(buckets, k, least, bits, share), _spec(_PAIR_CELL))
         counted = cells.groupBy("bucket").applyInArrow(_count_pairs(bits, k), _spec(_PAIR_REPLY))
         sums = counted.where(F.col("chunk") == ALL).groupBy("h").agg(F.max("n").alias("n"), F.sum("m").alias("m"), F.sum("e").alias("e"), F.sum("g").alias("g"))
-        hot = sums.agg(F.collect_list(F.struct("h", "n", "m", "e", "g")).alias("hot")).select(every, "hot")  # 1 / share contexts at most
+        hot = sums.agg(F.collect_list(F.struct("h", "n", "m", "e", "g")).alias("hot")).transform(to_every)
         replies = replies.union(dealt(counted.where(F.col("chunk") != ALL), k, *named("bucket", "pairs", "rest", "hot_pairs"))).union(dealt(hot, k, ("bucket", F.lit(ALL)), *named("hot")))
 
     def finish(key, table, known):

@@ -301,6 +301,7 @@ def test_decontamination_without_broadcast(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "so one red fox ran over 12 km of the old hill"), (2, "one red fox ran")], "doc_id long, text string")
     a = by_id(decontamination.contaminated(docs, items))
     monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", -1)
+    monkeypatch.setattr(decontamination, "WHOLE_BYTES", 9)
     assert by_id(decontamination.contaminated(docs, items)) == a and len(a) == 1
 
 
@@ -362,3 +363,31 @@ def test_stages_keep_the_columns(spark, odd):
         assert got.columns == odd.columns, name
         assert got.count() >= 5 and stage(spark, odd.limit(0), "/root/testdata/sf0.001").count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, odd, "/root/testdata/sf0.001").count() >= 11
+
+
+def test_rows_that_come_again_are_spread(spark):
+    """100,000 rows without an id, and as many copies of one row: no chunk and no group has more than its share."""
+    from eventloom.llm.cells import chunked
+    from eventloom.llm.common import dealt_by
+
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("some words of a text").alias("text"))
+    chunks = chunked(docs, 2_000_000, 0.1).groupBy("chunk").count().collect()
+    assert len(chunks) == 20 and max(r["count"] for r in chunks) < 6000
+    found = docs.select("doc_id", F.lit(0).alias("piece"), F.lit(7).cast("long").alias("length"))
+    groups = [r["count"] for r in found.groupBy(dealt_by(10).alias("g")).count().collect()]
+    assert len(groups) == 10 and max(groups) < 11_000
+    places = packing.pack(found, 20, group=10_000).groupBy("sequence_id").agg(F.count("*").alias("n"), F.collect_set("offset").alias("at")).collect()
+    assert sum(r["n"] for r in places) == 100_000 and all(sorted(r["at"]) == [0, 7][: r["n"]] for r in places) and len(places) <= 50_010
+    assert packing.pack(found, 20, group=10_000).select(F.shiftright("sequence_id", 32).alias("g")).groupBy("g").count().agg(F.max("count")).first()[0] < 11_000
+
+
+def test_scoring_with_a_word_that_is_a_third_of_all(spark):
+    """A hot context's statistics go to every chunk: the same scores whether documents are one chunk or many."""
+    import random
+
+    rng = random.Random(4)
+    texts = [" ".join("the" if rng.random() < 0.33 else f"w{rng.randrange(40)}" for _ in range(60)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    few = {r["doc_id"]: r["score"] for r in scoring.scored(docs, mb=12.0).collect()}
+    many = {r["doc_id"]: r["score"] for r in scoring.scored(docs, mb=0.004).collect()}
+    assert few.keys() == many.keys() and all(abs(few[i] - many[i]) < 1e-9 for i in few)
