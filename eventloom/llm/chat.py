@@ -169,7 +169,11 @@ def threads(turns: DataFrame, tree: str = "conv_id", order: str = "turn", nulls:
 
 
 def read_back(found: DataFrame) -> DataFrame:
-    """(tree, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), from the formatted texts and their loss spans alone."""
+    """(tree, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), from the formatted texts and their loss spans alone.
+
+    A null tree stays null; a text without turns gives 0 turns and the hashes of nothing; repeated rows stay; no rows give none; columns besides tree, text
+    and loss_spans are left behind. A null text or null spans don't come from formatted(), and raise.
+    """
     import hashlib
 
     def run(batches):

@@ -56,7 +56,8 @@ class BestFit:
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): the pieces of at most ``capacity`` tokens of each text's ids and ``end_id``.
 
-    Null and empty texts are a piece of ``end_id`` alone. Repeated rows give repeated pieces.
+    Null and empty texts are a piece of ``end_id`` alone. Repeated rows give repeated pieces, and rows with a null id pieces with a null id. No rows, no
+    pieces; other columns are left behind.
     """
     spec = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.binary())] * keep_ids)

@@ -115,6 +115,7 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, block: i
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
-    """docs without those whose group has a smaller doc_id; rows without an id stay."""
+    """docs, with all their columns, without those whose group has a smaller doc_id; rows without an id stay. Null texts count as empty, and texts without
+    words are one group; repeated rows of an id stay or go together; no rows give none."""
     gone = near_duplicates(docs.where("doc_id IS NOT NULL"), radius, shingle).where("doc_id != component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -14,6 +14,7 @@ store is a folder with three Parquet tables:
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from functools import cache
 
@@ -25,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import parts
+from eventloom.llm.cells import sized
+from eventloom.llm.common import dealt_by, tasks
 from eventloom.llm.tokens import encoded_together
 
 LEAST, MOST, MEAN_BITS = 128, 4096, 9
@@ -110,6 +112,8 @@ def joined_crcs(crc: np.ndarray, length: np.ndarray, starts: np.ndarray) -> np.n
     return np.bitwise_xor.reduceat(_times(_shift(after - length - np.repeat(ends, np.diff(np.append(starts, len(crc))))), crc.astype(np.uint64)), starts) if len(crc) else crc
 
 
+#: Bytes of text for which a map task sends a payload once; copies of one chunk that a group may get.
+SENT_ONCE, COPIES = 4e6, 32_768
 _CHUNKS = pa.list_(pa.struct([("hash", pa.binary()), ("ids", pa.int32())]))
 _CHUNKS_SPEC = "array<struct<hash: binary, ids: int>>"
 _OBJECTS = pa.schema([("kind", pa.string()), ("hash", pa.binary()), ("ids", pa.int32()), ("payload", pa.binary()), ("doc_id", pa.int64()), ("row", pa.int64()), ("times", pa.int32()), ("chunks", _CHUNKS)])
@@ -210,12 +214,13 @@ def _assemble(batches):
         place, first = place + len(at), first + int(own.sum())
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, width: int = 2, id_col: str = "doc_id", text_col: str = "text", copies: int = COPIES) -> None:
     """Writes every text's ids and ``end_id``. Null and empty texts are ``end_id`` alone; repeated rows stay documents of their own; null ids come
     first. An empty table gives a store without documents.
 
     Texts are tokenized once. One exchange brings a chunk's copies together, each map task sending a payload once for some megabytes of text
-    however often it stands there, and no references, so that a frequent chunk is no large group. Recipes travel with them, spread by their
+    however often it stands there, and no references, so that a frequent chunk is no large group. Where the corpus is so large that a chunk of all texts
+    could come more than ``copies`` times all the same, an exchange before it brings its copies together in as many groups as keep below that. Recipes travel with them, spread by their
     document, and are put in order from what was written.
     """
     if width not in (2, 4):
@@ -223,11 +228,16 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, wid
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    objects = rows.mapInArrow(_cut_up(tokenizer, end_id, width), _OBJECTS_SPEC).repartition(parts(spark), "hash").sortWithinPartitions("kind", "hash")
+    objects = rows.mapInArrow(_cut_up(tokenizer, end_id, width), _OBJECTS_SPEC)
+    size = sized(docs, text_col)
+    to, salts = tasks(spark, size), math.ceil(size / SENT_ONCE / copies)
+    if salts > 1:
+        objects = objects.repartition(to, "hash", dealt_by(salts)).sortWithinPartitions("kind", "hash").mapInArrow(_once, _OBJECTS_SPEC)
+    objects = objects.repartition(to, "hash").sortWithinPartitions("kind", "hash")
     objects.mapInArrow(_once, _OBJECTS_SPEC).write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/chunks")
 
     met = spark.read.schema(_OBJECTS_SPEC).parquet(f"{path}/chunks").where("kind = 'recipe'").select("doc_id", "row", "times", "chunks")
-    met.repartitionByRange(parts(spark), "doc_id", "row").sortWithinPartitions("doc_id", "row").mapInArrow(_assemble, _RECIPE_SPEC).write.option("compression", "zstd").parquet(f"{path}/recipes")
+    met.repartitionByRange(to, "doc_id", "row").sortWithinPartitions("doc_id", "row").mapInArrow(_assemble, _RECIPE_SPEC).write.option("compression", "zstd").parquet(f"{path}/recipes")
 
     trees = _part_trees(spark.read.schema(_RECIPE_SPEC).parquet(f"{path}/recipes")).orderBy("part").collect()  # a row for each part: as many as tasks wrote
     whole, before, manifest = merkle([bytes(t["root"]) for t in trees]), 0, []

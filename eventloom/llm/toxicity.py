@@ -172,7 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries:
     that of the least text.
 
     The bound is on the fit alone; scoring takes all rows. Of the mined lexicon, the ``max_entries`` most telling entries by a likelihood ratio
-    are kept. Rows with a null id, label or text don't train; without both classes the model gives every text the training rate.
+    are kept. Rows with a null id, label or text don't train; without both classes, with empty ``docs`` or
+    empty ``labels`` among them, the model gives every text the training rate, a half if there are no labels. Other columns don't matter.
     """
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where(fold() != 0)
     n = usable.count()

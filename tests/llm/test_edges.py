@@ -365,6 +365,20 @@ def test_stages_keep_the_columns(spark, odd):
     assert corpus_pipeline.STAGES[-1][1](spark, odd, "/root/testdata/sf0.001").count() >= 11
 
 
+def test_a_chunk_that_every_batch_has_is_stored_once(spark, tmp_path):
+    """However many groups its copies first meet in."""
+    notice = " ".join(f"word{i % 97} of the notice {i}" for i in range(600))
+    docs = spark.createDataFrame([(i, f"{notice} text {i} " + f"own{i} " * 50) for i in range(60)], "doc_id long, text string").repartition(12)
+    found = {}
+    for copies in (1e-6, 32_768):
+        path = str(tmp_path / f"s{copies}")
+        store.write_store(docs, path, _tokenizer(), copies=copies)
+        chunks = spark.read.parquet(f"{path}/chunks").where("kind = 'chunk'")
+        assert chunks.groupBy("hash").count().agg(F.max("count")).first()[0] == 1
+        found[copies] = (sorted(bytes(r[0]) for r in chunks.select("hash").collect()), by_id(store.read_digests(spark, path)))
+    assert found[1e-6] == found[32_768] and len(found[1e-6][1]) == 60
+
+
 def test_rows_that_come_again_are_spread(spark):
     """100,000 rows without an id, and as many copies of one row: no chunk and no group has more than its share."""
     from eventloom.llm.cells import chunked
