@@ -42,7 +42,10 @@ _PAGES = """v AS (SELECT time_bucket(INTERVAL 12 HOURS, event_time, TIMESTAMP '1
 r AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY views DESC, path) AS rank FROM v)"""
 _STAGE = "CASE event_type WHEN 'page_view' THEN 0 WHEN 'add_to_cart' THEN 1 WHEN 'checkout_start' THEN 2 WHEN 'purchase' THEN 3 ELSE -1 END"
 _FURTHEST = f"f AS (SELECT anonymous_id, max({_STAGE}) AS stage FROM ev WHERE {_STAGE} >= 0 GROUP BY 1)"
-_REACHED = "s AS (SELECT count(*) FILTER (stage >= 0) AS views, count(*) FILTER (stage >= 1) AS add_to_cart, count(*) FILTER (stage >= 2) AS checkout_start, count(*) FILTER (stage >= 3) AS purchases FROM f)"
+_REACHED = (
+    "s AS (SELECT count(*) FILTER (stage >= 0) AS views, count(*) FILTER (stage >= 1) AS add_to_cart, count(*) FILTER "
+    "(stage >= 2) AS checkout_start, count(*) FILTER (stage >= 3) AS purchases FROM f)"
+)
 _VOLUME = """c AS (SELECT date_trunc('hour', event_time) AS b, count(*) AS x FROM ev GROUP BY 1),
 g AS (SELECT unnest(generate_series((SELECT min(b) FROM c), (SELECT max(b) FROM c), INTERVAL 1 HOUR)) AS b),
 vol AS (SELECT g.b AS bucket, coalesce(c.x, 0) AS observed, row_number() OVER (ORDER BY g.b) AS i FROM g LEFT JOIN c ON g.b = c.b)"""
@@ -61,7 +64,10 @@ lv AS (SELECT u.a AS anonymous_id, CASE WHEN u.a IN (SELECT a FROM h4) THEN 4 WH
 
 _REPORT = """n AS (SELECT count(*) FILTER (level >= 1) AS n1, count(*) FILTER (level >= 2) AS n2, count(*) FILTER (level >= 3) AS n3, count(*) FILTER (level >= 4) AS n4 FROM lv),
 rep AS (SELECT 'page_view' AS stage, n1 AS visitors, n1 AS top, NULL AS prev FROM n UNION ALL SELECT 'add_to_cart', n2, n1, n1 FROM n UNION ALL SELECT 'checkout_start', n3, n1, n2 FROM n UNION ALL SELECT 'purchase', n4, n1, n3 FROM n)"""
-_REPORT_OUT = "SELECT stage, visitors, round(CASE WHEN top = 0 THEN 0.0 ELSE visitors / top END, 6) AS conversion_from_top, round(CASE WHEN prev IS NULL THEN 1.0 WHEN prev = 0 THEN 0.0 ELSE visitors / prev END, 6) AS conversion_from_prev FROM rep"
+_REPORT_OUT = (
+    "SELECT stage, visitors, round(CASE WHEN top = 0 THEN 0.0 ELSE visitors / top END, 6) AS conversion_from_top, round(CASE "
+    "WHEN prev IS NULL THEN 1.0 WHEN prev = 0 THEN 0.0 ELSE visitors / prev END, 6) AS conversion_from_prev FROM rep"
+)
 
 
 def _sessions_sql(minutes: int) -> str:
@@ -145,7 +151,11 @@ def _latency(s, d, exact: bool) -> DataFrame:
 
 
 def _preset_sql(unit: str, n: int, start: str) -> str:
-    return f"WITH {EV} SELECT time_bucket(INTERVAL {n} {unit}, event_time, TIMESTAMP '1970-01-01') AS bucket, event_type, count(*) AS events FROM ev WHERE event_time >= TIMESTAMP '{start}' AND event_time < TIMESTAMP '2024-01-20' GROUP BY 1, 2"
+    return (
+        f"WITH {EV} SELECT time_bucket(INTERVAL {n} {unit}, event_time, TIMESTAMP '1970-01-01') AS bucket, event_type, count(*) "
+        f"AS events FROM ev WHERE event_time >= TIMESTAMP '{start}' AND event_time < TIMESTAMP '2024-01-20' GROUP BY 1, "
+        "2"
+    )
 
 
 def _read(s, d) -> DataFrame:
@@ -229,17 +239,37 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "s2_decode_good": (lambda s, d: _decoded(s, d, False), r"SELECT event_id, CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS k FROM events WHERE event_id % 7 <> 0"),
     "s2_decode_bad": (lambda s, d: _decoded(s, d, True), "SELECT event_id, '{broken ' || props AS value FROM events WHERE event_id % 7 = 0"),
     "s3_event_time": (_timed, "SELECT event_id, CASE WHEN event_id % 3 = 2 THEN ts WHEN event_id % 2 = 0 THEN ts + INTERVAL 1 SECOND ELSE ts + INTERVAL 2 SECOND END AS event_time FROM events"),
-    "s4_load_dimension": (_dimension, "SELECT id, price FROM (SELECT l_partkey AS id, CASE WHEN l_linenumber < 6 THEN l_extendedprice END AS price, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS r FROM lineitem) WHERE r = 1 AND price IS NOT NULL"),
-    "s5_event_rows": (lambda s, d: sinks.as_rows(clicks(s, d)).groupBy(F.col("event_date").cast("string").alias("event_date"), "event_type", "device_type").agg(F.count("*").alias("events"), F.max("ingested_at").alias("last_ingested")), f"WITH {EV} SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, event_type, device_type, count(*) AS events, max(ingested_at) AS last_ingested FROM ev GROUP BY 1, 2, 3"),
-    "s5_written_table": (_written, f"WITH {EV} SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS day, event_type, count(*) AS events, count(DISTINCT anonymous_id) AS visitors FROM ev WHERE event_time >= TIMESTAMP '2024-01-09' AND event_time < TIMESTAMP '2024-01-11' GROUP BY 1, 2"),
-    "s6_reject_reasons": (_reasons, f"WITH {EV} SELECT CASE WHEN n % 11 = 0 THEN 'missing anonymous_id' WHEN n % 13 = 0 THEN 'unknown event_type' WHEN n % 17 = 0 AND revenue > 0 THEN 'negative amount' END AS reason, count(*) AS events FROM ev GROUP BY 1"),
-    "s7_rollup_messages": (lambda s, d: sinks.as_messages(rollups.minute_metrics(clicks(s, d)).select("window_start", "events"), "window").select("key", F.get_json_object("value", "$.events").cast("long").alias("events")), f"WITH {EV} SELECT CAST(epoch_ms(date_trunc('minute', event_time)) AS VARCHAR) AS key, count(*) AS events FROM ev GROUP BY 1"),
+    "s4_load_dimension": (_dimension, (
+        "SELECT id, price FROM (SELECT l_partkey AS id, CASE WHEN l_linenumber < 6 THEN l_extendedprice END AS price, row_number() "
+        "OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS r FROM lineitem) "
+        "WHERE r = 1 AND price IS NOT NULL"
+    )),
+    "s5_event_rows": (lambda s, d: sinks.as_rows(clicks(s, d)).groupBy(F.col("event_date").cast("string").alias("event_date"), "event_type", "device_type").agg(F.count("*").alias("events"), F.max("ingested_at").alias("last_ingested")), (
+        f"WITH {EV} SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, event_type, device_type, count(*) AS "
+        "events, max(ingested_at) AS last_ingested FROM ev GROUP BY 1, 2, 3"
+    )),
+    "s5_written_table": (_written, (
+        f"WITH {EV} SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS day, event_type, count(*) AS events, count(DISTINCT "
+        "anonymous_id) AS visitors FROM ev WHERE event_time >= TIMESTAMP '2024-01-09' AND event_time < TIMESTAMP '2024-01-11' "
+        "GROUP BY 1, 2"
+    )),
+    "s6_reject_reasons": (_reasons, (
+        f"WITH {EV} SELECT CASE WHEN n % 11 = 0 THEN 'missing anonymous_id' WHEN n % 13 = 0 THEN 'unknown event_type' WHEN "
+        "n % 17 = 0 AND revenue > 0 THEN 'negative amount' END AS reason, count(*) AS events FROM ev GROUP BY 1"
+    )),
+    "s7_rollup_messages": (lambda s, d: sinks.as_messages(rollups.minute_metrics(clicks(s, d)).select("window_start", "events"), "window").select("key", F.get_json_object("value", "$.events").cast("long").alias("events")), (
+        f"WITH {EV} SELECT CAST(epoch_ms(date_trunc('minute', event_time)) AS VARCHAR) AS key, count(*) AS events FROM ev "
+        "GROUP BY 1"
+    )),
     "s8_apply_retention": (lambda s, d: sinks.apply_retention(clicks(s, d), AS_OF, 10).select("event_id", "event_time"), f"WITH {EV} SELECT event_id, event_time FROM ev WHERE event_time >= TIMESTAMP '2024-01-20'"),
     "p1_flatten": (lambda s, d: C.flatten(clicks(s, d)), f"WITH {EV} SELECT * EXCLUDE (n) FROM ev"),
     "p3_page_views": (lambda s, d: C.page_views(clicks(s, d)).select("event_id", "path"), f"WITH {EV} SELECT event_id, path FROM ev WHERE event_type = 'page_view'"),
     "p4_in_range": (lambda s, d: in_range(clicks(s, d), FROM, TO).select("event_id", "event_time"), f"WITH {EV} SELECT event_id, event_time FROM ev WHERE {_RANGE}"),
     "p5_of_type": (lambda s, d: of_type(clicks(s, d), "purchase").select("event_id", "revenue"), f"WITH {EV} SELECT event_id, revenue FROM ev WHERE event_type = 'purchase'"),
-    "p6_preset_7d": (lambda s, d: _preset(s, d, "7d"), f"WITH {EV} SELECT date_trunc('hour', event_time) AS bucket, event_type, count(*) AS events FROM ev WHERE event_time >= TIMESTAMP '2024-01-13' AND event_time < TIMESTAMP '2024-01-20' GROUP BY 1, 2"),
+    "p6_preset_7d": (lambda s, d: _preset(s, d, "7d"), (
+        f"WITH {EV} SELECT date_trunc('hour', event_time) AS bucket, event_type, count(*) AS events FROM ev WHERE event_time "
+        ">= TIMESTAMP '2024-01-13' AND event_time < TIMESTAMP '2024-01-20' GROUP BY 1, 2"
+    )),
     "p6_preset_24h": (lambda s, d: _preset(s, d, "24h"), _preset_sql("minute", 5, "2024-01-19")),
     "p6_preset_30d": (lambda s, d: _preset(s, d, "30d"), _preset_sql("day", 1, "2023-12-21")),
     "p6_preset_unknown": (lambda s, d: _preset(s, d, "no such range"), _preset_sql("minute", 5, "2024-01-19")),
@@ -247,21 +277,50 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "p7_bucket_day": (lambda s, d: clicks(s, d).select("event_id", bucket("event_time", "1d").alias("bucket")), f"WITH {EV} SELECT event_id, CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket FROM ev"),
     "p8_funnel_stage": (lambda s, d: clicks(s, d).select("event_id", C.funnel_stage().alias("stage")), f"WITH {EV} SELECT event_id, CAST({_STAGE} AS INTEGER) AS stage FROM ev"),
     "p10_output_key": (lambda s, d: C.with_output_key(rollups.sessionize(clicks(s, d), HALF_DAY), "session").select("key", "events"), f"SELECT session_id AS key, events FROM ({_sessions_sql(720)})"),
-    "p11_metrics_view": (lambda s, d: views.metrics_view(_metrics(s, d)), f"WITH {EV}, {_METRICS} SELECT window_start AS \"windowStart\", window_end AS \"windowEnd\", events, page_views AS \"pageViews\", add_to_cart AS \"addToCart\", checkout_start AS \"checkoutStart\", purchases, revenue FROM m"),
-    "p11_funnel_view": (lambda s, d: views.funnel_view(funnel.funnel_snapshot(clicks(s, d)).select("views", "add_to_cart", "checkout_start", "purchases")), f"WITH {EV}, {_FURTHEST}, {_REACHED} SELECT views, add_to_cart AS \"addToCart\", checkout_start AS \"checkoutStart\", purchases FROM s"),
+    "p11_metrics_view": (lambda s, d: views.metrics_view(_metrics(s, d)), (
+        f"WITH {EV}, {_METRICS} SELECT window_start AS \"windowStart\", window_end AS \"windowEnd\", events, page_views "
+        "AS \"pageViews\", add_to_cart AS \"addToCart\", checkout_start AS \"checkoutStart\", purchases, revenue FROM m"
+    )),
+    "p11_funnel_view": (lambda s, d: views.funnel_view(funnel.funnel_snapshot(clicks(s, d)).select("views", "add_to_cart", "checkout_start", "purchases")), (
+        f"WITH {EV}, {_FURTHEST}, {_REACHED} SELECT views, add_to_cart AS \"addToCart\", checkout_start AS \"checkoutStart\", "
+        "purchases FROM s"
+    )),
     "p11_topn_view": (_topn_view, f"WITH {EV}, {_PAGES} SELECT window_start AS \"windowStart\", window_start + INTERVAL 12 HOURS AS \"windowEnd\", rank, path, views FROM r WHERE rank <= 10"),
-    "p11_alerts_view": (lambda s, d: views.alerts_view(_alerts(s, d, 1.0)), f"SELECT alert_time AS \"alertTime\", observed, baseline_mean AS \"baselineMean\", baseline_stddev AS \"baselineStddev\", z_score AS \"zScore\", threshold_k AS \"thresholdK\", direction, baseline_samples AS \"baselineSamples\" FROM ({_ewma_sql(1.0)})"),
-    "p11_active_view": (lambda s, d: views.active_view(rollups.active_visitors(clicks(s, d), "6 hours")), f"WITH {EV}, {_ACTIVE} SELECT any_value(now) AS \"snapshotTime\", count(*) FILTER (t > now - INTERVAL 6 HOURS) AS \"activeSessions\", CAST(21600 AS BIGINT) AS \"windowSeconds\" FROM l, x"),
-    "p12_on_time": (lambda s, d: olap.on_time(clicks(s, d)).select("event_id", olap.latency_ms().alias("ms")), f"WITH {EV} SELECT event_id, epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 BETWEEN 0 AND 2000"),
-    "j1_enrich": (lambda s, d: enrich(clicks(s, d), products(s, d)).select("event_id", "event_type", "product_id", "product_category", "product_ref_price", "device_type", "geo_country"), f"WITH {EV} SELECT event_id, event_type, product_id, p_type AS product_category, p_retailprice AS product_ref_price, device_type, geo_country FROM ev LEFT JOIN part ON p_partkey % 2 = 0 AND CAST(p_partkey AS VARCHAR) = product_id"),
+    "p11_alerts_view": (lambda s, d: views.alerts_view(_alerts(s, d, 1.0)), (
+        "SELECT alert_time AS \"alertTime\", observed, baseline_mean AS \"baselineMean\", baseline_stddev AS \"baselineStddev\", "
+        "z_score AS \"zScore\", threshold_k AS \"thresholdK\", direction, baseline_samples AS \"baselineSamples\" FROM "
+        f"({_ewma_sql(1.0)})"
+    )),
+    "p11_active_view": (lambda s, d: views.active_view(rollups.active_visitors(clicks(s, d), "6 hours")), (
+        f"WITH {EV}, {_ACTIVE} SELECT any_value(now) AS \"snapshotTime\", count(*) FILTER (t > now - INTERVAL 6 HOURS) AS "
+        "\"activeSessions\", CAST(21600 AS BIGINT) AS \"windowSeconds\" FROM l, x"
+    )),
+    "p12_on_time": (lambda s, d: olap.on_time(clicks(s, d)).select("event_id", olap.latency_ms().alias("ms")), (
+        f"WITH {EV} SELECT event_id, epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE epoch_us(ingested_at) "
+        "// 1000 - epoch_us(event_time) // 1000 BETWEEN 0 AND 2000"
+    )),
+    "j1_enrich": (lambda s, d: enrich(clicks(s, d), products(s, d)).select("event_id", "event_type", "product_id", "product_category", "product_ref_price", "device_type", "geo_country"), (
+        f"WITH {EV} SELECT event_id, event_type, product_id, p_type AS product_category, p_retailprice AS product_ref_price, "
+        "device_type, geo_country FROM ev LEFT JOIN part ON p_partkey % 2 = 0 AND CAST(p_partkey AS VARCHAR) = product_id"
+    )),
     "a1_minute_metrics": (_metrics, f"WITH {EV}, {_METRICS} SELECT * FROM m"),
     "a2_page_views_per_window": (lambda s, d: rollups.page_views_per_window(clicks(s, d), HALF_DAY).select(F.col("window.start").alias("window_start"), "path", "views"), f"WITH {EV}, {_PAGES} SELECT window_start, path, views FROM v"),
     "a3_topn_pages": (lambda s, d: _long(rollups.topn_pages(clicks(s, d), 10, HALF_DAY)), f"WITH {EV}, {_PAGES} SELECT window_start, rank, path, views FROM r WHERE rank <= 10"),
     "a4_sessions_30m": (lambda s, d: _sessions(s, d, "30 minutes"), _sessions_sql(30)),
     "a4_sessions_6h": (lambda s, d: _sessions(s, d, "6 hours"), _sessions_sql(360)),
     "a5_furthest_stage": (lambda s, d: funnel.furthest_stage(clicks(s, d)), f"WITH {EV}, {_FURTHEST} SELECT anonymous_id, CAST(stage AS INTEGER) AS stage FROM f"),
-    "a6_funnel_snapshot": (_snapshot, f"WITH {EV}, {_FURTHEST}, {_REACHED} SELECT views, add_to_cart, checkout_start, purchases, round(CASE WHEN views = 0 THEN 0.0 ELSE add_to_cart / views END, 6) AS view_to_cart_rate, round(CASE WHEN add_to_cart = 0 THEN 0.0 ELSE checkout_start / add_to_cart END, 6) AS cart_to_checkout_rate, round(CASE WHEN checkout_start = 0 THEN 0.0 ELSE purchases / checkout_start END, 6) AS checkout_to_purchase_rate, round(CASE WHEN views = 0 THEN 0.0 ELSE purchases / views END, 6) AS overall_conversion_rate FROM s"),
-    "a7_active_visitors": (lambda s, d: rollups.active_visitors(clicks(s, d), "6 hours"), f"WITH {EV}, l AS (SELECT anonymous_id, max(event_time) AS t FROM ev GROUP BY 1), x AS (SELECT max(t) AS now FROM l) SELECT any_value(now) AS snapshot_time, count(*) FILTER (t > now - INTERVAL 6 HOURS) AS active_sessions, CAST(21600 AS BIGINT) AS window_seconds FROM l, x"),
+    "a6_funnel_snapshot": (_snapshot, (
+        f"WITH {EV}, {_FURTHEST}, {_REACHED} SELECT views, add_to_cart, checkout_start, purchases, round(CASE WHEN views "
+        "= 0 THEN 0.0 ELSE add_to_cart / views END, 6) AS view_to_cart_rate, round(CASE WHEN add_to_cart = 0 THEN 0.0 ELSE "
+        "checkout_start / add_to_cart END, 6) AS cart_to_checkout_rate, round(CASE WHEN checkout_start = 0 THEN 0.0 ELSE "
+        "purchases / checkout_start END, 6) AS checkout_to_purchase_rate, round(CASE WHEN views = 0 THEN 0.0 ELSE purchases "
+        "/ views END, 6) AS overall_conversion_rate FROM s"
+    )),
+    "a7_active_visitors": (lambda s, d: rollups.active_visitors(clicks(s, d), "6 hours"), (
+        f"WITH {EV}, l AS (SELECT anonymous_id, max(event_time) AS t FROM ev GROUP BY 1), x AS (SELECT max(t) AS now FROM "
+        "l) SELECT any_value(now) AS snapshot_time, count(*) FILTER (t > now - INTERVAL 6 HOURS) AS active_sessions, CAST(21600 "
+        "AS BIGINT) AS window_seconds FROM l, x"
+    )),
     "a8_volume_buckets": (lambda s, d: rollups.volume_buckets(clicks(s, d), "1 hour"), f"WITH {EV}, {_VOLUME} SELECT bucket, observed FROM vol"),
     "a9_ewma_alerts": (lambda s, d: _alerts(s, d, 3.0), _ewma_sql(3.0)),
     "a9_ewma_alerts_k1": (lambda s, d: _alerts(s, d, 1.0), _ewma_sql(1.0)),
@@ -269,9 +328,19 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
     "a10_window_funnel_1d": (lambda s, d: funnel.window_funnel(clicks(s, d), window_seconds=DAY), f"WITH {EV}, {_levels_sql(DAY)} SELECT anonymous_id, CAST(level AS INTEGER) AS level FROM lv"),
     "a11_funnel_report_30m": (lambda s, d: _report(s, d, 1800), f"WITH {EV}, {_levels_sql(1800, _RANGE)}, {_REPORT} {_REPORT_OUT}"),
     "a11_funnel_report_1d": (lambda s, d: _report(s, d, DAY), f"WITH {EV}, {_levels_sql(DAY, _RANGE)}, {_REPORT} {_REPORT_OUT}"),
-    "a12_unique_visitors": (lambda s, d: olap.unique_visitors(clicks(s, d), FROM, TO, "hour", exact=True), f"WITH {EV} SELECT date_trunc('hour', event_time) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors FROM ev WHERE {_RANGE} GROUP BY 1"),
-    "a12_unique_visitors_approx": (lambda s, d: _sketched(s, d), f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors, TRUE AS within FROM ev WHERE {_RANGE} GROUP BY 1"),
-    "a13_retention": (lambda s, d: olap.retention(clicks(s, d).where(F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz")), [F.col("event_time") < F.lit("2024-01-02").cast("timestamp_ntz"), (F.col("event_time") >= F.lit("2024-01-02").cast("timestamp_ntz")) & (F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz"))]), f"WITH {EV}, b AS (SELECT anonymous_id, max(CASE WHEN event_time < TIMESTAMP '2024-01-02' THEN 1 ELSE 0 END) AS c0, max(CASE WHEN event_time >= TIMESTAMP '2024-01-02' AND event_time < TIMESTAMP '2024-01-03' THEN 1 ELSE 0 END) AS c1 FROM ev GROUP BY 1) SELECT CAST(sum(c0) AS BIGINT) AS r0, CAST(sum(c0 * c1) AS BIGINT) AS r1 FROM b"),
+    "a12_unique_visitors": (lambda s, d: olap.unique_visitors(clicks(s, d), FROM, TO, "hour", exact=True), (
+        f"WITH {EV} SELECT date_trunc('hour', event_time) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors FROM "
+        f"ev WHERE {_RANGE} GROUP BY 1"
+    )),
+    "a12_unique_visitors_approx": (lambda s, d: _sketched(s, d), (
+        f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors, "
+        f"TRUE AS within FROM ev WHERE {_RANGE} GROUP BY 1"
+    )),
+    "a13_retention": (lambda s, d: olap.retention(clicks(s, d).where(F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz")), [F.col("event_time") < F.lit("2024-01-02").cast("timestamp_ntz"), (F.col("event_time") >= F.lit("2024-01-02").cast("timestamp_ntz")) & (F.col("event_time") < F.lit("2024-01-03").cast("timestamp_ntz"))]), (
+        f"WITH {EV}, b AS (SELECT anonymous_id, max(CASE WHEN event_time < TIMESTAMP '2024-01-02' THEN 1 ELSE 0 END) AS "
+        "c0, max(CASE WHEN event_time >= TIMESTAMP '2024-01-02' AND event_time < TIMESTAMP '2024-01-03' THEN 1 ELSE 0 END) "
+        "AS c1 FROM ev GROUP BY 1) SELECT CAST(sum(c0) AS BIGINT) AS r0, CAST(sum(c0 * c1) AS BIGINT) AS r1 FROM b"
+    )),
     "a12_visitors_from_sketches": (
         _visitors_of_rollup,
         f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, count(DISTINCT anonymous_id) AS unique_visitors, TRUE AS within FROM ev WHERE {_RANGE} GROUP BY 1",
@@ -282,19 +351,55 @@ REGISTERED: dict[str, tuple[Query, str | None]] = {
         "SELECT count(*) AS samples, max(ms) AS max_ms, round(avg(ms), 1) AS avg_ms, TRUE AS within FROM x WHERE ms BETWEEN 0 AND 2000",
     ),
     "a14_timeseries": (_series, f"WITH {EV}, {_SERIES} SELECT * FROM ts"),
-    "a14_timeseries_purchase": (lambda s, d: olap.timeseries(clicks(s, d), FROM, TO, "1d", "purchase"), f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, event_type, count(*) AS events FROM ev WHERE {_RANGE} AND event_type = 'purchase' GROUP BY 1, 2"),
-    "a15_top_pages": (lambda s, d: olap.top_pages(clicks(s, d), FROM, TO, 8), f"WITH {EV} SELECT path, count(*) AS views FROM ev WHERE {_RANGE} AND event_type = 'page_view' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8"),
-    "a16_latency_profile": (lambda s, d: _latency(s, d, True), f"WITH {EV}, x AS (SELECT epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE ingested_at > TIMESTAMP '2024-01-13' AND ingested_at <= TIMESTAMP '2024-01-20') SELECT count(*) AS samples, CAST(round(quantile_cont(ms, 0.5)) AS BIGINT) AS p50, CAST(round(quantile_cont(ms, 0.95)) AS BIGINT) AS p95, CAST(round(quantile_cont(ms, 0.99)) AS BIGINT) AS p99, max(ms) AS max_ms, round(avg(ms), 1) AS avg_ms FROM x WHERE ms BETWEEN 0 AND 2000"),
-    "a16_latency_profile_approx": (_near_percentiles, f"WITH {EV}, x AS (SELECT epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE ingested_at > TIMESTAMP '2024-01-13' AND ingested_at <= TIMESTAMP '2024-01-20') SELECT count(*) AS samples, max(ms) AS max_ms, round(avg(ms), 1) AS avg_ms, TRUE AS within FROM x WHERE ms BETWEEN 0 AND 2000"),
+    "a14_timeseries_purchase": (lambda s, d: olap.timeseries(clicks(s, d), FROM, TO, "1d", "purchase"), (
+        f"WITH {EV} SELECT CAST(date_trunc('day', event_time) AS TIMESTAMP) AS bucket, event_type, count(*) AS events FROM "
+        f"ev WHERE {_RANGE} AND event_type = 'purchase' GROUP BY 1, 2"
+    )),
+    "a15_top_pages": (lambda s, d: olap.top_pages(clicks(s, d), FROM, TO, 8), (
+        f"WITH {EV} SELECT path, count(*) AS views FROM ev WHERE {_RANGE} AND event_type = 'page_view' GROUP BY 1 ORDER "
+        "BY 2 DESC, 1 LIMIT 8"
+    )),
+    "a16_latency_profile": (lambda s, d: _latency(s, d, True), (
+        f"WITH {EV}, x AS (SELECT epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE ingested_at "
+        "> TIMESTAMP '2024-01-13' AND ingested_at <= TIMESTAMP '2024-01-20') SELECT count(*) AS samples, CAST(round(quantile_cont(ms, "
+        "0.5)) AS BIGINT) AS p50, CAST(round(quantile_cont(ms, 0.95)) AS BIGINT) AS p95, CAST(round(quantile_cont(ms, 0.99)) "
+        "AS BIGINT) AS p99, max(ms) AS max_ms, round(avg(ms), 1) AS avg_ms FROM x WHERE ms BETWEEN 0 AND 2000"
+    )),
+    "a16_latency_profile_approx": (_near_percentiles, (
+        f"WITH {EV}, x AS (SELECT epoch_us(ingested_at) // 1000 - epoch_us(event_time) // 1000 AS ms FROM ev WHERE ingested_at "
+        "> TIMESTAMP '2024-01-13' AND ingested_at <= TIMESTAMP '2024-01-20') SELECT count(*) AS samples, max(ms) AS max_ms, "
+        "round(avg(ms), 1) AS avg_ms, TRUE AS within FROM x WHERE ms BETWEEN 0 AND 2000"
+    )),
     "a17_profile": (lambda s, d: olap.profile(clicks(s, d)), f"WITH {EV} SELECT count(*) AS events, count(DISTINCT anonymous_id) AS visitors FROM ev"),
-    "a18_throughput": (lambda s, d: _rounded(olap.throughput(clicks(s, d), sample="1 hour"), "events_per_second"), f"WITH {EV} SELECT date_trunc('hour', event_time) AS sample_start, count(*) AS events, round(count(*) / 3600, 6) AS events_per_second FROM ev GROUP BY 1"),
-    "a18_mean_throughput": (lambda s, d: _rounded(olap.mean_throughput(olap.throughput(clicks(s, d), sample="1 hour")), "mean_events_per_second"), f"WITH {EV}, t AS (SELECT count(*) / 3600 AS r FROM ev GROUP BY date_trunc('hour', event_time)) SELECT count(*) AS samples, round(avg(r), 6) AS mean_events_per_second FROM t"),
+    "a18_throughput": (lambda s, d: _rounded(olap.throughput(clicks(s, d), sample="1 hour"), "events_per_second"), (
+        f"WITH {EV} SELECT date_trunc('hour', event_time) AS sample_start, count(*) AS events, round(count(*) / 3600, 6) "
+        "AS events_per_second FROM ev GROUP BY 1"
+    )),
+    "a18_mean_throughput": (lambda s, d: _rounded(olap.mean_throughput(olap.throughput(clicks(s, d), sample="1 hour")), "mean_events_per_second"), (
+        f"WITH {EV}, t AS (SELECT count(*) / 3600 AS r FROM ev GROUP BY date_trunc('hour', event_time)) SELECT count(*) "
+        "AS samples, round(avg(r), 6) AS mean_events_per_second FROM t"
+    )),
     "a19_total_series": (lambda s, d: olap.total_series(_series(s, d)), f"WITH {EV}, {_SERIES} SELECT bucket, CAST(sum(events) AS BIGINT) AS events FROM ts GROUP BY 1"),
     "a20_event_types": (lambda s, d: olap.event_types(_series(s, d)), f"WITH {EV}, {_SERIES} SELECT DISTINCT event_type FROM ts"),
-    "a21_live_gauges": (lambda s, d: views.live_gauges(_metrics(s, d)), f"WITH {EV}, {_METRICS} SELECT window_start, CAST(floor(events / 60 + 0.5) AS BIGINT) AS events_per_sec, purchases AS conversions_per_min FROM m ORDER BY window_start DESC LIMIT 1"),
-    "a22_kpis": (lambda s, d: _rounded(funnel.kpis(_report(s, d, DAY)), "cart_rate", "conversion_rate"), f"WITH {EV}, {_levels_sql(DAY, _RANGE)}, {_REPORT} SELECT n1 AS view_visitors, n2 AS cart_visitors, n4 AS purchase_visitors, round(CASE WHEN n1 = 0 THEN 0.0 ELSE n2 / n1 END, 6) AS cart_rate, round(CASE WHEN n1 = 0 THEN 0.0 ELSE n4 / n1 END, 6) AS conversion_rate FROM n"),
-    "w5_share_of_leader": (lambda s, d: _rounded(views.share_of_leader(rollups.rank_pages(rollups.page_views_per_window(clicks(s, d), HALF_DAY))), "share").select("window_start", F.col("rank").cast("long").alias("rank"), "path", "share"), f"WITH {EV}, {_PAGES} SELECT window_start, rank, path, round(views / first(views) OVER (PARTITION BY window_start ORDER BY rank), 6) AS share FROM r WHERE rank <= 10"),
-    "w6_share_of_views": (lambda s, d: _rounded(views.share_of_views(funnel.funnel_snapshot(clicks(s, d))), "share"), f"WITH {EV}, {_FURTHEST}, {_REACHED}, x AS (SELECT 'views' AS stage, views AS visitors, views FROM s UNION ALL SELECT 'add_to_cart', add_to_cart, views FROM s UNION ALL SELECT 'checkout_start', checkout_start, views FROM s UNION ALL SELECT 'purchases', purchases, views FROM s) SELECT stage, visitors, round(CASE WHEN views > 0 THEN visitors / views ELSE 0.0 END, 6) AS share FROM x"),
+    "a21_live_gauges": (lambda s, d: views.live_gauges(_metrics(s, d)), (
+        f"WITH {EV}, {_METRICS} SELECT window_start, CAST(floor(events / 60 + 0.5) AS BIGINT) AS events_per_sec, purchases "
+        "AS conversions_per_min FROM m ORDER BY window_start DESC LIMIT 1"
+    )),
+    "a22_kpis": (lambda s, d: _rounded(funnel.kpis(_report(s, d, DAY)), "cart_rate", "conversion_rate"), (
+        f"WITH {EV}, {_levels_sql(DAY, _RANGE)}, {_REPORT} SELECT n1 AS view_visitors, n2 AS cart_visitors, n4 AS purchase_visitors, "
+        "round(CASE WHEN n1 = 0 THEN 0.0 ELSE n2 / n1 END, 6) AS cart_rate, round(CASE WHEN n1 = 0 THEN 0.0 ELSE n4 / n1 "
+        "END, 6) AS conversion_rate FROM n"
+    )),
+    "w5_share_of_leader": (lambda s, d: _rounded(views.share_of_leader(rollups.rank_pages(rollups.page_views_per_window(clicks(s, d), HALF_DAY))), "share").select("window_start", F.col("rank").cast("long").alias("rank"), "path", "share"), (
+        f"WITH {EV}, {_PAGES} SELECT window_start, rank, path, round(views / first(views) OVER (PARTITION BY window_start "
+        "ORDER BY rank), 6) AS share FROM r WHERE rank <= 10"
+    )),
+    "w6_share_of_views": (lambda s, d: _rounded(views.share_of_views(funnel.funnel_snapshot(clicks(s, d))), "share"), (
+        f"WITH {EV}, {_FURTHEST}, {_REACHED}, x AS (SELECT 'views' AS stage, views AS visitors, views FROM s UNION ALL SELECT "
+        "'add_to_cart', add_to_cart, views FROM s UNION ALL SELECT 'checkout_start', checkout_start, views FROM s UNION "
+        "ALL SELECT 'purchases', purchases, views FROM s) SELECT stage, visitors, round(CASE WHEN views > 0 THEN visitors "
+        "/ views ELSE 0.0 END, 6) AS share FROM x"
+    )),
     "l5_recent_metrics": (lambda s, d: views.recent_metrics(_metrics(s, d)), f"WITH {EV}, {_METRICS} SELECT * FROM m ORDER BY window_start DESC LIMIT 30"),
     "l6_recent_alerts": (lambda s, d: views.recent_alerts(_alerts(s, d, 1.0)), f"SELECT * FROM ({_ewma_sql(1.0)}) ORDER BY alert_time DESC LIMIT 20"),
 }
