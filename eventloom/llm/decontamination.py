@@ -383,6 +383,25 @@ def judged(matches: list[tuple[int, int, int, tuple[tuple[str, str], ...]]], n:
     return best
 
 
+def _with_rarity(items: DataFrame, share: float, run: int) -> DataFrame:
+    """items with ``rare``: whether a window proposes its item. Windows are taken from those that most items hold on; as long as what they cover together
+    is less than ``share`` of the item's words and has no ``run`` in a row, no document holds the item by these alone. The others propose it."""
+    held = items.groupBy("h", "size").agg(F.count_distinct("id", "text_key").alias("held"))
+    schema = pa.schema([*_SCHEMA, ("rare", pa.bool_())])
+
+    def mark(table: pa.Table) -> pa.Table:
+        n, pos, words = table.column("n")[0].as_py(), table.column("pos").to_numpy(), table.column("words").to_numpy()
+        rare, covered = np.ones(table.num_rows, bool), set()
+        for i in np.lexsort((pos, -table.column("held").to_numpy())).tolist():
+            covered.update(range(pos[i], pos[i] + words[i]))
+            if len(covered) >= share * n or _longest(covered) >= run:
+                break
+            rare[i] = False
+        return table.drop_columns(["held"]).append_column("rare", pa.array(rare)).cast(schema)
+
+    return items.join(held, ["h", "size"]).select(*_SCHEMA.names, "held").groupBy("id", "text_key").applyInArrow(mark, f"{_SPEC}, rare boolean")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8, run: int = 13) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, coverage): the documents that hold an item of ``benchmark``(item_id, text), with that item.
 
@@ -401,7 +420,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
     more of a long document, and an item that stands often in it is met.
     """
     spark = docs.sparkSession
-    items = cut(_windows(benchmark, "item_id", "text", size))
+    items = cut(_with_rarity(_windows(benchmark, "item_id", "text", size), share, run))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most ``size`` of them
     wanted = None
     distinct = items.select("h").distinct()
@@ -410,7 +429,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
         coarse = np.zeros(1 << 20, bool)
         coarse[(known >> np.uint64(44)).astype(np.int64)] = True
         wanted = spark.sparkContext.broadcast((known, coarse))
-    right = items.select(F.col("id").alias("item_id"), F.col("text_key").alias("item_key"), F.col("pos").alias("item_pos"), F.col("words").alias("item_words"), "size", "h", F.col("slots").alias("item_slots"), F.col("n").alias("n_words"))
+    right = items.select(F.col("id").alias("item_id"), F.col("text_key").alias("item_key"), F.col("pos").alias("item_pos"), F.col("words").alias("item_words"), "size", "h", F.col("slots").alias("item_slots"), F.col("n").alias("n_words"), "rare")
     whole = benchmark.select(F.col("item_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where("text != ''").distinct()
     blocks = math.ceil((whole.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / WHOLE_BYTES)
 
@@ -423,13 +442,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: fl
     elif wanted is not None and blocks == 1:  # what is left of a document is little, and both searches are made in one reading
         left = stored(_windows(docs, "doc_id", "text", size, wanted, sizes, block(0)), "windows")
     else:
-        left = _windows(docs, "doc_id", "text", size, wanted, sizes)
+        left = stored(_windows(docs, "doc_id", "text", size, wanted, sizes).join(items.select("h", "size").distinct(), ["h", "size"], "left_semi"), "windows")
     stands = [left] if wanted is not None and blocks == 1 else [_windows(docs, "doc_id", "text", size, None, (), block(k)) for k in range(blocks)]
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("of"), b.alias("to")))
     item = ["id", "text_key", "item_id", "item_key", "n_words"]
     match = F.struct("item_pos", F.col("item_words").alias("words"), "pos", pairs.alias("pairs"))
     stride = F.greatest("n_words", F.lit(16).cast("long"))
-    met = left.where("size > 0").select("id", "text_key", "size", "pos", "h", "slots").join(right, ["h", "size"]).select(*item, match.alias("m"), F.floor(F.col("pos") / stride).alias("at"))
+    # A phrase of many items says little: rare windows propose an item for a document, and of the others only those of proposed pairs are joined.
+    own = left.where("size > 0").select("id", "text_key", "size", "pos", "h", "slots")
+    rare = own.join(right.where("rare"), ["h", "size"]).select(*item, match.alias("m"), "pos")
+    pair = ["id", "text_key", "item_id", "item_key"]
+    proposed = rare.select(*[F.col(c).alias(f"p_{c}") for c in pair]).distinct()
+    others = right.where("NOT rare")
+    others = others.join(proposed, others["item_id"].eqNullSafe(F.col("p_item_id")) & (others["item_key"] == F.col("p_item_key"))).withColumnsRenamed({"h": "p_h", "size": "p_size"})
+    common = own.join(others, own["id"].eqNullSafe(F.col("p_id")) & (own["text_key"] == F.col("p_text_key")) & (own["h"] == F.col("p_h")) & (own["size"] == F.col("p_size")))
+    met = rare.union(common.select(*item, match.alias("m"), "pos")).select(*item, "m", F.floor(F.col("pos") / stride).alias("at"))
     stretches = met.select(*item, "m", F.explode(F.sequence(F.col("at") - 2, F.col("at"))).alias("stretch")).groupBy(*item, "stretch").agg(F.collect_set("m").alias("matches"))
     spec = "doc_id long, item_id long, n_windows long, n_matched long, coverage double"
 

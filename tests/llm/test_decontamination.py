@@ -113,6 +113,19 @@ def test_against_plain_templates(spark):
     assert want and want <= got and len(got - want) <= 0.02 * len(want) + 1
 
 
+def test_common_phrases_alone_propose_nothing(spark):
+    """Many items begin and end alike; documents full of that hold none of them, whole items are found all the same."""
+    items = [f"Which of the following is the best known name of the {a} {b} that was kept in the old stone tower of the king" for a in ("green", "blue", "dry", "wet", "tall") for b in ("cat", "dog", "fox")]
+    phrase = "Which of the following is the best known name of the"
+    texts = [f"{phrase} day. " * 30, f"so {items[7]} and on", f"{phrase} red cow that was kept in the old stone tower"]
+    got = found(spark, texts, items)
+    assert {(d, i) for d, i in got if d == 0} == set() and (1, 7) in got
+    every = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    marked = D._with_rarity(D._windows(every, "item_id", "text", 5), 0.8, 13)
+    shared = {r["h"] for r in marked.groupBy("h").count().where("count > 5").collect()}
+    assert len(shared) > 8 and all(not r["rare"] for r in marked.collect() if r["h"] in shared and r["pos"] < 4)
+
+
 TEMPLATES = [
     "{A} has {1} apples. {B} buys {2} apples from {A} on Monday. {A} eats {3} pears later. How many apples does {A} have left?",
     "A train leaves {A} at {1} and travels {2} km to {B}. Another train leaves {B} an hour later. Where do the trains from {A} and {B} meet?",
