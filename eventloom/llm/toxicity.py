@@ -173,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries:
 
     The bound is on the fit alone; scoring takes all rows. Of the mined lexicon, the ``max_entries`` most telling entries by a likelihood ratio
     are kept. Rows with a null id, label or text don't train; without both classes, with empty ``docs`` or
-    empty ``labels`` among them, the model gives every text the training rate, a half if there are no labels. Other columns don't matter.
+    empty ``labels`` among them, the model gives every text the training rate, drawn towards a quarter, which it is if there are no labels. Other columns don't matter.
     """
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where(fold() != 0)
     n = usable.count()
@@ -207,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_entries:
     totals = sample.agg(F.sum("toxic"), F.count("*")).first()
     toxic, clean = float(totals[0] or 0), float(totals[1] - (totals[0] or 0))
     if not toxic or not clean:
-        rate = (toxic + 0.5) / (toxic + clean + 1)
+        rate = (toxic + 0.5) / (toxic + clean + 2)  # nothing is rejected for want of labels
         return Model([], np.zeros(len(PATTERNS)), float(np.log(rate / (1 - rate))))
     counted = sample.mapInArrow(mine, "entry string, t long, c long").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     t, c = F.col("t") / toxic, F.col("c") / clean

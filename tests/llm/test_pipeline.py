@@ -83,3 +83,16 @@ def test_toxicity_stage_keeps_what_the_query_accepts(spark):
     kept = drop_toxic(docs, labels)
     accepted = {r.doc_id for r in Q.op8_toxicity(spark, DIR).where("predicted = 0").select("doc_id").collect()}
     assert kept.columns == docs.columns and {r.doc_id for r in kept.select("doc_id").collect()} == accepted
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    """No documents; and documents without labels and benchmark, of which only copies go."""
+    import corpus_pipeline
+
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{DIR}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"none/{name}.parquet"))
+        spark.read.parquet(f"{DIR}/{name}.parquet").limit(0 if name != "documents" else 20).write.parquet(str(tmp_path / f"some/{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    kept = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path / "some")).select("doc_id").collect()}
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(str(tmp_path / "some/documents.parquet")).collect()}
+    assert kept == set(without_near_copies(docs))
