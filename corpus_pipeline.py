@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm.decontamination import drop_contaminated
-from eventloom.llm.minhash import drop_near_duplicates
 from eventloom.llm.packing import packed
+from eventloom.llm.simhash import drop_similar
 from eventloom.llm.substring import deduplicated
 from eventloom.llm.toxicity import drop_toxic
 from eventloom.sources.shared import new_folder, remove_folder
@@ -23,9 +23,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group linked by a Jaccard similarity of 0.8 or more over runs of five words.
-    Rows with a null id stay, as do repeated rows of an id that is kept; texts without words are one group."""
-    return drop_near_duplicates(docs)
+    """One document, that of the smallest doc_id, of each group linked by a Jaccard similarity of 0.8 or more over runs of five words,
+    proposed by SimHash under covering masks. Rows with a null id stay, as do repeated rows of an id that is kept; texts without words are one group."""
+    return drop_similar(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

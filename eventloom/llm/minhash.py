@@ -2,7 +2,7 @@
 
 Two sets of Jaccard similarity s have the same least hash, under one random order of all hashes, with probability s. A table is keyed by
 ``ROWS`` least hashes, so that it brings a pair together with probability s^ROWS; the number of tables follows from the chance that a pair
-just at the threshold may be missed. A fingerprint of 64 bits can't stand for this: pairs just above 0.8 differ in up to 14 of its bits.
+just at the threshold may be missed. The pipeline proposes pairs by fingerprints instead (``simhash.similar``, with this module's sets).
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def shingle_set(text: bytes | None, shingle: int, known: WordHashes) -> np.ndarr
     return np.unique(shingle_hashes(known.array(found), min(shingle, len(found)))) if found else np.empty(0, np.uint64)
 
 
-def _name(own: np.ndarray) -> int:
+def name_of(own: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(own.tobytes(), 5)
 
 
@@ -55,7 +55,7 @@ def _signed(docs: DataFrame, shingle: int, tables: int, seed: int) -> DataFrame:
             names, keys = [], []
             for text in texts(b.column(1)):
                 own = shingle_set(text, shingle, known)
-                names.append(_name(own))
+                names.append(name_of(own))
                 if not len(own):
                     keys.append([])
                     continue
@@ -68,7 +68,7 @@ def _signed(docs: DataFrame, shingle: int, tables: int, seed: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, name long, keys array<long>")
 
 
-def _sets(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
+def sets_of(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
     """(name, members): the sets themselves, as unsigned 64-bit numbers."""
     schema = pa.schema([("name", pa.int64()), ("members", pa.binary())])
 
@@ -77,12 +77,12 @@ def _sets(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
         known = WordHashes(seed)
         for b in batches:
             sets = [shingle_set(t, shingle, known) for t in texts(b.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([_name(s) for s in sets], np.uint64).view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([name_of(s) for s in sets], np.uint64).view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
     return docs.select("text").mapInArrow(run, "name long, members binary")
 
 
-def _linked(members: list[bytes], ids: np.ndarray, similarity: float) -> tuple[list, list]:
+def linked_sets(members: list[bytes], ids: np.ndarray, similarity: float) -> tuple[list, list]:
     """Links that join the sets of this similarity, by breadth-first search: sets already reached are compared no more."""
     sizes = np.array([len(m) // 8 for m in members])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -122,12 +122,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     full = dealt.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("name")).alias("x"), F.bit_xor(F.xxhash64("name", F.lit(1))).alias("y")).where("n > 1")
     met = cut(dealt.join(full.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"))
     wanted = met.select(F.col("rep").alias("_wanted")).distinct()
-    sets = _sets(docs.join(wanted, docs["doc_id"] == wanted["_wanted"], "left_semi"), shingle, seed).dropDuplicates(["name"])
+    sets = sets_of(docs.join(wanted, docs["doc_id"] == wanted["_wanted"], "left_semi"), shingle, seed).dropDuplicates(["name"])
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(left, right):
         table = left if right is None else pa.concat_tables([left, right])
-        a, b = _linked(table.column("members").to_pylist(), table.column("rep").to_numpy(), similarity)
+        a, b = linked_sets(table.column("members").to_pylist(), table.column("rep").to_numpy(), similarity)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], schema=schema) if a else None
 
     from pyspark.sql.types import LongType, StructField, StructType
@@ -136,10 +136,3 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     found = components(compare_buckets(met.join(sets, "name").select("key", "rep", "members"), "key", ["rep"], compare, out, block))
     named = classes.join(found, classes.rep == found.id, "left").select("name", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(named, "name", "left").select("doc_id", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs, with all their columns, without those whose group has a smaller doc_id; rows without an id stay. Null texts count as empty, and texts without
-    words are one group; repeated rows of an id stay or go together; no rows give none."""
-    gone = near_duplicates(docs.where("doc_id IS NOT NULL"), shingle, similarity).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(docs.columns)

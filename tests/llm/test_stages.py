@@ -57,3 +57,31 @@ def test_near_duplicates_of_the_small_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = jaccard_groups([(r.doc_id, r.text) for r in docs.collect()])
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {i for i in want if want[i] == i}
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_fingerprints_under_covering_masks_propose_the_pairs(spark, block, monkeypatch):
+    from eventloom.llm import simhash
+
+    monkeypatch.setattr(simhash, "WHOLE_BLOCKS", 1)  # with small blocks groups are compared by buckets too
+    base = [f"w{k}" for k in range(100)]
+    rows = [(0, " ".join(base))]
+    for n, cuts in enumerate([(50,), (20, 70), (10, 30, 50, 70), (33,), (5, 15, 25, 35, 45, 55)], 1):
+        rows.append((n, " ".join(f"x{n}-{k}" if k in cuts else w.upper() for k, w in enumerate(base))))
+    rows += [(10, "a b c"), (11, "A  B c"), (12, "a b d"), (13, None), (14, " "), (9, "a B C")]
+    want = jaccard_groups(rows)
+    docs = spark.createDataFrame([*rows, (None, "a b c"), (2, rows[2][1])], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in simhash.similar(docs, block=block).where("doc_id IS NOT NULL").collect())
+    assert got == sorted([*want.items(), (2, want[2])])
+    assert simhash.similar(docs.limit(0)).count() == 0
+
+
+def test_plan_covers_with_certainty_and_the_stage_uses_it(spark):
+    """Any one position of a block is left out by one of its masks; the stage is the covering method."""
+    from eventloom.llm import simhash
+
+    bits, blocks, most = simhash.plan(200_000, 0.8, 1e-6, 4096)
+    masks = simhash.covering_masks(simhash.IN_BLOCK, bits=bits)
+    assert all(any(not m >> i & 1 for m in masks) for i in range(bits)) and all(m < 1 << bits for m in masks)
+    assert blocks * len(masks) == 48 and 45 < most < 60
+    assert corpus_pipeline.drop_similar is simhash.drop_similar
