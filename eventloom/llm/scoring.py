@@ -181,6 +181,30 @@ def _by_bucket(replies: pa.Table) -> tuple[pa.Table, pa.Table]:
     return replies.filter(own).sort_by("bucket"), replies.filter(pc.invert(own))
 
 
+def distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, rising, and the place of each among them, as np.unique() gives: only the distinct ones are sorted."""
+    coded = pa.array(a).dictionary_encode()
+    values = coded.dictionary.to_numpy(zero_copy_only=False)
+    order = np.argsort(values)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return values[order], rank[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def distinct_below(a: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for numbers from 0 to ``below``, many of which differ: each is sorted with its place in its last bits, if both fit a long."""
+    shift = len(a).bit_length()
+    if not len(a) or below.bit_length() + shift > 63:
+        return np.unique(a, return_inverse=True)
+    both = a << shift | np.arange(len(a))
+    both.sort()
+    values = both >> shift
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    inverse = np.empty(len(a), np.int64)
+    inverse[both & ((1 << shift) - 1)] = np.cumsum(new) - 1
+    return values[new], inverse
+
+
 class _Tokens:
     """A chunk's tokens in a row: ``kind`` of each among the chunk's distinct ones, sorted by hash, and its document."""
 
@@ -201,7 +225,7 @@ class _Tokens:
         self.training = ~self.held & np.array([i is not None for i in self.ids])
         self.train = self.training[self.doc]
         self.first = np.concatenate([[True], self.doc[1:] != self.doc[:-1]])
-        self.hashes, self.kind = np.unique(h, return_inverse=True)
+        self.hashes, self.kind = distinct(h)
         self.own = np.bincount(self.kind[self.train], minlength=len(self.hashes))
 
     def know(self, replies: pa.Table) -> None:
@@ -211,8 +235,8 @@ class _Tokens:
         self.name = np.concatenate(names)
         self.count = np.concatenate([fallen(n, x) for n, x in zip(names, answers.column("counts").to_pylist(), strict=True)])
         self.n, self.v = totals.column("n")[0].as_py(), totals.column("v")[0].as_py()
-        self.root = np.log10((self.count + 0.1) / (self.n + 0.1 * (self.v + 1)))[self.kind]
-        self.p = 10**self.root
+        root = np.log10((self.count + 0.1) / (self.n + 0.1 * (self.v + 1)))
+        self.root, self.p = root[self.kind], (10**root)[self.kind]
 
     def contexts(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(number of its context among the chunk's, or -1, for each token; the contexts' hashes; their training counts), by bucket and key.
@@ -255,19 +279,27 @@ class _Tokens:
         if depth > 1:  # what stands twice after a context stands twice after its suffix
             wanted[wanted] = self.pair_count[self.pair[wanted]] >= 2
         size = len(self.hashes)
-        pairs, inverse = np.unique(at[wanted] * size + self.kind[wanted], return_inverse=True)
-        context, word = pairs // size, pairs % size
-        hot = counts[context] > self.share * self.n
         # Pairs of a context stand by their words' numbers; hot ones after the others, by bucket of the pair.
-        spread = mixed(hashes[context] ^ mixed(self.hashes[word]))
-        order = np.lexsort((self.name[word], context, np.where(hot, bucket_of(spread, self.buckets), 0), hot))
+        by_name = np.argsort(self.name, kind="stable")
+        rank = np.empty(size, np.int64)
+        rank[by_name] = np.arange(size)
+        pairs, inverse = distinct_below(at[wanted] * size + rank[self.kind[wanted]], len(counts) * size)
+        context, word = np.divmod(pairs, size)
+        word = by_name[word]
+        hot = counts[context] > self.share * self.n
+        last = np.flatnonzero(hot)
+        spread = mixed(hashes[context[last]] ^ mixed(self.hashes[word[last]]))
+        by_bucket = np.argsort(bucket_of(spread, self.buckets), kind="stable")
+        order = np.concatenate([np.flatnonzero(~hot), last[by_bucket]])
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         context, word, hot = context[order], word[order], hot[order]
         self.at, self.context_hash, self.context_count = at, hashes, counts
-        self.ask_context, self.ask_word, self.hot, self.spread = context, word, hot, spread[order]
+        self.ask_context, self.ask_word, self.hot, self.spread = context, word, hot, spread[by_bucket]
         # Contexts whose next words here are all rare are asked for too: they leave less mass to the suffix if they are states.
-        met = np.unique(at[self.used])
+        met = np.zeros(len(hashes), bool)
+        met[at[self.used]] = True
+        met = np.flatnonzero(met)
         often = counts[met] > self.share * self.n
         self.cold_contexts, self.hot_contexts = met[~often], met[often]
         self.pair = np.full(len(self.kind), -1, np.int64)
@@ -394,7 +426,7 @@ def _ask_pairs(buckets: int, depth: int, least: int, bits: float, share: float):
         t = _ready(table, _split(replies, depth), least, bits, buckets, share)
         t.ask(depth, least)
         cold = int((~t.hot).sum())
-        asked = bucket_of(t.context_hash[t.cold_contexts], buckets), bucket_of(t.spread[cold:], buckets)  # both rise
+        asked = bucket_of(t.context_hash[t.cold_contexts], buckets), bucket_of(t.spread, buckets)  # both rise
         edges = np.searchsorted(bucket_of(t.context_hash[t.ask_context[:cold]], buckets), np.arange(buckets + 1))
         context_edges = np.searchsorted(asked[0], np.arange(buckets + 1))
         hot_edges = cold + np.searchsorted(asked[1], np.arange(buckets + 1))

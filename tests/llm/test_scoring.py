@@ -34,3 +34,16 @@ def test_three_tokens_and_contexts_by_hash(spark, monkeypatch, known):
     found = [sorted((r.doc_id, round(r.score, 5)) for r in S.scored(docs, depth=depth, least=4, bits=1.0, mb=mb).collect()) for depth, mb in ((3, 10.0), (3, 0.004), (2, 10.0))]
     assert found[0] == found[1]
     assert sum(s for _, s in found[0]) > sum(s for _, s in found[2])
+
+
+def test_distinct_values_are_those_of_unique():
+    import numpy as np
+
+    from eventloom.llm.scoring import distinct, distinct_below
+
+    rng = np.random.default_rng(1)
+    hashes = rng.integers(0, 1 << 64, 50, np.uint64)[rng.integers(0, 50, 400)]
+    numbers = rng.integers(0, 90, 400)
+    for of, a in [(distinct, hashes), (distinct, hashes[:0]), *[(lambda x, n=n: distinct_below(x, n), numbers) for n in (90, 1 << 54, 1 << 55)], (lambda x: distinct_below(x, 90), numbers[:0])]:
+        for got, want in zip(of(a), np.unique(a, return_inverse=True), strict=True):
+            assert (got == want).all() and len(got) == len(want) and got.dtype == want.dtype
