@@ -85,9 +85,10 @@ LONG = 64
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of data[start:end] for each pair; ``data`` has 8 bytes more after the last end."""
-    h = mixed((end - start).astype(np.uint64) * ODD)
+    sizes = end - start
+    h = mixed(sizes.astype(np.uint64) * ODD)
     for at in range(0, len(start), 1 << 16):
-        s, size, out = start[at : at + (1 << 16)], (end - start)[at : at + (1 << 16)], h[at : at + (1 << 16)]
+        s, size, out = start[at : at + (1 << 16)], sizes[at : at + (1 << 16)], h[at : at + (1 << 16)]
         low = int(s[0])
         own = np.ascontiguousarray(data[low : int(s[-1] + size[-1]) + 8])
         eights = np.ndarray(len(own) - 7, "<u8", own, strides=(1,))

@@ -182,13 +182,20 @@ def _by_bucket(replies: pa.Table) -> tuple[pa.Table, pa.Table]:
 
 
 def distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values, rising, and the place of each among them, as np.unique() gives: only the distinct ones are sorted."""
-    coded = pa.array(a).dictionary_encode()
-    values = coded.dictionary.to_numpy(zero_copy_only=False)
-    order = np.argsort(values)
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return values[order], rank[coded.indices.to_numpy(zero_copy_only=False)]
+    """The distinct hashes, rising, and the place of each among them, as np.unique() gives: each is sorted with its place instead of its last bits, and
+    all of them anew where two differ in these alone."""
+    shift = np.uint64(len(a).bit_length())
+    both = a >> shift << shift | np.arange(len(a), dtype=np.uint64)
+    both.sort()
+    place = (both & ((np.uint64(1) << shift) - np.uint64(1))).view(np.int64)
+    values = a[place]
+    if (values[1:] < values[:-1]).any():
+        return np.unique(a, return_inverse=True)
+    new = np.ones(len(a), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    inverse = np.empty(len(a), np.int64)
+    inverse[place] = np.cumsum(new) - 1
+    return values[new], inverse
 
 
 def distinct_below(a: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,9 +231,9 @@ class _Tokens:
         self.held = np.array([i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i in self.ids])
         self.training = ~self.held & np.array([i is not None for i in self.ids])
         self.train = self.training[self.doc]
-        self.first = np.concatenate([[True], self.doc[1:] != self.doc[:-1]])
-        self.hashes, self.kind = distinct(h)
-        self.own = np.bincount(self.kind[self.train], minlength=len(self.hashes))
+        self.first = self.ends - lengths + 1
+        self.hashes, kind = distinct(h)
+        self.kind = kind.astype(np.int32)
 
     def know(self, replies: pa.Table) -> None:
         """Takes in the counts that the word buckets sent, in the order of the hashes."""
@@ -235,80 +242,87 @@ class _Tokens:
         self.name = np.concatenate(names)
         self.count = np.concatenate([fallen(n, x) for n, x in zip(names, answers.column("counts").to_pylist(), strict=True)])
         self.n, self.v = totals.column("n")[0].as_py(), totals.column("v")[0].as_py()
-        root = np.log10((self.count + 0.1) / (self.n + 0.1 * (self.v + 1)))
-        self.root, self.p = root[self.kind], (10**root)[self.kind]
-
-    def contexts(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(number of its context among the chunk's, or -1, for each token; the contexts' hashes; their training counts), by bucket and key.
+        self.root = np.log10((self.count + 0.1) / (self.n + 0.1 * (self.v + 1)))
+        self.p = (10**self.root)[self.kind]
+        # Words that stand twice or more, by their numbers, and the place of each among them.
+        often = np.flatnonzero(self.count >= 2)
+        self.by_name = often[np.argsort(self.name[often])]
+        self.rank = np.full(len(self.name), -1)
+        self.rank[self.by_name] = np.arange(len(often))
+
+    def contexts(self, depth: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of its context among the chunk's frequent ones, or -1, for each token; these contexts' hashes; their training counts), by bucket and
+        key.
 
         Of length 1: the token before, or the start. Longer ones: the pair asked for at the token before, so known to be frequent. A bucket knows a
         context of one word by the word's number, the start by 0, one of two by both numbers, and longer ones by their hash.
         """
+        before = np.empty(len(self.kind), np.int32)
         if depth == 1:
-            before = np.concatenate([[0], self.kind[:-1]])
+            before[1:] = self.kind[:-1]
             before[self.first] = len(self.hashes)  # the start; as many as there are training documents, which is how often END stands
-            hashes = np.append(self.hashes, START)
-            keys = np.append(self.name + 1, 0).astype(np.uint64)
             counts = np.append(self.count, self.count[np.searchsorted(self.hashes, END)])
+            often = np.flatnonzero(counts >= least)
+            hashes = np.append(self.hashes, START)[often]
+            keys = np.append(self.name + 1, 0)[often].astype(np.uint64)
         else:
-            before = np.concatenate([[-1], self.pair[:-1]])
+            before[1:] = self.pair[:-1]
             before[self.first] = -1
             counts = self.pair_count
-            hashes = mixed(self.pair_context * ODD + self.hashes[self.pair_word])
+            often = np.flatnonzero(counts >= least)
+            word = self.pair_word[often]
+            hashes = mixed(self.pair_context[often] * ODD + self.hashes[word])
             keys = hashes
             if self.keyed(depth):
-                names = self.name[self.pair_word].astype(np.uint64)
-                if max(self.pair_key.max(initial=0), names.max(initial=0)) >> np.uint64(NAME_BITS):
+                names, above = self.name[word].astype(np.uint64), self.pair_key[often]
+                if max(above.max(initial=0), names.max(initial=0)) >> np.uint64(NAME_BITS):
                     raise ValueError(f"with {self.v} words a word's number should have {NAME_BITS} bits")
-                keys = self.pair_key << np.uint64(NAME_BITS) | names
+                keys = above << np.uint64(NAME_BITS) | names
         order = np.lexsort((keys, bucket_of(hashes, self.buckets)))
         self.context_key = keys[order]
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        return np.where(before >= 0, rank[before], -1), hashes[order], counts[order]
+        rank = np.full(len(counts) + 1, -1, np.int32)  # the last stands for no context
+        rank[often[order]] = np.arange(len(order))
+        return rank[before], hashes[order], counts[often[order]]
 
     def keyed(self, depth: int) -> bool:
         """Whether contexts of this length are known by their words' numbers."""
         return depth == 1 or depth == 2 and self.v < KEYED_WORDS
 
-    def ask(self, depth: int, least: int) -> None:
-        """The distinct pairs of a frequent context and a word seen twice or more: those dealt by context, then the hot ones, in cell order."""
-        at, hashes, counts = self.contexts(depth)
-        self.used = (at >= 0) & (counts[at] >= least)
-        wanted = self.used & (self.count[self.kind] >= 2)
+    def ask(self, depth: int, least: int, send: bool = True) -> None:
+        """The distinct pairs of a frequent context and a word seen twice or more: those dealt by context, then the hot ones, in cell order. What
+        only the buckets need is left out unless it is to be sent."""
+        at, hashes, counts = self.contexts(depth, least)
+        self.used = np.flatnonzero(at >= 0)
+        wanted = self.used[(self.rank >= 0)[self.kind[self.used]]]
         if depth > 1:  # what stands twice after a context stands twice after its suffix
-            wanted[wanted] = self.pair_count[self.pair[wanted]] >= 2
-        size = len(self.hashes)
+            wanted = wanted[(self.pair_count >= 2)[self.pair[wanted]]]
+        size = max(len(self.by_name), 1)
         # Pairs of a context stand by their words' numbers; hot ones after the others, by bucket of the pair.
-        by_name = np.argsort(self.name, kind="stable")
-        rank = np.empty(size, np.int64)
-        rank[by_name] = np.arange(size)
-        pairs, inverse = distinct_below(at[wanted] * size + rank[self.kind[wanted]], len(counts) * size)
-        context, word = np.divmod(pairs, size)
-        word = by_name[word]
-        hot = counts[context] > self.share * self.n
+        pairs, inverse = distinct_below(at[wanted].astype(np.int64) * size + self.rank[self.kind[wanted]], len(counts) * size)
+        context = pairs // size
+        word = self.by_name[pairs - context * size]
+        often = counts > self.share * self.n
+        hot = often[context]
         last = np.flatnonzero(hot)
         spread = mixed(hashes[context[last]] ^ mixed(self.hashes[word[last]]))
         by_bucket = np.argsort(bucket_of(spread, self.buckets), kind="stable")
         order = np.concatenate([np.flatnonzero(~hot), last[by_bucket]])
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
-        context, word, hot = context[order], word[order], hot[order]
         self.at, self.context_hash, self.context_count = at, hashes, counts
-        self.ask_context, self.ask_word, self.hot, self.spread = context, word, hot, spread[by_bucket]
+        self.ask_context, self.ask_word, self.hot, self.spread = context[order], word[order], hot[order], spread[by_bucket]
         # Contexts whose next words here are all rare are asked for too: they leave less mass to the suffix if they are states.
         met = np.zeros(len(hashes), bool)
         met[at[self.used]] = True
-        met = np.flatnonzero(met)
-        often = counts[met] > self.share * self.n
-        self.cold_contexts, self.hot_contexts = met[~often], met[often]
-        self.pair = np.full(len(self.kind), -1, np.int64)
-        self.pair[wanted] = place[inverse]
-        train = self.pair[wanted & self.train]
-        self.ask_own = np.bincount(train, minlength=len(context))
-        suffix = np.zeros(len(context))
-        suffix[self.pair[wanted]] = self.p[wanted]
-        self.ask_bits = np.minimum(np.round(-8 * np.log2(np.maximum(suffix, 1e-300))), 255).astype(np.int64)
+        self.cold_contexts, self.hot_contexts = np.flatnonzero(met & ~often), np.flatnonzero(met & often)
+        self.pair = np.full(len(self.kind), -1, np.int32)
+        own = place[inverse]
+        self.pair[wanted] = own
+        if send:
+            self.ask_own = np.bincount(own[self.train[wanted]], minlength=len(order))
+            suffix = np.zeros(len(order))
+            suffix[own] = self.p[wanted]
+            self.ask_bits = np.minimum(np.round(-8 * np.log2(np.maximum(suffix, 1e-300))), 255).astype(np.int64)
 
     def take(self, replies: pa.Table, least: int, bits: float) -> None:
         """Takes in the answers to ask() and predicts each token from the context, where that is a state."""
@@ -321,11 +335,10 @@ class _Tokens:
         for k in self.hot_contexts.tolist():
             if (x := of.get(int(self.context_key[k].view(np.int64)))) is not None:
                 rest[k] = float(_rest(*(np.array([x[c]]) for c in "nme"), np.array([x["g"] / PARTS]), bits)[0])
-        k = np.maximum(self.at, 0)
-        left, n = rest[k], self.context_count[k]
-        c = np.where(self.pair >= 0, count[np.maximum(self.pair, 0)] if len(count) else 0, 0)
-        state = self.used & (left > 0)
-        self.p = np.where(state, np.where(c >= 2, (c - DISCOUNT) / np.maximum(n, 1), 0) + left * self.p, self.p)
+        left = rest[self.at[self.used]]
+        state = self.used[left > 0]
+        kept = np.where(count >= 2, (count - DISCOUNT) / np.maximum(self.context_count[self.ask_context], 1), 0)
+        self.p[state] = np.append(kept, 0)[self.pair[state]] + left[left > 0] * self.p[state]
         self.pair_count, self.pair_word = count, self.ask_word
         self.pair_context, self.pair_key = self.context_hash[self.ask_context], self.context_key[self.ask_context]
 
@@ -355,13 +368,15 @@ def _cells(chunk: int, found: np.ndarray, schema: pa.Schema, of) -> pa.Table:
     return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-#: In a reply, the chunk that stands for all of them, and its bucket there.
+#: In a reply, the bucket of the row for all chunks.
 ALL = -1
 _WORD_CELL = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
-_WORD_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("names", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
+_WORD_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("names", pa.binary())])
+_WORD_TOTALS = pa.schema([("n", pa.int64()), ("v", pa.int64())])
 _PAIR_COLUMNS = ("contexts", "totals", "sizes", "words", "counts", "bits", "hot_contexts", "hot_totals", "hot_sizes", "hot_words", "hot_counts", "hot_bits")
 _PAIR_CELL = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), *[(c, pa.binary()) for c in _PAIR_COLUMNS]])
-_PAIR_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("pairs", "rest", "hot_pairs")], ("h", pa.int64()), ("n", pa.int64()), ("m", pa.int64()), ("e", pa.int64()), ("g", pa.int64())])
+_PAIR_REPLY = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), *[(c, pa.binary()) for c in ("pairs", "rest", "hot_pairs")]])
+_HOT_STATS = pa.schema([(c, pa.int64()) for c in "hnmeg"])
 _HOT = "array<struct<h: long, n: long, m: long, e: long, g: long>>"
 
 
@@ -373,43 +388,45 @@ def _spec(schema: pa.Schema) -> str:
 def _ask_words(buckets: int):
     def run(key, table):
         t = _Tokens(table, buckets)
+        own = np.bincount(t.kind[t.train], minlength=len(t.hashes))
         at = bucket_of(t.hashes, buckets)
         edges = np.searchsorted(at, np.arange(buckets + 1))
-        return _cells(key[0].as_py(), at, _WORD_CELL, lambda b: (pack(t.hashes[edges[b] : edges[b + 1]]), tight(t.own[edges[b] : edges[b + 1]])))
+        return _cells(key[0].as_py(), at, _WORD_CELL, lambda b: (pack(t.hashes[edges[b] : edges[b + 1]]), tight(own[edges[b] : edges[b + 1]])))
 
     return run
 
 
 def _count_words(buckets: int):
+    """Counts of a bucket's words, and numbers for those that stand twice or more, by falling count."""
+
     def run(key, table):
-        return _counted_words(key[0].as_py(), table, buckets)
+        h = [unpack(x) for x in table.column("words").to_pylist()]
+        c = [loose(x) for x in table.column("counts").to_pylist()]
+        known, at = distinct(np.concatenate(h))
+        total = np.bincount(at, np.concatenate(c), len(known)).astype(np.int64)
+        often = np.flatnonzero(total >= 2)
+        names = np.zeros(len(total), np.int64)
+        names[often[np.argsort(-total[often], kind="stable")]] = np.arange(len(often)) * buckets + key[0].as_py()
+        places = np.split(at, np.cumsum([len(x) for x in h])[:-1])
+        answers = [pa.array(own, pa.binary()) for own in ([falling(names[x], total[x]) for x in places], [tight(names[x]) for x in places])]
+        return pa.table([table.column("chunk"), table.column("bucket"), *answers], schema=_WORD_REPLY)
 
     return run
 
 
-def _counted_words(bucket: int, table: pa.Table, buckets: int) -> pa.Table:
-    """Counts of a bucket's words, and numbers for those that stand twice or more, by falling count; for all chunks its totals."""
-    h = [unpack(x) for x in table.column("words").to_pylist()]
-    c = [loose(x) for x in table.column("counts").to_pylist()]
-    known, at = np.unique(np.concatenate(h), return_inverse=True)
-    total = np.bincount(at, np.concatenate(c), len(known)).astype(np.int64)
-    n, v = int(total.sum()), int((total > 0).sum())
-    ends = np.cumsum([len(x) for x in h])
-    often = np.flatnonzero(total >= 2)
-    names = np.zeros(len(total), np.int64)
-    names[often[np.argsort(-total[often], kind="stable")]] = np.arange(len(often)) * buckets + bucket
-    places = np.split(at, ends[:-1])
-    answers = [pa.array([*own, None], pa.binary()) for own in ([falling(names[x], total[x]) for x in places], [tight(names[x]) for x in places])]
-    none = [None] * table.num_rows
-    chunk, own = (pa.array([*table.column(c).to_pylist(), ALL], pa.int32()) for c in ("chunk", "bucket"))
-    return pa.table([chunk, own, *answers, pa.array([*none, n], pa.int64()), pa.array([*none, v], pa.int64())], schema=_WORD_REPLY)
+def _word_totals(key, table):
+    """The training tokens and the distinct words among them of a bucket: apart from its answers, of which Spark would make all again for these."""
+    c = np.concatenate([loose(x) for x in table.column("counts").to_pylist()])
+    h = np.concatenate([unpack(x) for x in table.column("words").to_pylist()])
+    h = np.sort(h[c > 0])
+    return pa.table([pa.array([int(c.sum())]), pa.array([len(h) - int((h[1:] == h[:-1]).sum())])], schema=_WORD_TOTALS)
 
 
 def _ready(table: pa.Table, replies: list[pa.Table], least: int, bits: float, buckets: int, share: float) -> _Tokens:
     t = _Tokens(table, buckets, share)
     t.know(replies[0])
     for depth, found in enumerate(replies[1:], 1):
-        t.ask(depth, least)
+        t.ask(depth, least, send=False)
         t.take(found, least, bits)
     return t
 
@@ -448,16 +465,21 @@ def _ask_pairs(buckets: int, depth: int, least: int, bits: float, share: float):
     return run
 
 
-def _summed(h, w, c, n, q):
-    """Distinct (context, word): the order that sorts the entries, where each distinct one begins in it, and its count, total and bits."""
-    order = np.lexsort((w, h))
-    hs, ws = h[order], w[order]
-    new = np.concatenate([[True], (hs[1:] != hs[:-1]) | (ws[1:] != ws[:-1])]) if len(h) else np.empty(0, bool)
-    at = np.flatnonzero(new)
-    count = np.add.reduceat(c[order], at) if len(at) else np.empty(0, np.int64)
-    back = np.empty(len(h), np.int64)
-    back[order] = np.cumsum(new) - 1
-    return hs[at], count, n[order][at], q[order][at], back
+def _summed(h, size, n, w, c, q):
+    """Distinct (context, word) over pairs of which each entry of h, n has as many as size says, sorted by context and word: their contexts, counts,
+    totals and bits, and the place of each pair among them."""
+    known, at = np.unique(h, return_inverse=True)
+    most = int(w.max(initial=0)) + 1
+    if len(known) * most >> 63:
+        w_known, w_at = np.unique(w, return_inverse=True)
+        most = len(w_known)
+    else:
+        w_at = w
+    pairs, back = distinct_below(np.repeat(at, size) * most + w_at, len(known) * most)
+    count = np.bincount(back, c, len(pairs)).astype(np.int64)
+    nd, qd = np.empty(len(pairs), np.int64), np.empty(len(pairs), np.int64)
+    nd[back], qd[back] = np.repeat(n, size), q  # equal for equal pairs
+    return known[pairs // most], count, nd, qd, back
 
 
 def _by_context(h, count, n, q):
@@ -472,7 +494,7 @@ def _by_context(h, count, n, q):
 
 
 def _asked(table: pa.Table, depth: int, prefix: str):
-    """The pairs of all chunks in a row: (each chunk's contexts, where its pairs end, and of each pair context, word, count, total and bits)."""
+    """The pairs of all chunks in a row: (each chunk's contexts, where its pairs end, what _summed() takes)."""
     column = lambda name, of: [of(x) for x in table.column(prefix + name).to_pylist()]
     read = {b"k": unpack_keys, b"h": unpack, b"a": lambda x: loose(x).view(np.uint64)}
     contexts = column("contexts", lambda x: read[x[:1]](x[1:]))
@@ -480,8 +502,7 @@ def _asked(table: pa.Table, depth: int, prefix: str):
     w = [risen(x, n) for x, n in zip(table.column(prefix + "words").to_pylist(), sizes, strict=True)]
     bits = table.column(prefix + "bits").to_pylist()
     q = [of_words(n, x) for n, x in zip(w, bits, strict=True)] if depth == 1 else list(map(loose, bits))
-    h, n = (np.repeat(np.concatenate(x), np.concatenate(sizes)) for x in (contexts, column("totals", loose)))
-    return contexts, np.cumsum([len(x) for x in w]), (h, np.concatenate(w), np.concatenate(column("counts", loose)), n, np.concatenate(q))
+    return contexts, np.cumsum([len(x) for x in w]), tuple(map(np.concatenate, (contexts, sizes, column("totals", loose), w, column("counts", loose), q)))
 
 
 def _count_pairs(bits: float, depth: int):
@@ -502,14 +523,20 @@ def _count_pairs(bits: float, depth: int):
         rests = [rest_of(x) for x in contexts]
 
         _, ends, asked = _asked(table, depth, "hot_")
-        hd, count, nd, qd, back = _summed(*asked)
-        h, hn, hm, he, hg = _by_context(hd, count, nd, qd)
+        _, count, _, _, back = _summed(*asked)
         count = np.where(count >= 2, count, 0)
         hot_pairs = [tight(count[x]) for x in np.split(back, ends[:-1])]
-        answers = pa.table([table.column("chunk"), table.column("bucket"), pa.array(pairs, pa.binary()), pa.array(rests, pa.binary()), pa.array(hot_pairs, pa.binary()), *(pa.nulls(table.num_rows, f.type) for f in list(_PAIR_REPLY)[5:])], schema=_PAIR_REPLY)
-        size = len(h)
-        stats = pa.table([pa.array(np.full(size, ALL, np.int32)), pa.array(np.full(size, ALL, np.int32)), *(pa.nulls(size, pa.binary()) for _ in range(3)), pa.array(h.view(np.int64)), *(pa.array(x) for x in (hn, hm, he, np.round(hg * PARTS).astype(np.int64)))], schema=_PAIR_REPLY)
-        return pa.concat_tables([answers, stats])
+        return pa.table([table.column("chunk"), table.column("bucket"), *(pa.array(x, pa.binary()) for x in (pairs, rests, hot_pairs))], schema=_PAIR_REPLY)
+
+    return run
+
+
+def _hot_stats(depth: int):
+    """A bucket's part of the statistics of hot contexts: apart from its answers, of which Spark would make all again for these."""
+
+    def run(key, table):
+        h, n, m, e, g = _by_context(*_summed(*_asked(table, depth, "hot_")[2])[:4])
+        return pa.table([pa.array(h.view(np.int64)), *map(pa.array, (n, m, e, np.round(g * PARTS).astype(np.int64)))], schema=_HOT_STATS)
 
     return run
 
@@ -546,15 +573,16 @@ def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0,
     def named(*names):
         return [(c, F.col(c)) for c in names]
 
-    counted = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket").applyInArrow(_count_words(buckets), _spec(_WORD_REPLY))
-    totals = counted.where(F.col("chunk") == ALL).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).transform(to_every)
-    replies = dealt(counted.where(F.col("chunk") != ALL), 0, *named("bucket", "counts", "names")).union(dealt(totals, 0, ("bucket", F.lit(ALL)), *named("n", "v")))
+    cells = by_chunk.applyInArrow(_ask_words(buckets), _spec(_WORD_CELL)).groupBy("bucket")
+    totals = cells.applyInArrow(_word_totals, _spec(_WORD_TOTALS)).agg(F.sum("n").alias("n"), F.sum("v").alias("v")).transform(to_every)
+    counted = cells.applyInArrow(_count_words(buckets), _spec(_WORD_REPLY))
+    replies = dealt(counted, 0, *named("bucket", "counts", "names")).union(dealt(totals, 0, ("bucket", F.lit(ALL)), *named("n", "v")))
     for k in range(1, depth + 1):
-        cells = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_ask_pairs(buckets, k, least, bits, share), _spec(_PAIR_CELL))
-        counted = cells.groupBy("bucket").applyInArrow(_count_pairs(bits, k), _spec(_PAIR_REPLY))
-        sums = counted.where(F.col("chunk") == ALL).groupBy("h").agg(F.max("n").alias("n"), F.sum("m").alias("m"), F.sum("e").alias("e"), F.sum("g").alias("g"))
+        cells = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(_ask_pairs(buckets, k, least, bits, share), _spec(_PAIR_CELL)).groupBy("bucket")
+        counted = cells.applyInArrow(_count_pairs(bits, k), _spec(_PAIR_REPLY))
+        sums = cells.applyInArrow(_hot_stats(k), _spec(_HOT_STATS)).groupBy("h").agg(F.max("n").alias("n"), F.sum("m").alias("m"), F.sum("e").alias("e"), F.sum("g").alias("g"))
         hot = sums.agg(F.collect_list(F.struct("h", "n", "m", "e", "g")).alias("hot")).transform(to_every)
-        replies = replies.union(dealt(counted.where(F.col("chunk") != ALL), k, *named("bucket", "pairs", "rest", "hot_pairs"))).union(dealt(hot, k, ("bucket", F.lit(ALL)), *named("hot")))
+        replies = replies.union(dealt(counted, k, *named("bucket", "pairs", "rest", "hot_pairs"))).union(dealt(hot, k, ("bucket", F.lit(ALL)), *named("hot")))
 
     def finish(key, table, known):
         if not table.num_rows:
@@ -562,7 +590,7 @@ def scored(docs: DataFrame, depth: int = 2, least: int = 16, bits: float = 8.0,
         t = _ready(table, _split(known, depth + 1), least, bits, buckets, share)
         size = len(t.ids)
         add = lambda x: np.bincount(t.doc, x, size)
-        columns = [t.ids, t.held, t.lengths, add(t.count[t.kind] > 0).astype(np.int64), np.full(size, t.n), add(t.root), add(np.log10(t.p))]
+        columns = [t.ids, t.held, t.lengths, add(t.count[t.kind] > 0).astype(np.int64), np.full(size, t.n), add(t.root[t.kind]), add(np.log10(t.p))]
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _RESULT, strict=True)], schema=_RESULT)
 
     return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(finish, _spec(_RESULT))

@@ -47,3 +47,49 @@ def test_distinct_values_are_those_of_unique():
     for of, a in [(distinct, hashes), (distinct, hashes[:0]), *[(lambda x, n=n: distinct_below(x, n), numbers) for n in (90, 1 << 54, 1 << 55)], (lambda x: distinct_below(x, 90), numbers[:0])]:
         for got, want in zip(of(a), np.unique(a, return_inverse=True), strict=True):
             assert (got == want).all() and len(got) == len(want) and got.dtype == want.dtype
+
+
+def test_distinct_hashes_that_differ_in_their_last_bits():
+    near = np.array([7, 3, 5, 3, 7 << 40, 6, 7], np.uint64)
+    for a in (near, np.repeat(near, 50), near + np.uint64((1 << 64) - (7 << 40) - 1)):
+        for got, want in zip(S.distinct(a), np.unique(a, return_inverse=True), strict=True):
+            assert (got == want).all()
+
+
+def test_a_bucket_counts_once(spark, monkeypatch, tmp_path):
+    """The totals and the hot contexts' statistics come from a pass of their own: the buckets' answers aren't made again for these."""
+    seen = str(tmp_path / "seen")
+
+    def noted(name):
+        of = getattr(S, name)
+
+        def make(*args):
+            run = of(*args)
+
+            def noting(key, table):
+                with open(seen, "a") as f:
+                    f.write(f"{name} {args} {key[0].as_py()}\n")
+                return run(key, table)
+
+            return noting
+
+        monkeypatch.setattr(S, name, make)
+
+    for name in ("_count_words", "_count_pairs"):
+        noted(name)
+    docs = spark.createDataFrame([(i, f"a b c {'d e' if i % 3 else 'e f'} w{i % 7}") for i in range(120)], "doc_id long, text string")
+    S.scored(docs, least=4, mb=0.001).collect()
+    with open(seen) as f:
+        lines = f.read().splitlines()
+    assert {x.split()[0] for x in lines} == {"_count_words", "_count_pairs"}
+    assert len(lines) == len(set(lines))
+
+
+@pytest.mark.parametrize("ids", [[None, None], [1, 2]])
+def test_without_frequent_contexts_a_text_is_scored_by_the_root(spark, ids):
+    docs = spark.createDataFrame([(i, text) for i, text in zip(ids, ("a b c", None), strict=True)], "doc_id long, text string")
+    rows = S.scored(docs).collect()
+    assert len(rows) == 2
+    for r in rows:
+        assert abs(r.score - r.base_score) < 1e-9
+        assert ids[0] or (r.score, r.n_known, r.train_tokens) == (0.0, 0, 0)
